@@ -43,7 +43,8 @@ def edge(df: DataFrame) -> DataFrame:
 
 
 def model(spark: SparkSession, sf_dir: str) -> TradingModel:
-    return TradingModel.from_driver(spark, sf_dir, RUN_DATE)
+    """The run's model: raw tabs and allocated lines written once per session, read back after."""
+    return TradingModel.staged(spark, sf_dir, RUN_DATE)
 
 
 # --- sources ---------------------------------------------------------------------------
@@ -67,7 +68,8 @@ def q_row_count_parity(spark, sf_dir):
 
 @query("row_count_delta")
 def q_row_count_delta(spark, sf_dir):
-    prev = TradingModel.from_driver(spark, sf_dir, RUN_DATE, order_filter=F.col("o_orderkey") % 10 != 1).tabs
+    prev = TradingModel.staged(spark, sf_dir, RUN_DATE, order_filter=F.col("o_orderkey") % 10 != 1,
+                               filter_key="o_orderkey%10<>1").tabs
     cur = model(spark, sf_dir).tabs
     return state.row_count_delta(state.row_counts(prev), state.row_counts(cur))
 

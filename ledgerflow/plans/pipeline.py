@@ -15,20 +15,33 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow import config
-from ledgerflow.plans import analytics, marts, staging
+from ledgerflow.plans import analytics, marts, staging, store
 from ledgerflow.sources import fixtures
 
 
 class TradingModel:
-    def __init__(self, tabs: dict[str, DataFrame], run_date: _dt.date = config.RUN_DATE):
+    def __init__(self, tabs: dict[str, DataFrame], run_date: _dt.date = config.RUN_DATE,
+                 spark: SparkSession | None = None, stage_key: str | None = None):
         self.tabs = tabs
         self.run_date = run_date
+        self.spark = spark
+        self.stage_key = stage_key
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, run_date: _dt.date = config.RUN_DATE,
                     order_filter=None) -> "TradingModel":
         return cls(fixtures.raw_tabs(spark, sf_dir, order_filter), run_date)
 
+    @classmethod
+    def staged(cls, spark: SparkSession, sf_dir: str, run_date: _dt.date = config.RUN_DATE,
+               order_filter=None, filter_key: str = "all") -> "TradingModel":
+        """Model whose ingest (raw tabs) and mart base (allocated lines) are written once per session."""
+        key = f"{sf_dir}|{filter_key}"
+        tabs = {name: store.stage(spark, f"raw|{key}|{name}",
+                                  lambda name=name: fixtures.raw_tabs(spark, sf_dir, order_filter)[name])
+                for name in ("transaction_log", "vendor_rates", "customer_rates")}
+        return cls(tabs, run_date, spark, f"{key}|{run_date.isoformat()}")
+
     # staging
     @cached_property
     def stg_log(self) -> DataFrame:
@@ -75,7 +88,10 @@ class TradingModel:
     # marts
     @cached_property
     def allocated(self) -> DataFrame:
-        return marts.allocated_lines(self.enriched, self.payments)
+        if self.stage_key is None:
+            return marts.allocated_lines(self.enriched, self.payments)
+        return store.stage(self.spark, f"allocated|{self.stage_key}",
+                           lambda: marts.allocated_lines(self.enriched, self.payments))
 
     @cached_property
     def mart_transactions(self) -> DataFrame:
