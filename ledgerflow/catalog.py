@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
-from ledgerflow.operators import dq
-from ledgerflow.plans import analytics, marts, metrics, reports
+from ledgerflow.operators import cdc, dq
+from ledgerflow.plans import analytics, events, marts, metrics, reports, rules, store
+from ledgerflow.plans.warehouse import Warehouse
 from ledgerflow.plans.pipeline import TradingModel
 from ledgerflow.sources import state, tabs
 
@@ -403,3 +404,128 @@ def q_dq_amount_recalc(spark, sf_dir):
 @query("dq_positive_qty")
 def q_dq_positive_qty(spark, sf_dir):
     return edge(model(spark, sf_dir).items.where(F.col("quantity_kg") <= 0))
+
+
+# --- second stage: identity, lifecycle, events, facts, rule-driven quality ------------------
+
+LOAD_TS = {"load-1": _dt.datetime(2001, 6, 29, 6, 0), "load-2": _dt.datetime(2001, 6, 30, 6, 0),
+           "load-3": _dt.datetime(2001, 7, 1, 6, 0)}
+PREV_LOAD = ("o_orderkey%10<>1", "o_orderkey % 10 != 1")
+CUR_LOAD = ("o_orderkey%10<>2", "o_orderkey % 10 != 2")
+
+
+def _numbered_log(spark, sf_dir, load=None) -> DataFrame:
+    """Ingested log for the second stage: cells stripped, blank rows dropped, sheet row number kept."""
+    from ledgerflow.functions.expr import strip_all_whitespace
+    from ledgerflow.sources import fixtures
+    key, pred = load or ("all", None)
+
+    def build():
+        raw = fixtures.raw_transaction_log(spark, sf_dir, pred, with_row_number=True)
+        cols = [c for c in raw.columns if c != "source_row_number"]
+        return raw.select(*[strip_all_whitespace(F.col(c)).alias(c) for c in cols], "source_row_number") \
+               .where(F.length(F.concat_ws("", *[F.col(c) for c in cols])) > 0)
+    return store.stage(spark, f"rawnum|{sf_dir}|{key}", build)
+
+
+def warehouse(spark, sf_dir, load=None) -> Warehouse:
+    m = model(spark, sf_dir)
+    return Warehouse(_numbered_log(spark, sf_dir, load), m.tabs["vendor_rates"], m.tabs["customer_rates"], RUN_DATE)
+
+
+@query("row_fingerprint")
+def q_row_fingerprint(spark, sf_dir):
+    return warehouse(spark, sf_dir).identified.select("source_row_id", "source_row_number", "content_fingerprint")
+
+
+def _ids(spark, sf_dir, load):
+    return warehouse(spark, sf_dir, load).identified.select("source_row_id")
+
+
+@query("snapshot_diff")
+def q_snapshot_diff(spark, sf_dir):
+    return cdc.snapshot_diff(_ids(spark, sf_dir, PREV_LOAD), _ids(spark, sf_dir, CUR_LOAD))
+
+
+def _state_after_load2(spark, sf_dir):
+    s1 = cdc.initial_state(_ids(spark, sf_dir, PREV_LOAD), "load-1", LOAD_TS["load-1"])
+    return cdc.apply_soft_delete(s1, _ids(spark, sf_dir, CUR_LOAD), "load-2", LOAD_TS["load-2"]).drop("change")
+
+
+@query("soft_delete")
+def q_soft_delete(spark, sf_dir):
+    """Lifecycle after three loads: rows dropped in load 2 come back (reactivated) in load 3."""
+    return cdc.apply_soft_delete(_state_after_load2(spark, sf_dir), _ids(spark, sf_dir, None), "load-3",
+                                 LOAD_TS["load-3"])
+
+
+@query("active_rows")
+def q_active_rows(spark, sf_dir):
+    return cdc.active(_state_after_load2(spark, sf_dir)).select("source_row_id", "last_seen_load_id")
+
+
+@query("classify_events")
+def q_classify_events(spark, sf_dir):
+    return edge(warehouse(spark, sf_dir).classified)
+
+
+@query("rate_status3")
+def q_rate_status3(spark, sf_dir):
+    return edge(warehouse(spark, sf_dir).rated_lines)
+
+
+@query("dim_counterparty")
+def q_dim_counterparty(spark, sf_dir):
+    return warehouse(spark, sf_dir).dim_counterparty
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return warehouse(spark, sf_dir).dim_date
+
+
+@query("fact_inventory")
+def q_fact_inventory(spark, sf_dir):
+    return edge(warehouse(spark, sf_dir).fact_inventory)
+
+
+@query("fact_payment")
+def q_fact_payment(spark, sf_dir):
+    return edge(warehouse(spark, sf_dir).fact_payment)
+
+
+for _name in ("daily_sales", "daily_purchases", "cash_flow", "ar_balance", "ap_balance", "inventory_snapshot",
+              "monthly_pnl", "metrics_catalog"):
+    QUERIES[_name] = (lambda n: (lambda spark, sf_dir: edge(getattr(warehouse(spark, sf_dir), n)())))(_name)
+
+
+@query("dq_violations")
+def q_dq_violations(spark, sf_dir):
+    return rules.violations(warehouse(spark, sf_dir))
+
+
+@query("quarantine")
+def q_quarantine(spark, sf_dir):
+    return rules.quarantine(warehouse(spark, sf_dir))
+
+
+@query("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    return rules.validation_summary(warehouse(spark, sf_dir))
+
+
+@query("kpi_alerts")
+def q_kpi_alerts(spark, sf_dir):
+    return rules.kpi_alerts(spark, warehouse(spark, sf_dir))
+
+
+@query("dq_duplicates")
+def q_dq_duplicates(spark, sf_dir):
+    from ledgerflow.sources.fixtures import read_table
+    return events.duplicate_events(read_table(spark, sf_dir, "events"))
+
+
+@query("asof_events")
+def q_asof_events(spark, sf_dir):
+    from ledgerflow.sources.fixtures import read_table
+    return events.purchase_last_view(read_table(spark, sf_dir, "events"))

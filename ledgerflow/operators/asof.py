@@ -36,7 +36,7 @@ VALID_TO = "__asof_valid_to"
 
 
 def month_index(d: Column) -> Column:
-    """Months since year 0 for a DATE."""
+    """Months since year 0 for a DATE or TIMESTAMP."""
     return F.year(d) * 12 + F.month(d) - 1
 
 
@@ -60,11 +60,12 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_date: s
         upper_bound = left.agg(F.max(left_date)).scalar()
     iv = intervalise(right, on, right_date, tiebreak)
     lo = month_index(F.col(right_date))
-    hi_closed = month_index(F.date_sub(F.col(VALID_TO), 1))
-    hi = F.coalesce(hi_closed, month_index(upper_bound))
-    # Empty intervals (ties) and intervals starting after the last left date cover no bucket.
-    buckets = F.when((hi >= lo) & (F.col(right_date) < F.coalesce(F.col(VALID_TO), F.date_add(upper_bound, 1))),
-                     F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    # The closed upper bucket may include the month of valid_to itself; the residual
+    # condition below is exact, so over-covering by one bucket only adds a candidate.
+    hi = F.coalesce(month_index(F.col(VALID_TO)), month_index(upper_bound))
+    # Empty intervals (ties) and intervals starting after the last left value cover no bucket.
+    live = (F.col(right_date) < F.col(VALID_TO)) | (F.col(VALID_TO).isNull() & (F.col(right_date) <= upper_bound))
+    buckets = F.when(live & (hi >= lo), F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
     rb = iv.select("*", F.explode(buckets).alias(BUCKET))
     lb = left.withColumn(BUCKET, month_index(F.col(left_date)))
     r_alias = "__asof_r_"

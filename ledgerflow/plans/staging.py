@@ -14,8 +14,12 @@ from ledgerflow.functions.expr import (
 )
 
 
-def stg_transaction_log(raw: DataFrame, run_date: _dt.date = config.RUN_DATE) -> DataFrame:
-    """Typed log: timestamp, raw and resolved business date, canonical type, money and quantities."""
+def stg_transaction_log(raw: DataFrame, run_date: _dt.date = config.RUN_DATE, keep: list[str] | None = None) -> DataFrame:
+    """Typed log: timestamp, raw and resolved business date, canonical type, money and quantities.
+
+    ``keep`` names extra raw columns carried through unchanged (e.g. row identity).
+    """
+    keep = list(keep or [])
     ts = parse_timestamp("timestamp")
     date_raw = F.when(blank_to_null("transaction_date").isNull(), F.lit(None).cast("date")) \
         .otherwise(parse_date("transaction_date"))
@@ -30,6 +34,7 @@ def stg_transaction_log(raw: DataFrame, run_date: _dt.date = config.RUN_DATE) ->
         default_payment_mode(payment, "payment_mode").alias("payment_mode"),
         *[to_decimal(c, 10, 3, default=0).alias(c) for c in config.QTY_COLUMNS],
         blank_to_null("remarks").alias("remarks"),
+        *keep,
     )
     total = sum((F.col(c) for c in config.QTY_COLUMNS[1:]), F.col(config.QTY_COLUMNS[0]))
     return parsed.select(
@@ -39,6 +44,7 @@ def stg_transaction_log(raw: DataFrame, run_date: _dt.date = config.RUN_DATE) ->
         *config.QTY_COLUMNS,
         total.alias("total_qty_kg"),
         "remarks",
+        *keep,
     )
 
 

@@ -38,8 +38,13 @@ def _lines_with_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(part, li.l_partkey == part.p_partkey, "left")
 
 
-def raw_transaction_log(spark: SparkSession, sf_dir: str, order_filter: Column | None = None) -> DataFrame:
-    """One all-string log row per order (FIXTURES.md B, 'Log row')."""
+def raw_transaction_log(spark: SparkSession, sf_dir: str, order_filter: Column | str | None = None,
+                        with_row_number: bool = False) -> DataFrame:
+    """One all-string log row per order (FIXTURES.md B, 'Log row').
+
+    ``with_row_number`` adds ``source_row_number``, the sheet row of the
+    form (header is row 1; rows follow the order key).
+    """
     lines = _lines_with_type(spark, sf_dir)
     q = F.col("l_quantity").cast(DecimalType(10, 3))
     per_order = lines.groupBy("l_orderkey").agg(
@@ -70,6 +75,7 @@ def raw_transaction_log(spark: SparkSession, sf_dir: str, order_filter: Column |
         .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Online")).otherwise(F.lit("")).alias("payment_mode"),
         *[_s(F.col(f"q{i}")).alias(c) for i, c in enumerate(config.QTY_COLUMNS, 1)],
         F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" ")).alias("remarks"),
+        *([(k + 2).cast("int").alias("source_row_number")] if with_row_number else []),
     )
     return out
 
