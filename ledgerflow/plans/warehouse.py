@@ -52,6 +52,11 @@ def surrogate(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+def counterparty_key(kind: str, name: Column) -> Column:
+    """md5 of ``kind|normalised name``; NULL when there is no name (no dimension row to point at)."""
+    return F.md5(F.concat(F.lit(f"{kind}|"), norm_name(name)))
+
+
 class Warehouse:
     def __init__(self, raw_log: DataFrame, vendor_rates: DataFrame, customer_rates: DataFrame,
                  run_date: _dt.date = config.RUN_DATE, sheet_id: str = "sheet"):
@@ -159,7 +164,7 @@ class Warehouse:
     # --- X12 / X13 facts ---------------------------------------------------------------------
     @cached_property
     def fact_inventory(self) -> DataFrame:
-        code = F.element_at(F.create_map(*[F.lit(x) for kv in PRODUCT_CODES.items() for x in kv]), F.col("product_name"))
+        code = analytics.pick_by_name("product_name", {n: F.lit(c) for n, c in PRODUCT_CODES.items()})
         movement = F.when(F.col("transaction_type") == config.PURCHASE, F.lit(INVENTORY_PURCHASE)) \
             .when(F.col("transaction_type") == config.SALE, F.lit(CUSTOMER_SALE))
         l = self.rated_lines
@@ -167,9 +172,9 @@ class Warehouse:
             surrogate(F.col("source_row_id"), code).alias("movement_id"), "source_row_id",
             movement.alias("movement_type"), "transaction_date", code.alias("product_key"),
             F.when(F.col("transaction_type") == config.PURCHASE,
-                   F.md5(F.concat_ws("|", F.lit("vendor"), norm_name(F.col("vendor_name"))))).alias("vendor_key"),
+                   counterparty_key("vendor", F.col("vendor_name"))).alias("vendor_key"),
             F.when(F.col("transaction_type") == config.SALE,
-                   F.md5(F.concat_ws("|", F.lit("customer"), norm_name(F.col("customer_name"))))).alias("customer_key"),
+                   counterparty_key("customer", F.col("customer_name"))).alias("customer_key"),
             "quantity_kg", "rate_rs", "line_value_rs", "rate_lookup_status",
             F.col("transaction_timestamp").alias("source_timestamp"), "remarks")
 
@@ -180,9 +185,9 @@ class Warehouse:
             surrogate(F.col("source_row_id"), F.lit("payment")).alias("payment_id"), "source_row_id",
             "payment_type", "transaction_date",
             F.when(F.col("transaction_type") == config.PURCHASE,
-                   F.md5(F.concat_ws("|", F.lit("vendor"), norm_name(F.col("vendor_name"))))).alias("vendor_key"),
+                   counterparty_key("vendor", F.col("vendor_name"))).alias("vendor_key"),
             F.when(F.col("transaction_type") == config.SALE,
-                   F.md5(F.concat_ws("|", F.lit("customer"), norm_name(F.col("customer_name"))))).alias("customer_key"),
+                   counterparty_key("customer", F.col("customer_name"))).alias("customer_key"),
             F.col("payment_rs").alias("amount_rs"), F.col("payment_mode").alias("payment_mode_key"),
             F.col("transaction_timestamp").alias("source_timestamp"), "remarks")
 
