@@ -50,28 +50,33 @@ def model(spark: SparkSession, sf_dir: str) -> TradingModel:
 
 # --- sources ---------------------------------------------------------------------------
 
+def contract_tabs(m: TradingModel) -> dict[str, DataFrame]:
+    """The three tabs with exactly their contract columns (no audit columns)."""
+    return {name: m.tabs[name].select(*dict.fromkeys(config.TAB_COLUMN_MAPS[name].values()))
+            for name in m.tabs}
+
+
 @query("raw_scan")
 def q_raw_scan(spark, sf_dir):
-    return model(spark, sf_dir).tabs["transaction_log"]
+    return contract_tabs(model(spark, sf_dir))["transaction_log"]
 
 
 @query("raw_drop_blank_rows")
 def q_raw_drop_blank_rows(spark, sf_dir):
-    return tabs.clean_cells(model(spark, sf_dir).tabs["transaction_log"])
+    return tabs.clean_cells(contract_tabs(model(spark, sf_dir))["transaction_log"])
 
 
 @query("row_count_parity")
 def q_row_count_parity(spark, sf_dir):
-    m = model(spark, sf_dir)
-    loaded = {k: tabs.clean_cells(v) for k, v in m.tabs.items()}
-    return state.row_count_parity(m.tabs, loaded)
+    t = contract_tabs(model(spark, sf_dir))
+    loaded = {k: tabs.clean_cells(v) for k, v in t.items()}
+    return state.row_count_parity(t, loaded)
 
 
 @query("row_count_delta")
 def q_row_count_delta(spark, sf_dir):
-    prev = TradingModel.staged(spark, sf_dir, RUN_DATE, order_filter=F.col("o_orderkey") % 10 != 1,
-                               filter_key="o_orderkey%10<>1").tabs
-    cur = model(spark, sf_dir).tabs
+    cur = contract_tabs(model(spark, sf_dir))
+    prev = {**cur, "transaction_log": _load(model(spark, sf_dir).tabs["transaction_log"], PREV_LOAD)}
     return state.row_count_delta(state.row_counts(prev), state.row_counts(cur))
 
 
@@ -410,27 +415,30 @@ def q_dq_positive_qty(spark, sf_dir):
 
 LOAD_TS = {"load-1": _dt.datetime(2001, 6, 29, 6, 0), "load-2": _dt.datetime(2001, 6, 30, 6, 0),
            "load-3": _dt.datetime(2001, 7, 1, 6, 0)}
-PREV_LOAD = ("o_orderkey%10<>1", "o_orderkey % 10 != 1")
-CUR_LOAD = ("o_orderkey%10<>2", "o_orderkey % 10 != 2")
+PREV_LOAD = ("prev", "(source_row_number - 2) % 10 != 1")   # the previous extract: order keys % 10 <> 1
+CUR_LOAD = ("cur", "(source_row_number - 2) % 10 != 2")     # the current extract: order keys % 10 <> 2
+
+
+def _load(log: DataFrame, load) -> DataFrame:
+    return log if load is None else log.where(load[1])
 
 
 def _numbered_log(spark, sf_dir, load=None) -> DataFrame:
-    """Ingested log for the second stage: cells stripped, blank rows dropped, sheet row number kept."""
+    """One extract of the ingested log for the second stage: cells stripped, blank rows dropped,
+    sheet row number kept.  The previous / current extracts are subsets of the one ingested log."""
     from ledgerflow.functions.expr import strip_all_whitespace
-    from ledgerflow.sources import fixtures
-    key, pred = load or ("all", None)
-
-    def build():
-        raw = fixtures.raw_transaction_log(spark, sf_dir, pred, with_row_number=True)
-        cols = [c for c in raw.columns if c != "source_row_number"]
-        return raw.select(*[strip_all_whitespace(F.col(c)).alias(c) for c in cols], "source_row_number") \
-               .where(F.length(F.concat_ws("", *[F.col(c) for c in cols])) > 0)
-    return store.stage(spark, f"rawnum|{sf_dir}|{key}", build)
+    raw = _load(model(spark, sf_dir).tabs["transaction_log"], load)
+    cols = [c for c in raw.columns if c != "source_row_number"]
+    return raw.select(*[strip_all_whitespace(F.col(c)).alias(c) for c in cols], "source_row_number") \
+        .where(F.length(F.concat_ws("", *[F.col(c) for c in cols])) > 0)
 
 
 def warehouse(spark, sf_dir, load=None) -> Warehouse:
+    """The second-stage model of a load; its identity and valued lines are written once per run."""
     m = model(spark, sf_dir)
-    return Warehouse(_numbered_log(spark, sf_dir, load), m.tabs["vendor_rates"], m.tabs["customer_rates"], RUN_DATE)
+    key = f"{sf_dir}|{(load or ('all',))[0]}|{RUN_DATE.isoformat()}"
+    return Warehouse(_numbered_log(spark, sf_dir, load), m.tabs["vendor_rates"], m.tabs["customer_rates"], RUN_DATE,
+                     stage=lambda name, build: store.stage(spark, f"wh|{name}|{key}", build))
 
 
 @query("row_fingerprint")

@@ -35,10 +35,14 @@ class TradingModel:
     @classmethod
     def staged(cls, spark: SparkSession, sf_dir: str, run_date: _dt.date = config.RUN_DATE,
                order_filter=None, filter_key: str = "all") -> "TradingModel":
-        """Model whose ingest (raw tabs) and mart base (allocated lines) are written once per session."""
+        """Model whose ingest (raw tabs) and mart base (allocated lines) are written once per session.
+
+        The ingested log keeps the sheet row number (``source_row_number``) next to
+        the contract columns; staging selects columns by name and ignores it.
+        """
         key = f"{sf_dir}|{filter_key}"
         tabs = {name: store.stage(spark, f"raw|{key}|{name}",
-                                  lambda name=name: fixtures.raw_tabs(spark, sf_dir, order_filter)[name])
+                                  lambda name=name: fixtures.raw_tabs(spark, sf_dir, order_filter, True)[name])
                 for name in ("transaction_log", "vendor_rates", "customer_rates")}
         return cls(tabs, run_date, spark, f"{key}|{run_date.isoformat()}")
 

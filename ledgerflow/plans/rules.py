@@ -149,7 +149,10 @@ def quarantine(wh: Warehouse, run_ts: _dt.datetime | None = None) -> DataFrame:
     errs = F.transform(broken_rules(log_rules(wh.run_date, run_ts), "error"), lambda s: s["rule_id"])
     raw_json = F.to_json(F.struct(*[F.col(c) for c in sorted(wh.raw_log.columns) if c != "source_row_number"]))
     flagged = wh.identified.select("source_row_id", raw_json.alias("raw_json"))
-    ids = log.select("source_row_id", F.array_join(F.array_sort(errs), ",").alias("rule_ids")).where("rule_ids != ''")
+    # A generator keeps only rows with errors.  (A Filter on the joined ids would be pushed below
+    # the projection with the whole rule expression substituted into it - evaluated twice per row.)
+    joined = F.array(F.array_join(F.array_sort(errs), ","))
+    ids = log.select("source_row_id", F.explode(F.filter(joined, lambda x: x != "")).alias("rule_ids"))
     return ids.join(flagged, "source_row_id", "inner")
 
 

@@ -59,18 +59,24 @@ def counterparty_key(kind: str, name: Column) -> Column:
 
 class Warehouse:
     def __init__(self, raw_log: DataFrame, vendor_rates: DataFrame, customer_rates: DataFrame,
-                 run_date: _dt.date = config.RUN_DATE, sheet_id: str = "sheet"):
-        """``raw_log`` = cleaned all-string log plus ``source_row_number``."""
+                 run_date: _dt.date = config.RUN_DATE, sheet_id: str = "sheet", stage=None):
+        """``raw_log`` = cleaned all-string log plus ``source_row_number``.
+
+        ``stage(name, build)`` (optional) materialises the identity and the
+        valued lines once per run - each is read by several facts, marts and
+        quality checks; without it they stay lazy.
+        """
         self.raw_log = raw_log
         self.vendor_rates = vendor_rates
         self.customer_rates = customer_rates
         self.run_date = run_date
         self.sheet_id = sheet_id
+        self._stage = stage or (lambda name, build: build())
 
     @cached_property
     def identified(self) -> DataFrame:
-        return with_source_row_id(self.raw_log, self.sheet_id, LOG_TAB, list(LOG_FINGERPRINT.values()),
-                                  names=list(LOG_FINGERPRINT))
+        return self._stage("identified", lambda: with_source_row_id(
+            self.raw_log, self.sheet_id, LOG_TAB, list(LOG_FINGERPRINT.values()), names=list(LOG_FINGERPRINT)))
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -115,6 +121,9 @@ class Warehouse:
 
     @cached_property
     def rated_lines(self) -> DataFrame:
+        return self._stage("rated_lines", self._rated_lines)
+
+    def _rated_lines(self) -> DataFrame:
         lines = self.lines
         upper = lines.agg(F.max("transaction_date")).scalar()
         hit = asof_join(lines, self.rates, ["side", "counterparty"], "transaction_date", "effective_from",

@@ -107,9 +107,10 @@ def raw_customer_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rates(lo, "customer_name", F.concat(F.lit("C"), (F.col("o_custkey") % 150).cast("string")))
 
 
-def raw_tabs(spark: SparkSession, sf_dir: str, order_filter: Column | None = None) -> dict[str, DataFrame]:
+def raw_tabs(spark: SparkSession, sf_dir: str, order_filter: Column | None = None,
+             with_row_number: bool = False) -> dict[str, DataFrame]:
     return {
-        "transaction_log": raw_transaction_log(spark, sf_dir, order_filter),
+        "transaction_log": raw_transaction_log(spark, sf_dir, order_filter, with_row_number),
         "vendor_rates": raw_vendor_rates(spark, sf_dir),
         "customer_rates": raw_customer_rates(spark, sf_dir),
     }
