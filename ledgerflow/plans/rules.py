@@ -97,9 +97,11 @@ def broken_rules(rules: Sequence[Rule], severity: str | None = None) -> Column:
 
 
 def _log_input(wh: Warehouse) -> DataFrame:
+    """Typed log rows with their identity, raw cells (``raw_*``) and the raw row as JSON."""
     raw_cols = ["transaction_type", "vendor_name", "customer_name", "payment_rs", "payment_mode", *config.QTY_COLUMNS]
-    ident = wh.identified.select("*", *[F.col(c).alias(f"raw_{c}") for c in raw_cols])
-    keep = ["source_row_id", "source_row_number", "content_fingerprint"] + [f"raw_{c}" for c in raw_cols]
+    raw_json = F.to_json(F.struct(*[F.col(c) for c in sorted(wh.raw_log.columns) if c != "source_row_number"]))
+    ident = wh.identified.select("*", *[F.col(c).alias(f"raw_{c}") for c in raw_cols], raw_json.alias("raw_json"))
+    keep = ["source_row_id", "source_row_number", "content_fingerprint", "raw_json"] + [f"raw_{c}" for c in raw_cols]
     return staging.stg_transaction_log(ident, wh.run_date, keep=keep)
 
 
@@ -143,17 +145,14 @@ def violations(wh: Warehouse, run_ts: _dt.datetime | None = None) -> DataFrame:
 
 
 def quarantine(wh: Warehouse, run_ts: _dt.datetime | None = None) -> DataFrame:
-    """Log rows with at least one error: id, sorted rule ids and the raw row as JSON (one pass)."""
+    """Log rows with at least one error: id, sorted rule ids and the raw row as JSON - one narrow pass."""
     run_ts = run_ts or _dt.datetime.combine(wh.run_date, _dt.time()) + _dt.timedelta(days=1)
     log = _log_input(wh)
     errs = F.transform(broken_rules(log_rules(wh.run_date, run_ts), "error"), lambda s: s["rule_id"])
-    raw_json = F.to_json(F.struct(*[F.col(c) for c in sorted(wh.raw_log.columns) if c != "source_row_number"]))
-    flagged = wh.identified.select("source_row_id", raw_json.alias("raw_json"))
-    # A generator keeps only rows with errors.  (A Filter on the joined ids would be pushed below
+    # A generator keeps only rows with errors.  (A Filter on the computed ids would be pushed below
     # the projection with the whole rule expression substituted into it - evaluated twice per row.)
     joined = F.array(F.array_join(F.array_sort(errs), ","))
-    ids = log.select("source_row_id", F.explode(F.filter(joined, lambda x: x != "")).alias("rule_ids"))
-    return ids.join(flagged, "source_row_id", "inner")
+    return log.select("source_row_id", F.explode(F.filter(joined, lambda x: x != "")).alias("rule_ids"), "raw_json")
 
 
 # --- fixed values: the nine validation checks ------------------------------------------------------
