@@ -12,6 +12,7 @@ re-deriving it - the same materialisation boundary as the reference's
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,20 +20,25 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerflow.session import scratch_root
 
 _WRITTEN: dict[tuple[int, str], str] = {}
+_LOCKS: dict[tuple[int, str], threading.Lock] = {}
+_GUARD = threading.Lock()
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
 def stage(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> DataFrame:
     sid = id(spark._jsparkSession)
-    hit = _WRITTEN.get((sid, key))
-    if hit is None:
-        digest = hashlib.sha1(key.encode()).hexdigest()[:16]
-        hit = f"{scratch_root(spark)}/run-{_RUN_ID}/{digest}"
-        w = build().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(hit)
-        _WRITTEN[(sid, key)] = hit
+    with _GUARD:
+        lock = _LOCKS.setdefault((sid, key), threading.Lock())
+    with lock:  # concurrent callers of one stage wait for the single writer
+        hit = _WRITTEN.get((sid, key))
+        if hit is None:
+            digest = hashlib.sha1(key.encode()).hexdigest()[:16]
+            hit = f"{scratch_root(spark)}/run-{_RUN_ID}/{digest}"
+            w = build().write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(hit)
+            _WRITTEN[(sid, key)] = hit
     return spark.read.parquet(hit)
 
 
