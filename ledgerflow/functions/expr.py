@@ -46,9 +46,18 @@ def to_decimal(c: ColumnOrName, precision: int, scale: int, default=None) -> Col
 
 
 def parse_timestamp(c: ColumnOrName, formats: Iterable[str] = config.TIMESTAMP_FORMATS) -> Column:
-    """Multi-format timestamp parse; the first format that parses wins."""
+    """Multi-format timestamp parse; the first format that parses wins.
+
+    The result is a naive business time (TIMESTAMP_NTZ): parsed and cast back
+    in the same session zone, so it reads the same in every time zone.
+    """
     s = F.trim(_c(c))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+
+
+def naive_ts(ts: _dt.datetime) -> Column:
+    """A TIMESTAMP_NTZ literal, built from text so no time zone is applied."""
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def parse_date(c: ColumnOrName, formats: Iterable[str] = config.DATE_FORMATS) -> Column:

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.expr import naive_ts
+
 
 def fingerprint(cols: Sequence[str], names: Sequence[str] | None = None) -> F.Column:
     """sha-256 hex of the JSON object of the columns, keys sorted (NULL cells as '')."""
@@ -56,9 +58,9 @@ STATE_COLUMNS = ["source_row_id", "is_deleted", "deleted_at", "deletion_reason",
 def initial_state(ids: DataFrame, load_id: str, load_ts: _dt.datetime, key: str = "source_row_id") -> DataFrame:
     return ids.select(key).distinct().select(
         F.col(key).alias("source_row_id"), F.lit(False).alias("is_deleted"),
-        F.lit(None).cast("timestamp").alias("deleted_at"), F.lit(None).cast("string").alias("deletion_reason"),
+        F.lit(None).cast("timestamp_ntz").alias("deleted_at"), F.lit(None).cast("string").alias("deletion_reason"),
         F.lit(None).cast("string").alias("deleted_by_load_id"), F.lit(load_id).alias("last_seen_load_id"),
-        F.lit(load_ts).cast("timestamp").alias("last_seen_at"))
+        naive_ts(load_ts).alias("last_seen_at"))
 
 
 def apply_soft_delete(state: DataFrame, current_ids: DataFrame, load_id: str, load_ts: _dt.datetime,
@@ -69,7 +71,7 @@ def apply_soft_delete(state: DataFrame, current_ids: DataFrame, load_id: str, lo
     seen = F.col("__seen").isNotNull()
     was_known = F.col("is_deleted").isNotNull()
     was_deleted = F.coalesce(F.col("is_deleted"), F.lit(False))
-    ts = F.lit(load_ts).cast("timestamp")
+    ts = naive_ts(load_ts)
     change = (F.when(seen & ~was_known, F.lit("inserted"))
               .when(seen & was_deleted, F.lit("reactivated"))
               .when(seen, F.lit("kept"))
@@ -79,7 +81,7 @@ def apply_soft_delete(state: DataFrame, current_ids: DataFrame, load_id: str, lo
     return j.select(
         "source_row_id",
         F.when(seen, F.lit(False)).otherwise(F.lit(True)).alias("is_deleted"),
-        F.when(seen, F.lit(None).cast("timestamp")).when(newly_deleted, ts).otherwise(F.col("deleted_at"))
+        F.when(seen, F.lit(None).cast("timestamp_ntz")).when(newly_deleted, ts).otherwise(F.col("deleted_at"))
         .alias("deleted_at"),
         F.when(seen, F.lit(None).cast("string")).when(newly_deleted, F.lit("source_removed"))
         .otherwise(F.col("deletion_reason")).alias("deletion_reason"),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import config
-from ledgerflow.functions.expr import blank_to_null, parse_date, to_decimal
+from ledgerflow.functions.expr import blank_to_null, naive_ts, parse_date, to_decimal
 from ledgerflow.operators.cdc import fingerprint
 from ledgerflow.operators.dedup import near_duplicates
 from ledgerflow.plans import staging
@@ -51,7 +51,7 @@ def log_rules(run_date: _dt.date, run_ts: _dt.datetime) -> list[Rule]:
         ("stg_txn_type_null", "error", blank_to_null("raw_transaction_type").isNull()),
         ("stg_txn_timestamp_null", "error", F.col("transaction_timestamp").isNull()),
         ("stg_txn_timestamp_future", "warning",
-         F.col("transaction_timestamp") > F.lit(run_ts) + F.expr("interval 5 minutes")),
+         F.col("transaction_timestamp") > naive_ts(run_ts) + F.expr("interval 5 minutes")),
         ("stg_txn_date_future", "warning", F.col("transaction_date") > F.lit(run_date)),
         ("stg_txn_date_too_old", "warning", F.col("transaction_date") < F.lit(OLDEST_DATE)),
         ("stg_txn_vendor_required", "error", purchase & ~vendor),
