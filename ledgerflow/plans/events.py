@@ -30,5 +30,5 @@ def purchase_last_view(events: DataFrame) -> DataFrame:
 
 def duplicate_events(events: DataFrame, seconds: int = 60) -> DataFrame:
     flagged = near_duplicates(events.select("event_id", "ts", "user_id", "event_type"),
-                              ["user_id", "event_type"], "ts", seconds, tiebreak=["event_id"])
+                              ["user_id", "event_type"], "ts", seconds)
     return flagged.where("is_near_duplicate").select("event_id", "ts", "user_id", "event_type")

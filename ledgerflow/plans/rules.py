@@ -124,7 +124,7 @@ def violations(wh: Warehouse, run_ts: _dt.datetime | None = None) -> DataFrame:
     parts = [log.select(F.lit(LOG_TAB).alias("sheet_tab"), "source_row_id",
                         F.explode(broken_rules(log_rules(wh.run_date, run_ts))).alias("v"))]
     dup = near_duplicates(log.select("source_row_id", "content_fingerprint", "transaction_timestamp"),
-                          ["content_fingerprint"], "transaction_timestamp", 60, tiebreak=["source_row_id"])
+                          ["content_fingerprint"], "transaction_timestamp", 60)
     parts.append(dup.where("is_near_duplicate").select(
         F.lit(LOG_TAB).alias("sheet_tab"), "source_row_id",
         F.struct(F.lit("stg_txn_duplicate_submission").alias("rule_id"), F.lit("warning").alias("severity")).alias("v")))

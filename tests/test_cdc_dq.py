@@ -50,7 +50,7 @@ def test_near_duplicates_match_brute_force(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [(i, rnd.choice("ab"), base + dt.timedelta(seconds=rnd.randint(0, 20000))) for i in range(400)]
     df = spark.createDataFrame(rows, "id int, k string, ts timestamp")
-    got = {r.id for r in near_duplicates(df, ["k"], "ts", 60, bucket_seconds=600, tiebreak=["id"])
+    got = {r.id for r in near_duplicates(df, ["k"], "ts", 60)
            .where("is_near_duplicate").collect()}
     expect = {i for i, k, t in rows
               if any(j != i and k2 == k and abs((t2 - t).total_seconds()) <= 60 for j, k2, t2 in rows)}
