@@ -450,21 +450,29 @@ def _ids(spark, sf_dir, load):
     return warehouse(spark, sf_dir, load).identified.select("source_row_id")
 
 
+def _load_ids(spark, sf_dir, *loads):
+    """Identity of several extracts; their identity stages are written concurrently."""
+    return store.in_parallel([lambda load=load: _ids(spark, sf_dir, load) for load in loads])
+
+
 @query("snapshot_diff")
 def q_snapshot_diff(spark, sf_dir):
-    return cdc.snapshot_diff(_ids(spark, sf_dir, PREV_LOAD), _ids(spark, sf_dir, CUR_LOAD))
+    prev, cur = _load_ids(spark, sf_dir, PREV_LOAD, CUR_LOAD)
+    return cdc.snapshot_diff(prev, cur)
 
 
-def _state_after_load2(spark, sf_dir):
-    s1 = cdc.initial_state(_ids(spark, sf_dir, PREV_LOAD), "load-1", LOAD_TS["load-1"])
-    return cdc.apply_soft_delete(s1, _ids(spark, sf_dir, CUR_LOAD), "load-2", LOAD_TS["load-2"]).drop("change")
+def _state_after_load2(spark, sf_dir, prev=None, cur=None):
+    if prev is None or cur is None:
+        prev, cur = _load_ids(spark, sf_dir, PREV_LOAD, CUR_LOAD)
+    s1 = cdc.initial_state(prev, "load-1", LOAD_TS["load-1"])
+    return cdc.apply_soft_delete(s1, cur, "load-2", LOAD_TS["load-2"]).drop("change")
 
 
 @query("soft_delete")
 def q_soft_delete(spark, sf_dir):
     """Lifecycle after three loads: rows dropped in load 2 come back (reactivated) in load 3."""
-    return cdc.apply_soft_delete(_state_after_load2(spark, sf_dir), _ids(spark, sf_dir, None), "load-3",
-                                 LOAD_TS["load-3"])
+    prev, cur, every = _load_ids(spark, sf_dir, PREV_LOAD, CUR_LOAD, None)
+    return cdc.apply_soft_delete(_state_after_load2(spark, sf_dir, prev, cur), every, "load-3", LOAD_TS["load-3"])
 
 
 @query("active_rows")

@@ -41,9 +41,12 @@ class TradingModel:
         the contract columns; staging selects columns by name and ignores it.
         """
         key = f"{sf_dir}|{filter_key}"
-        tabs = {name: store.stage(spark, f"raw|{key}|{name}",
-                                  lambda name=name: fixtures.raw_tabs(spark, sf_dir, order_filter, True)[name])
-                for name in ("transaction_log", "vendor_rates", "customer_rates")}
+        names = ("transaction_log", "vendor_rates", "customer_rates")
+        written = store.in_parallel(
+            [lambda name=name: store.stage(spark, f"raw|{key}|{name}",
+                                           lambda: fixtures.raw_tabs(spark, sf_dir, order_filter, True)[name])
+             for name in names])
+        tabs = dict(zip(names, written))
         return cls(tabs, run_date, spark, f"{key}|{run_date.isoformat()}")
 
     # staging
@@ -136,11 +139,14 @@ def run(spark: SparkSession, model: TradingModel, out_root: str) -> dict[str, st
         "mart_customer_summary": (marts.customer_summary(allocated), None),
         "mart_product_summary": (marts.product_summary(allocated), None),
     }
-    for name, (df, part) in outputs.items():
+    def write(name, df, part):
         w = df.write.mode("overwrite")
         if part:
             w = w.partitionBy(part)
         path = f"{out_root}/marts/{name}"
         w.parquet(path)
-        paths[name] = path
+        return name, path
+
+    # The five marts only read the written allocated lines: independent jobs, run concurrently.
+    paths.update(store.in_parallel([lambda n=n, d=d, p=p: write(n, d, p) for n, (d, p) in outputs.items()]))
     return paths

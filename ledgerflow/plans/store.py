@@ -50,3 +50,18 @@ def forget(spark: SparkSession | None = None) -> None:
     sid = id(spark._jsparkSession)
     for k in [k for k in _WRITTEN if k[0] == sid]:
         del _WRITTEN[k]
+
+
+def in_parallel(thunks, max_workers: int = 4) -> list:
+    """Run independent Spark actions (stage writes) as concurrent jobs; results in input order.
+
+    The scheduler then fills the cluster with tasks of several jobs at once
+    instead of running small jobs back to back (the reference's transform step
+    runs its independent models on four threads the same way).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    thunks = list(thunks)
+    if len(thunks) <= 1:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(thunks))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in thunks]]
