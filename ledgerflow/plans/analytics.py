@@ -93,9 +93,10 @@ def choose_rates(items: DataFrame, rates: DataFrame) -> DataFrame:
     NULL cell on the newest row gives NULL (no fall back to older rows).
     """
     lookups = rate_lookups(items)
-    upper = items.agg(F.max("transaction_date")).scalar()
+    # Open intervals are capped at max(lookup_date) of the lookups themselves: the bound's
+    # subquery reads the same shuffle output as the join instead of re-parsing the log.
     hit = asof_join(lookups, rates, ["side", "counterparty"], "lookup_date", "effective_from",
-                    how="inner", tiebreak=list(config.RATE_COLUMNS), upper_bound=upper)
+                    how="inner", tiebreak=list(config.RATE_COLUMNS))
     return hit.select("transaction_key", "product_name",
                       pick_by_name("product_name", RATE_BY_PRODUCT).alias("applicable_rate"),
                       "effective_from")
