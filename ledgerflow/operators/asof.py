@@ -11,7 +11,7 @@ Plan (no pairs are ever materialised):
    the (date, tie-break) order, so the pick is deterministic.
 2. *Bucket* the intervals by calendar month and explode each interval into
    the months it covers.  The open last interval is cut at the largest left
-   date (an uncorrelated scalar subquery, computed once).
+   date (one aggregate, evaluated once and passed as a literal).
 3. *Equi-join* on ``(key, month)`` with the residual
    ``right_date <= left_date < valid_to``.  Intervals are disjoint, so every
    left row meets at most one interval: the output has exactly the left rows.
@@ -28,13 +28,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.expr import naive_ts
+
 BUCKET = "__asof_bucket"
 VALID_TO = "__asof_valid_to"
 
 
+def value_literal(v) -> Column:
+    """Literal for a date / timestamp value read back from an aggregate (timestamps stay zone-free)."""
+    if isinstance(v, _dt.datetime):
+        return naive_ts(v)
+    return F.lit(v)
+
+
 def month_index(d: Column) -> Column:
     """Months since year 0 for a DATE or TIMESTAMP."""
     return F.year(d) * 12 + F.month(d) - 1
@@ -53,11 +64,13 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_date: s
     """Backward inclusive as-of join; returns left columns + right columns (minus keys).
 
     ``on`` names the equi-key columns, present under the same names on both
-    sides.  ``upper_bound`` (a DATE column expression, e.g. a scalar
-    subquery) caps the open last interval; by default it is ``max(left_date)``.
+    sides.  ``upper_bound`` (a DATE / TIMESTAMP column expression) caps the
+    open last interval; by default it is ``max(left_date)``, computed once.
     """
     if upper_bound is None:
-        upper_bound = left.agg(F.max(left_date)).scalar()
+        # One small distributed aggregate, evaluated once; the value is a literal in the plan
+        # (a scalar subquery referenced by several expressions may be evaluated several times).
+        upper_bound = value_literal(left.agg(F.max(left_date)).first()[0])
     iv = intervalise(right, on, right_date, tiebreak)
     lo = month_index(F.col(right_date))
     # The closed upper bucket may include the month of valid_to itself; the residual

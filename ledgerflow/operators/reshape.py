@@ -29,11 +29,6 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], columns: Mapping[str, str
     return renamed.unpivot(list(ids), list(columns.values()), name_col, value_col)
 
 
-def date_bounds(df: DataFrame, date_col: str) -> tuple[Column, Column]:
-    """(min, max) of a date column as two uncorrelated scalar subqueries (merged by Catalyst)."""
-    return df.agg(F.min(date_col)).scalar(), df.agg(F.max(date_col)).scalar()
-
-
 def date_spine(df: DataFrame, date_col: str, out_col: str = "date") -> DataFrame:
     """Continuous calendar from min to max of ``date_col``; empty input gives no rows."""
     bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
@@ -54,9 +49,10 @@ def densify_running(sparse: DataFrame, entity: Sequence[str], date_col: str, flo
     global min/max of ``date_col`` (the shared calendar of every entity).
     """
     if start is None or end is None:
-        s, e = date_bounds(sparse, date_col)
-        start = s if start is None else start
-        end = e if end is None else end
+        # The shared calendar's bounds: one aggregate, evaluated once, passed as literals.
+        lo, hi = sparse.agg(F.min(date_col), F.max(date_col)).first()
+        start = F.lit(lo) if start is None else start
+        end = F.lit(hi) if end is None else end
     w = Window.partitionBy(*entity).orderBy(date_col)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     staged = sparse.select(

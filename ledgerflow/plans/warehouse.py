@@ -125,9 +125,8 @@ class Warehouse:
 
     def _rated_lines(self) -> DataFrame:
         lines = self.lines
-        upper = lines.agg(F.max("transaction_date")).scalar()
         hit = asof_join(lines, self.rates, ["side", "counterparty"], "transaction_date", "effective_from",
-                        how="left", tiebreak=list(config.RATE_COLUMNS), upper_bound=upper)
+                        how="left", tiebreak=list(config.RATE_COLUMNS))
         rate = analytics.pick_by_name("product_name", analytics.RATE_BY_PRODUCT)
         names = self.rates.select("side", "counterparty").distinct()
         exact = names.withColumn("__exact", F.lit(True))
