@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
 from ledgerflow.functions.expr import pick_by_name, transaction_key
-from ledgerflow.operators.asof import asof_join
+from ledgerflow.operators.asof import asof_join, value_literal
 from ledgerflow.operators.reshape import unpivot_columns
 
 RATE_BY_PRODUCT = dict(zip(config.PRODUCT_NAMES, config.RATE_COLUMNS))
@@ -93,10 +93,11 @@ def choose_rates(items: DataFrame, rates: DataFrame) -> DataFrame:
     NULL cell on the newest row gives NULL (no fall back to older rows).
     """
     lookups = rate_lookups(items)
-    # Open intervals are capped at max(lookup_date) of the lookups themselves: the bound's
-    # subquery reads the same shuffle output as the join instead of re-parsing the log.
+    # Open intervals are capped at the largest line date: a column-pruned max over the lines
+    # (no shuffle), evaluated once; max(lookup_date) would need the lookups' aggregation again.
+    upper = value_literal(items.agg(F.max("transaction_date")).first()[0])
     hit = asof_join(lookups, rates, ["side", "counterparty"], "lookup_date", "effective_from",
-                    how="inner", tiebreak=list(config.RATE_COLUMNS))
+                    how="inner", tiebreak=list(config.RATE_COLUMNS), upper_bound=upper)
     return hit.select("transaction_key", "product_name",
                       pick_by_name("product_name", RATE_BY_PRODUCT).alias("applicable_rate"),
                       "effective_from")
