@@ -25,8 +25,12 @@ _GUARD = threading.Lock()
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
+def _sid(spark: SparkSession) -> int:
+    return id(getattr(spark, "_jsparkSession", spark))
+
+
 def stage(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> DataFrame:
-    sid = id(spark._jsparkSession)
+    sid = _sid(spark)
     with _GUARD:
         lock = _LOCKS.setdefault((sid, key), threading.Lock())
     with lock:  # concurrent callers of one stage wait for the single writer
@@ -47,7 +51,7 @@ def forget(spark: SparkSession | None = None) -> None:
     if spark is None:
         _WRITTEN.clear()
         return
-    sid = id(spark._jsparkSession)
+    sid = _sid(spark)
     for k in [k for k in _WRITTEN if k[0] == sid]:
         del _WRITTEN[k]
 

@@ -44,11 +44,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only when it is unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext handle (e.g. a remote session)
+            current = None
     if current:
         return current
     path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:
+        pass
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 

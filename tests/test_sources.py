@@ -27,3 +27,14 @@ def test_read_csv_export_pads_strips_and_drops_blank_rows(spark):
     assert len(df.columns) == 13 and len(rows) == 2
     assert rows[0].transaction_type == "Purchase" and rows[0].payment_rs == "500"
     assert rows[1].payment_rs == "" and rows[1].remarks == ""
+
+
+def test_json_and_parquet_exports(spark):
+    d = tempfile.mkdtemp(prefix="ledgerflow-tab-")
+    rows = [{"Timestamp": "2026-06-10 09:00:00", "Transaction Type": "Sale", "Customer Name": " C1 "}]
+    spark.createDataFrame(rows).write.json(os.path.join(d, "log.json"))
+    spark.createDataFrame(rows).write.parquet(os.path.join(d, "log.parquet"))
+    for fmt in ("json", "parquet"):
+        df = clean_cells(read_tab_export(spark, os.path.join(d, f"log.{fmt}"), TRANSACTION_LOG_COLUMN_MAP, fmt))
+        (r,) = df.collect()
+        assert r.customer_name == "C1" and r.vendor_name == "" and len(df.columns) == 13
