@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
-from ledgerflow.functions.expr import cond_sum, fiscal_year_start, month_start, week_start
+from ledgerflow.functions.expr import cond_sum, fiscal_year_start, month_start, round_half_away, week_start
 from ledgerflow.operators.asof import asof_join
 from ledgerflow.operators.cdc import with_source_row_id
 from ledgerflow.operators.reshape import unpivot_columns
@@ -298,6 +298,25 @@ class Warehouse:
             F.count(F.lit(1)).cast("double").alias("payment_event_count"),
         )
         txn = self.stg.agg(F.count_distinct("source_row_id").cast("double").alias("transaction_count"))
+        cash, online = F.col("payment_mode_key") == "Cash", F.col("payment_mode_key") == "Online"
+        flows = p.agg(
+            cond_sum(cin & cash, F.col("amount_rs")).cast("double").alias("cash_in"),
+            cond_sum(cout & cash, F.col("amount_rs")).cast("double").alias("cash_out"),
+            cond_sum(cin & online, F.col("amount_rs")).cast("double").alias("online_in"),
+            cond_sum(cout & online, F.col("amount_rs")).cast("double").alias("online_out"))
+        flows = flows.withColumn("net_cash_flow", F.col("cash_in") + F.col("online_in")
+                                 - F.col("cash_out") - F.col("online_out"))
+        total_ar = self.ar_balance().agg(F.sum("ar_balance").cast("double").alias("total_ar_outstanding"))
+        total_ap = self.ap_balance().agg(F.sum("ap_balance").cast("double").alias("total_ap_outstanding"))
+        # On-hand value: per product, on-hand kg x weighted average purchase rate (matched purchases),
+        # rounded to paise per product, then summed exactly.
+        per_product = f.groupBy("product_key").agg(
+            (cond_sum(buy, F.col("quantity_kg")) - cond_sum(sale, F.col("quantity_kg"))).alias("on_hand"),
+            cond_sum(buy & matched, F.col("line_value_rs")).alias("bought_value"),
+            cond_sum(buy & matched, F.col("quantity_kg")).alias("bought_qty"))
+        value = round_half_away(F.col("on_hand").cast("double") * F.try_divide(
+            F.col("bought_value").cast("double"), F.col("bought_qty").cast("double")))
+        on_hand_value = per_product.agg(F.sum(value.cast(MONEY)).cast("double").alias("inventory_on_hand_value_rs"))
         derived = {
             "avg_selling_price_per_kg": F.try_divide(F.col("gross_revenue"), F.col("sales_quantity_kg")),
             "avg_purchase_price_per_kg": F.try_divide(F.col("purchase_cost"), F.col("purchase_quantity_kg")),
@@ -314,6 +333,10 @@ class Warehouse:
             inv_long.unpivot([], inv_long.columns, "metric", "value"),
             pay_long.unpivot([], pay_long.columns, "metric", "value"),
             txn.unpivot([], txn.columns, "metric", "value"),
+            flows.unpivot([], flows.columns, "metric", "value"),
+            total_ar.unpivot([], total_ar.columns, "metric", "value"),
+            total_ap.unpivot([], total_ap.columns, "metric", "value"),
+            on_hand_value.unpivot([], on_hand_value.columns, "metric", "value"),
         ]
         out = parts[0]
         for part in parts[1:]:
