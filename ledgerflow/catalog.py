@@ -447,7 +447,13 @@ def q_row_fingerprint(spark, sf_dir):
 
 
 def _ids(spark, sf_dir, load):
-    return warehouse(spark, sf_dir, load).identified.select("source_row_id")
+    """Ids of one extract: the rows of the fingerprinted log in that extract, re-identified within it
+    (content fingerprints do not depend on the extract; only the collision suffix does)."""
+    every = warehouse(spark, sf_dir).identified
+    if load is None:
+        return every.select("source_row_id")
+    from ledgerflow.plans.warehouse import LOG_TAB
+    return cdc.assign_source_row_id(_load(every, load), "sheet", LOG_TAB).select("source_row_id")
 
 
 def _load_ids(spark, sf_dir, *loads):

@@ -33,6 +33,16 @@ def fingerprint(cols: Sequence[str], names: Sequence[str] | None = None) -> F.Co
 def with_source_row_id(df: DataFrame, sheet_id: str, tab: str, cols: Sequence[str],
                        row_number_col: str = "source_row_number", names: Sequence[str] | None = None) -> DataFrame:
     fp = df.withColumn("content_fingerprint", fingerprint(cols, names))
+    return assign_source_row_id(fp, sheet_id, tab, row_number_col)
+
+
+def assign_source_row_id(fp: DataFrame, sheet_id: str, tab: str,
+                         row_number_col: str = "source_row_number") -> DataFrame:
+    """Ids for one load of fingerprinted rows (the collision suffix depends on the load's own copies).
+
+    A subset of an already fingerprinted table is re-identified without hashing again.
+    """
+    fp = fp.drop("source_row_id")
     counts = fp.groupBy("content_fingerprint").agg(F.count(F.lit(1)).alias("__copies"))
     j = fp.join(counts, "content_fingerprint", "left")
     base = F.concat_ws(":", F.lit(sheet_id), F.lit(tab), F.substring("content_fingerprint", 1, 16))
