@@ -131,9 +131,13 @@ def q_payment_events(spark, sf_dir):
 
 
 def _chosen(spark, sf_dir, side: str | None) -> DataFrame:
+    """Chosen rates of one side: the run's rate stage, filtered (a key belongs to exactly one side)."""
     m = model(spark, sf_dir)
-    items = m.items if side is None else m.items.where(F.col("transaction_type") == side)
-    return edge(analytics.choose_rates(items, m.rates))
+    chosen = m.chosen_rates
+    if side is not None:
+        keys = m.items.where(F.col("transaction_type") == side).select("transaction_key").distinct()
+        chosen = chosen.join(keys, "transaction_key", "left_semi")
+    return edge(chosen)
 
 
 @query("asof_rate_vendor")

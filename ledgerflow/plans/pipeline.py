@@ -86,7 +86,11 @@ class TradingModel:
 
     @cached_property
     def chosen_rates(self) -> DataFrame:
-        return analytics.choose_rates(self.items, self.rates)
+        """Rate per (transaction key, product); written once per run when staged (the as-of join runs once)."""
+        if self.stage_key is None:
+            return analytics.choose_rates(self.items, self.rates)
+        return store.stage(self.spark, f"chosen|{self.stage_key}",
+                           lambda: analytics.choose_rates(self.items, self.rates))
 
     @cached_property
     def enriched(self) -> DataFrame:

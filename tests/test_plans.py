@@ -25,6 +25,7 @@ def test_no_cross_joins_or_python_udfs(spark, name):
 
 
 def test_asof_join_keys_include_month_bucket(spark):
-    plan = _plan(E.queries()["asof_rate_unified"](spark, SF))
+    from ledgerflow.plans.pipeline import TradingModel
+    plan = _plan(TradingModel.from_driver(spark, SF).chosen_rates)  # the as-of itself, not its written stage
     join_lines = [ln for ln in plan.splitlines() if "Join" in ln and "__asof_bucket" in ln]
     assert join_lines, plan
