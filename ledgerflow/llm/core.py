@@ -15,8 +15,13 @@ documents) costs a bucket one entry per group, not one per document.
 from __future__ import annotations
 
 import math
+import os
 import pickle
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_root
+
 #: Target size of a text group; a group is one unit of Python work.
 GROUP_BYTES = 8 << 20
 #: Bytes hashed at a time inside a group (a single longer document is one chunk).
@@ -234,19 +241,20 @@ def squeeze(v: np.ndarray) -> np.ndarray:
     return v
 
 
-def answer(asks: DataFrame, resolve: Callable[..., np.ndarray]) -> DataFrame:
+def answer(asks: DataFrame, resolve: Callable[..., np.ndarray], positives: bool = False) -> DataFrame:
     """Resolve each bucket: ``resolve(group of each entry, hashes, *values)`` gives one reply value per entry.
 
-    Replies go back as rows of the same shape and order as the asks.  A bucket
-    is a hash range sized like a text group.
+    Replies go back as rows of the same shape and order as the asks; with
+    ``positives`` the reply is instead the list of hashes whose value is true.
+    A bucket is a hash range sized like a text group.
     """
     def bucket(_key: tuple, table: pa.Table) -> pa.Table:
         asked = [pickle.loads(x) for x in table.column("payload").to_pylist()]
         sizes = [len(x[0]) for x in asked]
         groups = np.repeat(np.asarray(table.column("g"), dtype=np.int64), sizes)
-        replies = resolve(groups, *(np.concatenate(parts) for parts in zip(*asked)))
+        said = resolve(groups, *(np.concatenate(parts) for parts in zip(*asked)))
         cut = np.cumsum([0, *sizes])
-        payload = [pickle.dumps(squeeze(replies[a:b]), 5) for a, b in zip(cut[:-1], cut[1:])]
+        payload = [pickle.dumps(x[0][said[a:b]] if positives else squeeze(said[a:b]), 5) for x, a, b in zip(asked, cut[:-1], cut[1:])]
         return pa.table({"g": table.column("g").cast(pa.int32()), "b": table.column("b").cast(pa.int32()), "payload": pa.array(payload, pa.binary())})
 
     return asks.groupBy("b").applyInArrow(bucket, ASK)
@@ -290,16 +298,31 @@ def first_of(hashes: np.ndarray, order: np.ndarray | None = None) -> tuple[np.nd
     return distinct, first, inverse
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, so that tasks import it wherever they run; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix=f"{package.name}-package-")
+    archive = os.path.join(folder, f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder named by spark.checkpoint.dir and read it back: cuts the lineage."""
-    import uuid
-
-    from ..session import scratch_root
-
     path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op5_bpe
+from .cover_dedup import op8_cover_dedup
+from .suffix_dedup import op3_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_bpe": op5_bpe,
+    "op8_cover_dedup": op8_cover_dedup,
 }
 
 ORACLES: dict[str, str] = {}
