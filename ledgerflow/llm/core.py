@@ -241,11 +241,13 @@ def squeeze(v: np.ndarray) -> np.ndarray:
     return v
 
 
-def answer(asks: DataFrame, resolve: Callable[..., np.ndarray], positives: bool = False) -> DataFrame:
+def answer(asks: DataFrame, resolve: Callable[..., np.ndarray], positives: bool = False, sparse: bool = False) -> DataFrame:
     """Resolve each bucket: ``resolve(group of each entry, hashes, *values)`` gives one reply value per entry.
 
     Replies go back as rows of the same shape and order as the asks; with
-    ``positives`` the reply is instead the list of hashes whose value is true.
+    ``positives`` the reply is instead the list of hashes whose value is true;
+    with ``sparse`` ``resolve`` returns (mask, values) and the reply lists the
+    hashes of the mask with their values.
     A bucket is a hash range sized like a text group.
     """
     def bucket(_key: tuple, table: pa.Table) -> pa.Table:
@@ -254,7 +256,11 @@ def answer(asks: DataFrame, resolve: Callable[..., np.ndarray], positives: bool
         groups = np.repeat(np.asarray(table.column("g"), dtype=np.int64), sizes)
         said = resolve(groups, *(np.concatenate(parts) for parts in zip(*asked)))
         cut = np.cumsum([0, *sizes])
-        payload = [pickle.dumps(x[0][said[a:b]] if positives else squeeze(said[a:b]), 5) for x, a, b in zip(asked, cut[:-1], cut[1:])]
+        if sparse:
+            mask, said = said
+            payload = [pickle.dumps((x[0][mask[a:b]], squeeze(said[a:b][mask[a:b]])), 5) for x, a, b in zip(asked, cut[:-1], cut[1:])]
+        else:
+            payload = [pickle.dumps(x[0][said[a:b]] if positives else squeeze(said[a:b]), 5) for x, a, b in zip(asked, cut[:-1], cut[1:])]
         return pa.table({"g": table.column("g").cast(pa.int32()), "b": table.column("b").cast(pa.int32()), "payload": pa.array(payload, pa.binary())})
 
     return asks.groupBy("b").applyInArrow(bucket, ASK)
@@ -268,6 +274,15 @@ def replies(table: pa.Table) -> np.ndarray:
     return np.concatenate([pickle.loads(p) for _, p in rows])
 
 
+def sparse_replies(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending hashes, values) of a group's sparse replies."""
+    if not table.num_rows:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    rows = sorted(zip(table.column("b").to_pylist(), table.column("payload").to_pylist()))
+    hashes, values = zip(*(pickle.loads(p) for _, p in rows))
+    return np.concatenate(hashes), np.concatenate(values)
+
+
 def elsewhere(groups: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Reply: does another group ask for the same hash?  (A group asks for a hash once.)"""
     _, inverse, count = np.unique(hashes, return_inverse=True, return_counts=True)

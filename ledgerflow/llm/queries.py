@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import block_ann
+from .block_ann import op6_block_ann
 from .bpe import op5_bpe
 from .cover_dedup import op8_cover_dedup
 from .suffix_dedup import op3_suffix_dedup
+from .trie_join import op10_trie_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_bpe": op5_bpe,
+    "op6_block_ann": op6_block_ann,
     "op8_cover_dedup": op8_cover_dedup,
+    "op10_trie_join": op10_trie_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_block_ann": block_ann.SQL,
+}
