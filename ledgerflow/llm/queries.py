@@ -10,10 +10,12 @@ from . import block_ann
 from .block_ann import op6_block_ann
 from .bpe import op5_bpe
 from .cover_dedup import op8_cover_dedup
+from .fingerprint import op2_fingerprint
 from .suffix_dedup import op3_suffix_dedup
 from .trie_join import op10_trie_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fingerprint": op2_fingerprint,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op5_bpe": op5_bpe,
     "op6_block_ann": op6_block_ann,
