@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import block_ann
 from .block_ann import op6_block_ann
+from .bloom_lm import op4_bloom_lm
 from .bpe import op5_bpe
 from .cover_dedup import op8_cover_dedup
 from .fingerprint import op2_fingerprint
@@ -17,6 +18,7 @@ from .trie_join import op10_trie_join
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprint": op2_fingerprint,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_bloom_lm": op4_bloom_lm,
     "op5_bpe": op5_bpe,
     "op6_block_ann": op6_block_ann,
     "op8_cover_dedup": op8_cover_dedup,
