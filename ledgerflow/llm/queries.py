@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_ann
+from . import block_ann, mixing
 from .block_ann import op6_block_ann
 from .bloom_lm import op4_bloom_lm
 from .bpe import op5_bpe
 from .cover_dedup import op8_cover_dedup
 from .fingerprint import op2_fingerprint
+from .mixing import op7_mixing
 from .suffix_dedup import op3_suffix_dedup
 from .trie_join import op10_trie_join
 
@@ -21,10 +22,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bloom_lm": op4_bloom_lm,
     "op5_bpe": op5_bpe,
     "op6_block_ann": op6_block_ann,
+    "op7_mixing": op7_mixing,
     "op8_cover_dedup": op8_cover_dedup,
     "op10_trie_join": op10_trie_join,
 }
 
 ORACLES: dict[str, str] = {
     "op6_block_ann": block_ann.SQL,
+    "op7_mixing": mixing.SQL,
 }
