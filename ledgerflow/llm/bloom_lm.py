@@ -161,16 +161,15 @@ def build_filter(training: DataFrame, buckets: int, text: str = "text") -> DataF
                 parts.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), pa.array([pickle.dumps(r, 5) for r in rows.values()], pa.binary())], names=["b", "payload"])
 
-        for batch in batches:
-            for i, j in core.chunks(core.text_buffers(batch.column(0))[1], 4 * core.CHUNK_BYTES):
-                own = _Tokens(batch.column(0).slice(i, j - i))
-                for kind, key in enumerate((own.word, own.pair)):
-                    distinct, times = np.unique(key, return_counts=True)
-                    kept[kind].append((distinct, times))
-                    size += len(distinct)
-                if size > _FLUSH:
-                    yield flush()
-                    size = 0
+        for batch in core.pieces(batches, 0):
+            own = _Tokens(batch.column(0))
+            for kind, key in enumerate((own.word, own.pair)):
+                distinct, times = np.unique(key, return_counts=True)
+                kept[kind].append((distinct, times))
+                size += len(distinct)
+            if size > _FLUSH:
+                yield flush()
+                size = 0
         if size:
             yield flush()
 

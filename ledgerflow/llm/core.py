@@ -137,6 +137,13 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def pieces(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that a text column stays under ``limit`` bytes (a single row at least)."""
+    for batch in batches:
+        for i, j in chunks(text_buffers(batch.column(column))[1], limit):
+            yield batch.slice(i, j - i)
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, words per document) of the maximal non-white-space runs; none crosses a document border."""
     n = len(offsets) - 1

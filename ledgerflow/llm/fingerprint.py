@@ -115,7 +115,7 @@ def parse(text: str) -> np.ndarray:
 def fingerprints(docs: DataFrame, k: int = K, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint): a narrow map over whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in core.pieces(batches, 1):
             data, offsets = core.text_buffers(batch.column(1))
             marks = [write(s) for s in sketches(data, offsets, k, shingle)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], names=["doc_id", "fingerprint"])

@@ -15,8 +15,10 @@ from .fingerprint import op2_fingerprint
 from .mixing import op7_mixing
 from .suffix_dedup import op3_suffix_dedup
 from .trie_join import op10_trie_join
+from .weak_labels import op1_weak_labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_weak_labels": op1_weak_labels,
     "op2_fingerprint": op2_fingerprint,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_bloom_lm": op4_bloom_lm,
