@@ -16,6 +16,7 @@ from .mixing import op7_mixing
 from .suffix_dedup import op3_suffix_dedup
 from .trie_join import op10_trie_join
 from .weak_labels import op1_weak_labels
+from .wrapper_html import op9_wrapper_html
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_weak_labels": op1_weak_labels,
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_block_ann": op6_block_ann,
     "op7_mixing": op7_mixing,
     "op8_cover_dedup": op8_cover_dedup,
+    "op9_wrapper_html": op9_wrapper_html,
     "op10_trie_join": op10_trie_join,
 }
 
