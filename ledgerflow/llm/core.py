@@ -198,14 +198,15 @@ def group_count(docs: DataFrame, text: str = "text", group_bytes: int = GROUP_BY
     return max(1, math.ceil(total / group_bytes), min(spare, math.ceil(total / CHUNK_BYTES)))
 
 
-def text_groups(docs: DataFrame, groups: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(g, doc_id, text): whole documents dealt to ``groups`` groups by a hash of their id and text.
+def text_groups(docs: DataFrame, groups: int, key: str = "doc_id", text: str = "text", rest: F.Column | None = None) -> DataFrame:
+    """(g, doc_id, text), and ``rest`` if given: whole documents dealt to ``groups`` groups by a hash of their id and text.
 
     Copies of a text differ in id and so spread; the one shuffle of the texts
     is an explicit repartition, so later steps over the same groups reuse it.
     """
     g = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(groups)).cast("int")
-    return docs.select(g.alias("g"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).repartition(groups, "g")
+    along = [rest.alias("rest")] if rest is not None else []
+    return docs.select(g.alias("g"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *along).repartition(groups, "g")
 
 
 def sorted_group(table: pa.Table) -> pa.Table:
@@ -219,7 +220,19 @@ def sorted_group(table: pa.Table) -> pa.Table:
 ASK = "g int, b int, payload binary"
 
 
-def ask_rows(g: int, hashes: np.ndarray, buckets: int, *values: np.ndarray) -> dict:
+#: The bits of hashes asked with ``short``: five bytes instead of eight are shuffled.
+SHORT = _U(0xFFFFFFFFFF000000)
+
+
+def _pack(hashes: np.ndarray, short: bool) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    return ((hashes >> _U(32)).astype(np.uint32), (hashes >> _U(24)).astype(np.uint8)) if short else hashes
+
+
+def _unpack(asked: np.ndarray | tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    return asked[0].astype(np.uint64) << _U(32) | asked[1].astype(np.uint64) << _U(24) if isinstance(asked, tuple) else asked
+
+
+def ask_rows(g: int, hashes: np.ndarray, buckets: int, *values: np.ndarray, short: bool = False) -> dict:
     """Columns of the ask rows for ascending ``hashes`` (and aligned values), one row per bucket that has any."""
     owner = ((hashes >> _U(32)) * _U(buckets)) >> _U(32)
     cut = np.searchsorted(owner, np.arange(buckets + 1, dtype=np.uint64))
@@ -228,7 +241,7 @@ def ask_rows(g: int, hashes: np.ndarray, buckets: int, *values: np.ndarray) -> d
         part = slice(cut[b], cut[b + 1])
         out["g"].append(g)
         out["b"].append(int(b))
-        out["payload"].append(pickle.dumps((hashes[part], *(squeeze(v[part]) for v in values)), 5))
+        out["payload"].append(pickle.dumps((_pack(hashes[part], short), *(squeeze(v[part]) for v in values)), 5))
     return out
 
 
@@ -258,7 +271,7 @@ def answer(asks: DataFrame, resolve: Callable[..., np.ndarray], positives: bool
     A bucket is a hash range sized like a text group.
     """
     def bucket(_key: tuple, table: pa.Table) -> pa.Table:
-        asked = [pickle.loads(x) for x in table.column("payload").to_pylist()]
+        asked = [(_unpack(h), *values) for h, *values in map(pickle.loads, table.column("payload").to_pylist())]
         sizes = [len(x[0]) for x in asked]
         groups = np.repeat(np.asarray(table.column("g"), dtype=np.int64), sizes)
         said = resolve(groups, *(np.concatenate(parts) for parts in zip(*asked)))

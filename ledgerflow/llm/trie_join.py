@@ -68,16 +68,19 @@ class _Group:
             starts = np.cumsum(counts) - counts
             whole = np.array([core.mix(words[starts[i]:starts[i] + counts[i]] * _U(2 * k + 3)).sum() for k, i in zip(counts[short].astype(np.uint64), short)], dtype=np.uint64)
             grams, owner = np.concatenate([grams, whole]), np.concatenate([owner, short])
-        turn = np.lexsort((grams, owner))
-        grams, owner = grams[turn], owner[turn]
-        new = np.r_[True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])] if len(grams) else np.empty(0, bool)
-        self.sets, self.owner = grams[new], owner[new]
-        self.lo = np.searchsorted(self.owner, np.arange(len(counts) + 1))
-        self.size = np.diff(self.lo)
+        cut = np.searchsorted(owner, np.arange(len(counts) + 1)) if not len(short) else None
+        if cut is None:
+            turn = np.argsort(owner, kind="stable")
+            grams, owner = grams[turn], owner[turn]
+            cut = np.searchsorted(owner, np.arange(len(counts) + 1))
+        own = [np.unique(grams[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]  # one short sort per document
+        self.size = np.array([len(s) for s in own], dtype=np.int64)
+        self.lo = np.r_[0, np.cumsum(self.size)]
+        self.sets = np.concatenate([*own, np.empty(0, np.uint64)])
+        self.owner = np.repeat(np.arange(len(own)), self.size)
 
     def identity(self) -> np.ndarray:
         """Hash of each whole set."""
-        total = np.zeros(len(self.size) + 1, dtype=np.uint64)
         flat = np.r_[_U(0), np.cumsum(core.mix(self.sets ^ _U(0xA5A5A5A5A5A5A5A5)))]
         total = flat[self.lo[1:]] - flat[self.lo[:-1]]
         return core.mix(total ^ self.size.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
@@ -108,7 +111,6 @@ def keys(own: _Group, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.nd
     if not len(rows):
         return out_key[0], out_row[0]
     band = np.searchsorted(ends, own.size[rows], side="right") - 1
-    flat = np.r_[_U(0), np.cumsum(core.mix(own.sets ^ _U(0x5C5C5C5C5C5C5C5C)))]
     for ahead in (0, 1):
         parts = parts_of(band + ahead, ends, percent)
         row, number = np.repeat(rows, parts), np.repeat(parts, parts)
@@ -121,11 +123,11 @@ def keys(own: _Group, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.nd
         place = ((own.sets >> _U(32)) * per_row[own.owner]) >> _U(32)
         first = np.zeros(len(own.size), dtype=np.int64)
         first[rows] = np.cumsum(parts) - parts
-        has = np.isin(own.owner, rows) & (per_row[own.owner] > 0) if len(rows) < len(own.size) else per_row[own.owner] > 0
+        has = per_row[own.owner] > 0
         slot = first[own.owner[has]] + place[has].astype(np.int64)
         held = np.bincount(slot, minlength=len(row))
         edge = np.cumsum(held)
-        value = np.cumsum(np.r_[_U(0), core.mix(own.sets[has] ^ _U(0x5C5C5C5C5C5C5C5C))])
+        value = np.r_[_U(0), np.cumsum(core.mix(own.sets[has] ^ _U(0x5C5C5C5C5C5C5C5C)))]
         value = value[edge] - value[edge - held]
         empty = held == 0
         empties = np.bincount(np.searchsorted(rows, row), weights=empty, minlength=len(rows))[np.searchsorted(rows, row)]
@@ -139,7 +141,7 @@ def keys(own: _Group, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.nd
 # -- the prefix tree -------------------------------------------------------------------------------------------------
 
 class PrefixTree:
-    """Sets in one global order as a tree whose edges hold ``EDGE`` elements."""
+    """Distinct sets in one global order as a tree whose edges hold ``EDGE`` elements."""
 
     def __init__(self, sets: list[np.ndarray]):
         flat = np.concatenate(sets)
@@ -159,10 +161,13 @@ class PrefixTree:
         # levels[d]: first row of each distinct path of (d + 1) * EDGE elements
         fresh = np.zeros(len(sets), dtype=bool)
         fresh[0] = True
-        self.levels = []
+        self.levels, self.largest, self.smallest = [], [], []
         for d in range(0, width, EDGE):
             fresh[1:] |= (self.matrix[1:, d:d + EDGE] != self.matrix[:-1, d:d + EDGE]).any(axis=1)
-            self.levels.append(np.flatnonzero(fresh))
+            heads = np.flatnonzero(fresh)
+            self.levels.append(heads)
+            self.largest.append(np.maximum.reduceat(self.size, heads))
+            self.smallest.append(np.minimum.reduceat(self.size, heads))
 
     def walk(self, query: int, percent: int) -> np.ndarray:
         """Rows (in tree order) that link with row ``query``."""
@@ -182,14 +187,10 @@ class PrefixTree:
             edge = self.matrix[start, d * EDGE:(d + 1) * EDGE]
             overlap = base + mark[edge].sum(axis=1)
             depth = (d + 1) * EDGE
-            largest, smallest = self._extent(start, stop)
-            done = smallest <= depth  # sets ending here; paths are equal, so all of the node's ends are too
-            ended = np.flatnonzero(done)
-            for i in ended.tolist():
-                rows = np.arange(start[i], stop[i])
-                rows = rows[self.size[rows] <= depth]
-                found.append(rows)
-                counts.append(np.full(len(rows), overlap[i]))
+            largest, smallest = self.largest[d][children], self.smallest[d][children]
+            ended = smallest <= depth  # sets differ, so one of a node at most ends here: its first row
+            found.append(start[ended])
+            counts.append(overlap[ended])
             last = edge[:, -1]
             ahead = n - np.searchsorted(own, last, side="right")
             need = -(-percent * (n + smallest) // (100 + percent))
@@ -197,20 +198,9 @@ class PrefixTree:
             start, stop, overlap = start[go], stop[go], overlap[go]
             if not len(start):
                 break
-        if not found:
-            return np.empty(0, np.int64)
         rows, common = np.concatenate(found), np.concatenate(counts)
         return rows[(100 * common >= percent * (n + self.size[rows] - common)) & (rows != query)]
 
-    def _extent(self, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(largest, smallest) set size of row ranges."""
-        single = stop - start == 1
-        largest, smallest = self.size[start].copy(), self.size[start].copy()
-        for i in np.flatnonzero(~single).tolist():
-            part = self.size[start[i]:stop[i]]
-            largest[i], smallest[i] = part.max(), part.min()
-        return largest, smallest
-
 
 def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Spanning forest of the links between ``sets``; with two sides only links between them count."""
@@ -285,17 +275,19 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_i
         own = _Group(table, n)
         _, _, rows = representatives(own, core.replies(said))
         value, row = keys(own, rows, percent)
+        value = value & core.SHORT  # a false agreement only adds a candidate
         distinct, first, inverse = core.first_of(value)
         low = core.group_min(value, own.order[row])
         several = np.zeros(len(distinct), dtype=bool)
         several[inverse[own.order[row] != low]] = True
-        return core.ask_table(core.ask_rows(key[0].as_py(), distinct, groups, low[first], several))
+        return core.ask_table(core.ask_rows(key[0].as_py(), distinct, groups, low[first], several, short=True))
 
     def name_clusters(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
         own = _Group(table, n)
         second = np.asarray(said.column("b"), dtype=np.int64) >= groups
         _, _, rows = representatives(own, core.replies(said.filter(pa.array(~second))))
         value, row = keys(own, rows, percent)
+        value = value & core.SHORT
         shared, lead = core.sparse_replies(said.filter(pa.array(second)))
         at = np.searchsorted(shared, value)
         hit = np.zeros(len(value), dtype=bool)
