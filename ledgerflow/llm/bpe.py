@@ -293,6 +293,12 @@ def _digest(_text: str, ids: np.ndarray, token: dict[int, bytes]) -> tuple[int,
     return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), decoded.hexdigest()
 
 
+def encoded_row(_text: str, ids: np.ndarray, token: dict[int, bytes]) -> tuple[bytes, int, str]:
+    """(ids as little-endian unsigned 32-bit integers, their number, hash of the decoded text)."""
+    n, _, decoded = _digest(_text, ids, token)
+    return ids.tobytes(), n, decoded
+
+
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 

@@ -207,10 +207,20 @@ def _resolve_contexts(groups: np.ndarray, gram: np.ndarray, context: np.ndarray,
     return np.where(earlier, _EARLIER, np.where(several, _SEVERAL, _ALONE)).astype(np.int8)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept binary): later copies of strings of ``length`` bytes are gone, the first stays."""
+def rewrite(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with the kept text in place; bytes of a character cut apart go with it.  Other columns ride along."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text))
+    out = remove_repeats(docs, length, gram, key, text, rest)
+    return out.select("rest.*", F.col("kept").cast("string").alias(text)).select(*docs.columns)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "doc_id", text: str = "text", rest: F.Column | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept binary): later copies of strings of ``length`` bytes are gone, the first stays.
+
+    A struct column ``rest`` goes along unchanged; then the halves of a cut character are left out too.
+    """
     groups = core.group_count(docs, text)
-    texts = core.text_groups(docs, groups, key, text)
+    texts = core.text_groups(docs, groups, key, text, rest)
 
     def ask_contexts(key: tuple, table: pa.Table) -> pa.Table:
         own = _Group(table, length, gram)
@@ -249,7 +259,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key:
     asked = texts.groupBy("g").cogroup(contexts.groupBy("g")).applyInArrow(ask_windows, core.ASK)
     windows = core.answer(asked, core.earlier_elsewhere)
     both = contexts.unionAll(windows.withColumn("b", (F.col("b") + groups).cast("int")))
-    return texts.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    along = f", rest {texts.schema['rest'].dataType.simpleString()}" if rest is not None else ""
+    return texts.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(strip, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary{along}")
 
 
 def _cut(own: _Group, removed: np.ndarray) -> pa.Table:
@@ -264,9 +275,12 @@ def _cut(own: _Group, removed: np.ndarray) -> pa.Table:
     flat = own.data[~removed].tobytes()
     at = own.offsets - total[own.offsets]
     kept = [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+    if "rest" in own.table.column_names:
+        kept = [k.decode("utf-8", "ignore").encode() for k in kept]
     return pa.table({
         "doc_id": own.table.column("doc_id"), "n_bytes": pa.array(np.diff(own.offsets)), "n_removed": pa.array(n_removed),
         "n_spans": pa.array(n_spans), "kept": pa.array(kept, pa.binary()),
+        **({"rest": own.table.column("rest")} if "rest" in own.table.column_names else {}),
     })
 
 
