@@ -5,7 +5,9 @@ the shapes of the sheet tabs (``transaction_log``, ``vendor_rates``,
 ``customer_rates``) so that every trading plan runs on data whose size grows
 with the driver's scale factor.  The mapping is documented in FIXTURES.md.
 
-Plan shape: one pre-aggregation of ``lineitem ⋈ part`` per order (partial
+Every line, every supplier and every customer of the driver tables is used.
+
+Plan shape: one pre-aggregation of ``lineitem ⋈ part`` per form (partial
 aggregation, so hot orders collapse map-side), then one join to ``orders``.
 The part lookup is a plain equi-join; AQE turns it into a broadcast only
 when the runtime size of ``part`` is under the broadcast threshold.
@@ -19,8 +21,8 @@ from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
 
-# --- fixed values: driver p_type -> product slot (ECONOMY is left out) --------
-SLOT_TYPES = ("MEDIUM", "STANDARD", "LARGE", "PROMO", "SMALL")
+# --- fixed values: driver p_type values of each product slot ------------------
+SLOT_TYPES = (("MEDIUM",), ("STANDARD",), ("LARGE",), ("PROMO",), ("SMALL", "ECONOMY"))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,29 +35,29 @@ def _s(c: Column) -> Column:
 
 
 def _lines_with_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
     return li.join(part, li.l_partkey == part.p_partkey, "left")
 
 
 def raw_transaction_log(spark: SparkSession, sf_dir: str, order_filter: Column | str | None = None,
                         with_row_number: bool = False) -> DataFrame:
-    """One all-string log row per order (FIXTURES.md B, 'Log row').
+    """All-string log rows: a form per (order, supplier) for purchases, per order for sales (FIXTURES.md B, 'Log row').
 
-    ``with_row_number`` adds ``source_row_number``, the sheet row of the
-    form (header is row 1; rows follow the order key).
+    ``with_row_number`` adds ``source_row_number`` (header is row 1; rows follow
+    the order key, and the forms of one order, which differ in vendor, share it).
     """
     lines = _lines_with_type(spark, sf_dir)
     q = F.col("l_quantity").cast(DecimalType(10, 3))
-    per_order = lines.groupBy("l_orderkey").agg(
-        F.min("l_suppkey").alias("min_supp"),
-        *[F.sum(F.when(F.col("p_type") == t, q)).alias(f"q{i}") for i, t in enumerate(SLOT_TYPES, 1)],
+    per_form = lines.groupBy("l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, F.col("l_suppkey")).alias("supp")).agg(
+        F.sum(F.col("l_extendedprice").cast(DecimalType(12, 2))).alias("form_price"),
+        *[F.sum(F.when(F.col("p_type").isin(*t), q)).alias(f"q{i}") for i, t in enumerate(SLOT_TYPES, 1)],
     )
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     if order_filter is not None:
         orders = orders.where(order_filter)
-    o = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+    o = orders.join(per_form, orders.o_orderkey == per_form.l_orderkey, "left")
     k = F.col("o_orderkey")
     even = k % 2 == 0
     out = o.select(
@@ -65,17 +67,17 @@ def raw_transaction_log(spark: SparkSession, sf_dir: str, order_filter: Column |
         .otherwise(F.lit("")).alias("transaction_date"),
         F.when(k % 20 == 0, F.lit(" purchases ")).when(even, F.lit("Purchase")).otherwise(F.lit("Sale"))
         .alias("transaction_type"),
-        F.when(even, _s(F.concat(F.lit("V"), F.col("min_supp").cast("string")))).otherwise(F.lit(""))
+        F.when(even, _s(F.concat(F.lit("V"), F.col("supp").cast("string")))).otherwise(F.lit(""))
         .alias("vendor_name"),
-        F.when(~even, F.concat(F.lit("C"), (F.col("o_custkey") % 150).cast("string"))).otherwise(F.lit(""))
+        F.when(~even, F.concat(F.lit("C"), F.col("o_custkey").cast("string"))).otherwise(F.lit(""))
         .alias("customer_name"),
         F.when(k % 3 == 0, F.lit("")).when(k % 50 == 1, F.lit("n/a")).when(k % 101 == 5, F.lit("-25.00"))
-        .otherwise(F.col("o_totalprice").cast(DecimalType(12, 2)).cast("string")).alias("payment_rs"),
+        .otherwise(F.coalesce(F.when(even, F.col("form_price")), F.col("o_totalprice")).cast(DecimalType(12, 2)).cast("string")).alias("payment_rs"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Cash"))
         .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Online")).otherwise(F.lit("")).alias("payment_mode"),
         *[_s(F.col(f"q{i}")).alias(c) for i, c in enumerate(config.QTY_COLUMNS, 1)],
         F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(" ")).alias("remarks"),
-        *([(k + 2).cast("int").alias("source_row_number")] if with_row_number else []),
+        *([(k + 2).cast("bigint").alias("source_row_number")] if with_row_number else []),
     )
     return out
 
@@ -85,7 +87,7 @@ def _rates(lines: DataFrame, name_col: str, name_expr: Column) -> DataFrame:
     agg = lines.groupBy(
         F.date_format(F.date_trunc("quarter", "l_shipdate"), "yyyy-MM-dd").alias("effective_from"),
         name_expr.alias(name_col),
-    ).agg(*[F.max(F.when(F.col("p_type") == t, price)).alias(f"r{i}") for i, t in enumerate(SLOT_TYPES, 1)])
+    ).agg(*[F.max(F.when(F.col("p_type").isin(*t), price)).alias(f"r{i}") for i, t in enumerate(SLOT_TYPES, 1)])
     return agg.select(
         "effective_from", name_col,
         *[_s(F.col(f"r{i}")).alias(c) for i, c in enumerate(config.RATE_COLUMNS, 1)],
@@ -100,11 +102,11 @@ def raw_vendor_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customer_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (customer bucket, quarter of ship date), customers reached through orders."""
+    """One row per (customer, quarter of ship date), customers reached through orders."""
     lines = _lines_with_type(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lo = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
-    return _rates(lo, "customer_name", F.concat(F.lit("C"), (F.col("o_custkey") % 150).cast("string")))
+    return _rates(lo, "customer_name", F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
 
 
 def raw_tabs(spark: SparkSession, sf_dir: str, order_filter: Column | None = None,
