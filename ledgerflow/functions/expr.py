@@ -48,11 +48,13 @@ def to_decimal(c: ColumnOrName, precision: int, scale: int, default=None) -> Col
 def parse_timestamp(c: ColumnOrName, formats: Iterable[str] = config.TIMESTAMP_FORMATS) -> Column:
     """Multi-format timestamp parse; the first format that parses wins.
 
-    The result is a naive business time (TIMESTAMP_NTZ): parsed and cast back
-    in the same session zone, so it reads the same in every time zone.
+    The result is a naive business time (TIMESTAMP_NTZ): the text is read as
+    UTC and counted from the epoch, so no session zone and no clock change
+    touches it.
     """
-    s = F.trim(_c(c))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    s = F.concat(F.trim(_c(c)), F.lit(" +00:00"))
+    instant = F.coalesce(*[F.try_to_timestamp(s, F.lit(f"{f} xxx")) for f in formats])
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def naive_ts(ts: _dt.datetime) -> Column:

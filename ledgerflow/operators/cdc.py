@@ -42,13 +42,13 @@ def assign_source_row_id(fp: DataFrame, sheet_id: str, tab: str,
 
     A subset of an already fingerprinted table is re-identified without hashing again.
     """
-    fp = fp.drop("source_row_id")
-    counts = fp.groupBy("content_fingerprint").agg(F.count(F.lit(1)).alias("__copies"))
-    j = fp.join(counts, "content_fingerprint", "left")
-    base = F.concat_ws(":", F.lit(sheet_id), F.lit(tab), F.substring("content_fingerprint", 1, 16))
+    fp = fp.drop("source_row_id").withColumn("__short", F.substring("content_fingerprint", 1, 16))
+    counts = fp.groupBy("__short").agg(F.count(F.lit(1)).alias("__copies"))  # two contents can share the short form
+    j = fp.join(counts, "__short", "left")
+    base = F.concat_ws(":", F.lit(sheet_id), F.lit(tab), F.col("__short"))
     rid = F.when(F.col("__copies") > 1, F.concat(base, F.lit(":row"), F.col(row_number_col).cast("string"))) \
         .otherwise(base)
-    return j.withColumn("source_row_id", rid).drop("__copies")
+    return j.withColumn("source_row_id", rid).drop("__copies", "__short")
 
 
 def snapshot_diff(previous: DataFrame, current: DataFrame, key: str = "source_row_id") -> DataFrame:

@@ -103,23 +103,23 @@ def choose_rates(items: DataFrame, rates: DataFrame) -> DataFrame:
                       "effective_from")
 
 
-def key_rate_map(chosen: DataFrame) -> DataFrame:
-    """(transaction_key, rates: map<product, rate>) - one row per key.
-
-    The map has at most one entry per product (``chosen`` is unique per
-    (key, product)), so its size is bounded by the product catalogue, not by
-    the data.  Keying the line join on ``transaction_key`` alone lets the
-    per-key totals and the payment join of the allocation reuse the same
-    hash partitioning instead of shuffling the lines again.
+def key_rates(chosen: DataFrame) -> DataFrame:
+    """(transaction_key, one rate per product slot) - one row per key.
+
+    Two parties can share a key (a ``|`` in a name), so per (key, product) the
+    newest rate row is taken, on equal dates the larger rate.  Keying the line
+    join on ``transaction_key`` alone lets the per-key totals and the payment
+    join of the allocation reuse the same hash partitioning.
     """
-    return chosen.groupBy("transaction_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("product_name", "applicable_rate"))).alias("rates"))
+    newest = [F.max(F.when(F.col("product_name") == n, F.struct("effective_from", "applicable_rate"))).alias(f"__{c}")
+              for n, c in zip(config.PRODUCT_NAMES, config.RATE_COLUMNS)]
+    return chosen.groupBy("transaction_key").agg(*newest)
 
 
 def value_lines(items: DataFrame, chosen: DataFrame) -> DataFrame:
     """Attach the chosen rate to every line and value it."""
-    enriched = items.join(key_rate_map(chosen), "transaction_key", "left") \
-        .withColumn("applicable_rate", F.element_at(F.col("rates"), F.col("product_name")))
+    rate = pick_by_name("product_name", {n: F.col(f"__{c}.applicable_rate") for n, c in zip(config.PRODUCT_NAMES, config.RATE_COLUMNS)})
+    enriched = items.join(key_rates(chosen), "transaction_key", "left").withColumn("applicable_rate", rate)
     amount = F.when(F.col("applicable_rate").isNotNull(),
                     F.round(F.col("quantity_kg") * F.col("applicable_rate"), 2).cast(DecimalType(18, 2)))
     status = F.when(F.col("applicable_rate").isNotNull(), F.lit(config.MATCHED)).otherwise(F.lit(config.MISSING_RATE))

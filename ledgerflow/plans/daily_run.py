@@ -16,8 +16,8 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +30,12 @@ def read_exports(spark: SparkSession, tabs_dir: str) -> dict[str, DataFrame]:
     out = {}
     for name, cmap in config.TAB_COLUMN_MAPS.items():
         for fmt in ("csv", "json", "parquet"):
-            path = os.path.join(tabs_dir, f"{name}.{fmt}")
-            if os.path.exists(path):
-                out[name] = tabs.clean_cells(tabs.read_tab_export(spark, path, cmap, fmt, name))
+            try:  # Spark looks: exports may lie in any store that it reads
+                out[name] = tabs.clean_cells(tabs.read_tab_export(spark, f"{tabs_dir}/{name}.{fmt}", cmap, fmt, name))
                 break
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
         else:
             raise FileNotFoundError(f"no export for tab '{name}' in {tabs_dir}")
     return out
@@ -45,7 +47,10 @@ def daily_run(spark: SparkSession, source: dict[str, DataFrame], out_root: str,
     current = state.row_counts(source).cache()
     try:
         previous = state.load_state(spark, state_path)
-    except Exception:  # first run: no state yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # first run: no state yet
         previous = spark.createDataFrame([], "table_name string, row_count long")
     delta = {r.table_name: int(r.row_delta) for r in state.row_count_delta(previous, current).collect()}
     skipped = not (force or delta)

@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.session import scratch_root
 
-_WRITTEN: dict[tuple[int, str], str] = {}
-_LOCKS: dict[tuple[int, str], threading.Lock] = {}
+_WRITTEN: dict[tuple[str, str], str] = {}
+_LOCKS: dict[tuple[str, str], threading.Lock] = {}
 _GUARD = threading.Lock()
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
-def _sid(spark: SparkSession) -> int:
-    return id(getattr(spark, "_jsparkSession", spark))
+def _sid(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
 
 
 def stage(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
-from ledgerflow.functions.expr import cond_sum, fiscal_year_start, month_start, round_half_away, week_start
+from ledgerflow.functions.expr import cond_sum, fiscal_year_start, month_start, week_start
 from ledgerflow.operators.asof import asof_join
 from ledgerflow.operators.cdc import with_source_row_id
 from ledgerflow.operators.reshape import unpivot_columns
@@ -308,14 +308,17 @@ class Warehouse:
                                  - F.col("cash_out") - F.col("online_out"))
         total_ar = self.ar_balance().agg(F.sum("ar_balance").cast("double").alias("total_ar_outstanding"))
         total_ap = self.ap_balance().agg(F.sum("ap_balance").cast("double").alias("total_ap_outstanding"))
-        # On-hand value: per product, on-hand kg x weighted average purchase rate (matched purchases),
-        # rounded to paise per product, then summed exactly.
+        # On-hand value: per product, on-hand kg x latest purchase rate (newest rate row, on equal dates
+        # the larger rate), rounded to paise per product, then summed exactly.
         per_product = f.groupBy("product_key").agg(
-            (cond_sum(buy, F.col("quantity_kg")) - cond_sum(sale, F.col("quantity_kg"))).alias("on_hand"),
-            cond_sum(buy & matched, F.col("line_value_rs")).alias("bought_value"),
-            cond_sum(buy & matched, F.col("quantity_kg")).alias("bought_qty"))
-        value = round_half_away(F.col("on_hand").cast("double") * F.try_divide(
-            F.col("bought_value").cast("double"), F.col("bought_qty").cast("double")))
+            (cond_sum(buy, F.col("quantity_kg")) - cond_sum(sale, F.col("quantity_kg"))).alias("on_hand"))
+        dated = unpivot_columns(self.rates.where(F.col("side") == config.PURCHASE), ["effective_from"],
+                                dict(zip(config.RATE_COLUMNS, config.PRODUCT_NAMES)), "product_name", "rate_rs")
+        code = analytics.pick_by_name("product_name", {n: F.lit(c) for n, c in PRODUCT_CODES.items()})
+        latest = dated.where(F.col("rate_rs").isNotNull()).groupBy(code.alias("product_key")).agg(
+            F.max(F.struct("effective_from", "rate_rs"))["rate_rs"].alias("latest_rate"))
+        value = F.round(F.col("on_hand") * F.col("latest_rate"), 2)
+        per_product = per_product.join(latest, "product_key", "left")
         on_hand_value = per_product.agg(F.sum(value.cast(MONEY)).cast("double").alias("inventory_on_hand_value_rs"))
         derived = {
             "avg_selling_price_per_kg": F.try_divide(F.col("gross_revenue"), F.col("sales_quantity_kg")),

@@ -43,20 +43,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only when it is unset (tests)."""
+    """Return the cluster's ``spark.checkpoint.dir``.
+
+    A scratch folder is made only where the setting is unset and Spark runs in
+    one process (tests, the bench); on a cluster every executor would write to
+    its own disk, so a missing setting is an error there.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        try:
-            current = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext handle (e.g. a remote session)
-            current = None
     if current:
         return current
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:
-        pass
+    spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 

@@ -14,6 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerflow.functions.expr import strip_all_whitespace
 
@@ -36,10 +37,19 @@ def read_tab_export(spark: SparkSession, path: str, column_map: Mapping[str, str
     """Scan a tab export as strings and apply the header contract (S1-S4)."""
     reader = spark.read
     if fmt == "csv":
-        # No inferSchema: every column is a string; ragged rows come back as NULL cells.
-        df = reader.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        # Cells may hold line breaks and doubled quotes; every column is a string, ragged rows come back as NULL cells.
+        sheet = reader.option("mode", "PERMISSIVE").option("multiLine", True).option("escape", '"')
+        head = sheet.option("header", False).csv(path).first()
+        names = [(h or "").strip() for h in head] if head else []
+        check_headers(names, column_map, tab_name)
+        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+        df = sheet.option("header", True).schema(schema).csv(path)
+        # a column without a header is not part of the tab
+        df = df.select([F.col(f"c{i}").alias(h) for i, h in enumerate(names) if h])
     elif fmt == "json":
-        df = reader.json(path, primitivesAsString=True)
+        first = reader.text(path).select(F.json_object_keys("value")).first()
+        check_headers(list(first[0] or []) if first else [], column_map, tab_name)
+        df = reader.schema(StructType([StructField(h, StringType()) for h in column_map])).json(path)
     elif fmt == "parquet":
         df = reader.parquet(path)
     else:
