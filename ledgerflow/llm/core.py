@@ -245,6 +245,64 @@ def ask_rows(g: int, hashes: np.ndarray, buckets: int, *values: np.ndarray, shor
     return out
 
 
+def ask_presence(g: int, hashes: np.ndarray, buckets: int) -> dict:
+    """Ask rows that carry ascending distinct ``hashes`` alone, as gaps of 32-bit places inside their bucket.
+
+    Gaps are stored byte plane by byte plane, which the shuffle's compression
+    shrinks to under three bytes each.  Two hashes at one place (about one in
+    ten thousand for a full bucket, at any number of buckets) count as equal.
+    """
+    scaled = (hashes >> _U(24)) * _U(buckets)
+    owner, place = scaled >> _U(40), (scaled >> _U(8)).astype(np.uint32)
+    cut = np.searchsorted(owner, np.arange(buckets + 1, dtype=np.uint64))
+    out = {"g": [], "b": [], "payload": []}
+    for b in np.flatnonzero(np.diff(cut)):
+        gaps = np.diff(place[cut[b]:cut[b + 1]], prepend=np.uint32(0))
+        out["g"].append(g)
+        out["b"].append(int(b))
+        out["payload"].append(gaps.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    return out
+
+
+def answer_presence(asks: DataFrame) -> DataFrame:
+    """Reply to ``ask_presence``, one bit per asked hash: does another group ask for its place too?"""
+    def bucket(_key: tuple, table: pa.Table) -> pa.Table:
+        asked = [np.cumsum(np.frombuffer(p, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel(), dtype=np.uint32) for p in table.column("payload").to_pylist()]
+        every = np.concatenate([np.unique(a) for a in asked])
+        every.sort()
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        bits = []
+        for a in asked:
+            at = np.searchsorted(twice, a)
+            hit = np.zeros(len(a), dtype=bool)
+            inside = at < len(twice)
+            hit[inside] = twice[at[inside]] == a[inside]
+            bits.append(pickle.dumps(np.packbits(hit), 5))
+        return pa.table({"g": table.column("g").cast(pa.int32()), "b": table.column("b").cast(pa.int32()), "payload": pa.array(bits, pa.binary())})
+
+    return asks.groupBy("b").applyInArrow(bucket, ASK)
+
+
+def presence_replies(table: pa.Table, g: int, hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The replies to ``ask_presence`` in the order of ``hashes``."""
+    cut = np.searchsorted(((hashes >> _U(24)) * _U(buckets)) >> _U(40), np.arange(buckets + 1, dtype=np.uint64))
+    out = np.zeros(len(hashes), dtype=bool)
+    for b, payload in zip(table.column("b").to_pylist(), table.column("payload").to_pylist()):
+        a, z = cut[b % buckets], cut[b % buckets + 1]
+        out[a:z] = np.unpackbits(pickle.loads(payload), count=z - a).astype(bool)
+    return out
+
+
+def tagged(replies: DataFrame, tag: int, buckets: int) -> DataFrame:
+    """Replies whose bucket numbers are moved by ``tag`` times ``buckets``, to send several kinds together."""
+    return replies.withColumn("b", (F.col("b") + tag * buckets).cast("int"))
+
+
+def of_kind(table: pa.Table, tag: int, buckets: int) -> pa.Table:
+    """The replies of one kind."""
+    return table.filter(pa.array(np.asarray(table.column("b"), dtype=np.int64) // buckets == tag))
+
+
 def ask_table(columns: dict) -> pa.Table:
     return pa.table({"g": pa.array(columns["g"], pa.int32()), "b": pa.array(columns["b"], pa.int32()), "payload": pa.array(columns["payload"], pa.binary())})
 

@@ -4,13 +4,16 @@ Documents are sets of distinct word n-grams (64-bit hashes).  Two documents
 link when their Jaccard similarity reaches ``percent`` / 100.
 
 *Bringing candidates together.*  Documents with equal sets are one class; only
-the class's smallest id goes on.  Linked sets of sizes up to ``top`` differ in
-at most ``2 * top * (100 - percent) / (200 - ...)`` elements, so of more parts
-of the hash space than that at least one holds the same elements in both.  Each
-set has one key per part, for its own size band and for the next larger one; a
-few parts more than needed make it unnecessary to meet on empty parts.  All
-documents with a common key go to the cluster of the smallest id that has it,
-one copy of the set per cluster however many keys agree.
+the class's smallest id goes on.  A set less than ``percent`` of whose n-grams
+occur in any other class cannot link and goes no further (groups ask for the
+presence of their n-grams, under three bytes each).  Linked sets of sizes up to
+``top`` differ in at most ``2 * top * (100 - percent) / (100 + percent)``
+elements, so of more parts of the hash space than that at least one holds the
+same elements in both.  Each set has one key per part without unshared n-grams,
+for its own size band and for the next larger one; a few parts more than needed
+make it unnecessary to meet on empty parts.  All documents with a common key go
+to the cluster of the smallest id that has it, one copy of the set per cluster
+however many keys agree.
 
 *Joining a cluster.*  Its sets, in one global order (rare n-grams first, then by
 hash), form a prefix tree.  Each set is walked through it: a node's overlap is
@@ -104,8 +107,12 @@ def parts_of(band: np.ndarray, ends: np.ndarray, percent: int) -> np.ndarray:
     return np.where(differ > 0, differ + 1 + _SPARE, 0)
 
 
-def keys(own: _Group, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) for each of ``rows``: hashes of the set's parts, in its own size band and the next."""
+def keys(own: _Group, rows: np.ndarray, percent: int, shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) for each of ``rows``: hashes of the set's parts, in its own size band and the next.
+
+    ``shared`` marks the elements that other sets hold too; a part with any
+    other element has no key.
+    """
     ends = bands(percent)
     out_key, out_row = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     if not len(rows):
@@ -129,9 +136,12 @@ def keys(own: _Group, rows: np.ndarray, percent: int) -> tuple[np.ndarray, np.nd
         edge = np.cumsum(held)
         value = np.r_[_U(0), np.cumsum(core.mix(own.sets[has] ^ _U(0x5C5C5C5C5C5C5C5C)))]
         value = value[edge] - value[edge - held]
+        whole = np.ones(len(row), dtype=bool)
+        if shared is not None:
+            whole[slot[~shared[has]]] = False
         empty = held == 0
         empties = np.bincount(np.searchsorted(rows, row), weights=empty, minlength=len(rows))[np.searchsorted(rows, row)]
-        send = ~empty | (empties > _SPARE)
+        send = whole & (~empty | (empties > _SPARE))
         label = ((band[np.searchsorted(rows, row)] + ahead) << 32 | part).astype(np.uint64)
         out_key.append(core.mix(value ^ core.mix(label + _U(1)))[send])
         out_row.append(row[send])
@@ -241,6 +251,22 @@ def _share(groups: np.ndarray, key: np.ndarray, first: np.ndarray, several: np.n
     return shared, core.group_min(key, first)
 
 
+def _with(able: tuple[np.ndarray, np.ndarray], percent: int) -> tuple[np.ndarray, int, np.ndarray]:
+    rows, shared = able
+    return rows, percent, shared
+
+
+def _packed(doc_id: int, hashes: np.ndarray) -> bytes:
+    """An id and the upper six bytes of its set's hashes: enough to tell the n-grams of one cluster apart."""
+    return doc_id.to_bytes(8, "little", signed=True) + (hashes >> _U(32)).astype("<u4").tobytes() + (hashes >> _U(16)).astype("<u2").tobytes()
+
+
+def _unpacked(payload: bytes) -> tuple[int, np.ndarray]:
+    m = (len(payload) - 8) // 6
+    high, low = np.frombuffer(payload, "<u4", m, 8), np.frombuffer(payload, "<u2", m, 8 + 4 * m)
+    return int.from_bytes(payload[:8], "little", signed=True), high.astype(np.uint64) << _U(16) | low
+
+
 def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(kind, a, b, size): ``doc`` rows (id, class representative, set size) and ``link`` rows (two ids), written."""
     groups = core.group_count(docs, text)
@@ -271,10 +297,31 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_i
         _, once = np.unique(np.c_[lead[mine], inverse[mine]], axis=0, return_index=True) if len(mine) else (None, np.empty(0, np.int64))
         return rows, lead, np.sort(rows[mine[once]])
 
-    def ask_keys(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
+    def elements(own: _Group, rows: np.ndarray) -> np.ndarray:
+        """Mask of the elements of these rows."""
+        mine = np.zeros(len(own.size), dtype=bool)
+        mine[rows] = True
+        return mine[own.owner]
+
+    def ask_elements(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
         own = _Group(table, n)
         _, _, rows = representatives(own, core.replies(said))
-        value, row = keys(own, rows, percent)
+        return core.ask_table(core.ask_presence(key[0].as_py(), np.unique(own.sets[elements(own, rows)]), groups))
+
+    def able(g: int, own: _Group, said: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """(representatives that share enough elements to link at all, mask of shared elements)."""
+        _, _, rows = representatives(own, core.replies(core.of_kind(said, 0, groups)))
+        mine = elements(own, rows)
+        distinct, place, often = np.unique(own.sets[mine], return_inverse=True, return_counts=True)
+        found = core.presence_replies(core.of_kind(said, 1, groups), g, distinct, groups) | (often > 1)
+        shared = np.zeros(len(own.sets), dtype=bool)
+        shared[mine] = found[place]
+        enough = 100 * np.bincount(own.owner[shared], minlength=len(own.size)) >= percent * own.size
+        return rows[enough[rows]], shared
+
+    def ask_keys(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
+        own = _Group(table, n)
+        value, row = keys(own, *_with(able(key[0].as_py(), own, said), percent))
         value = value & core.SHORT  # a false agreement only adds a candidate
         distinct, first, inverse = core.first_of(value)
         low = core.group_min(value, own.order[row])
@@ -284,11 +331,9 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_i
 
     def name_clusters(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
         own = _Group(table, n)
-        second = np.asarray(said.column("b"), dtype=np.int64) >= groups
-        _, _, rows = representatives(own, core.replies(said.filter(pa.array(~second))))
-        value, row = keys(own, rows, percent)
+        value, row = keys(own, *_with(able(key[0].as_py(), own, said), percent))
         value = value & core.SHORT
-        shared, lead = core.sparse_replies(said.filter(pa.array(second)))
+        shared, lead = core.sparse_replies(core.of_kind(said, 2, groups))
         at = np.searchsorted(shared, value)
         hit = np.zeros(len(value), dtype=bool)
         inside = at < len(shared)
@@ -306,11 +351,11 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_i
     def send_sets(_key: tuple, table: pa.Table, wanted: pa.Table) -> pa.Table:
         own = _Group(table, n)
         rows = wanted.column("row").to_numpy()
-        payload = [pickle.dumps((int(own.order[r]), own.sets[own.lo[r]:own.lo[r + 1]]), 5) for r in rows.tolist()]
+        payload = [_packed(int(own.order[r]), own.sets[own.lo[r]:own.lo[r + 1]]) for r in rows.tolist()]
         return pa.table({"cluster": wanted.column("cluster"), "i": wanted.column("i"), "j": wanted.column("j"), "side": wanted.column("side"), "payload": pa.array(payload, pa.binary())})
 
     def join_cluster(_key: tuple, table: pa.Table) -> pa.Table:
-        members = [pickle.loads(p) for p in table.column("payload").to_pylist()]
+        members = [_unpacked(p) for p in table.column("payload").to_pylist()]
         side = table.column("side").to_numpy()
         found = forest([s for _, s in members], side, percent) if len(members) > 1 else []
         ids = np.array([i for i, _ in members])
@@ -318,9 +363,10 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_i
         return frame("link", ids[pairs[:, 0]], ids[pairs[:, 1]], np.zeros(len(pairs)))
 
     identity = core.answer(texts.groupBy("g").applyInArrow(ask_classes, core.ASK), lead_of)
-    asked = texts.groupBy("g").cogroup(identity.groupBy("g")).applyInArrow(ask_keys, core.ASK)
-    shared = core.answer(asked, _share, sparse=True)
-    both = identity.unionAll(shared.withColumn("b", (F.col("b") + groups).cast("int")))
+    present = core.answer_presence(texts.groupBy("g").cogroup(identity.groupBy("g")).applyInArrow(ask_elements, core.ASK))
+    known = identity.unionAll(core.tagged(present, 1, groups))
+    asked = texts.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(ask_keys, core.ASK)
+    both = known.unionAll(core.tagged(core.answer(asked, _share, sparse=True), 2, groups))
     members = texts.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(name_clusters, "g int, cluster long, row long, id long")
     # clusters above BLOCK: blocks dealt by id, every pair of blocks one task
     size = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
