@@ -277,6 +277,35 @@ def q_metrics_top_vendors(spark, sf_dir):
     return edge(reports.rank_chart(model(spark, sf_dir).mart_transactions, "vendor_name", "outstanding_payable", RANGE))
 
 
+def _rank_query(dim: str, measure: str) -> Query:
+    return lambda spark, sf_dir: edge(reports.rank_chart(model(spark, sf_dir).mart_transactions, dim, measure, RANGE))
+
+
+for _dim, _measure in reports.RANK_CHARTS:  # every bar chart of the dashboard, whole (no top-k cut)
+    QUERIES[f"chart_{_measure}_by_{_dim}"] = _rank_query(_dim, _measure)
+
+
+@query("chart_balances_over_time")
+def q_chart_balances(spark, sf_dir):
+    return edge(metrics.DAILY_METRICS.query(model(spark, sf_dir).daily_metrics, ["outstanding_payable", "outstanding_receivable"],
+                                            grain="day", time_range=RANGE, order_by=[F.col("date")]))
+
+
+@query("metrics_sparkline")
+def q_metrics_sparkline(spark, sf_dir):
+    return edge(reports.sparkline(model(spark, sf_dir).mart_transactions, RANGE))
+
+
+@query("customer_summary_as_of")
+def q_customer_summary_as_of(spark, sf_dir):
+    return edge(metrics.CUSTOMER_SUMMARY.query(model(spark, sf_dir).customer_summary, dims=["customer_name"], time_range=RANGE))
+
+
+@query("product_summary_totals")
+def q_product_summary_totals(spark, sf_dir):
+    return edge(metrics.PRODUCT_SUMMARY.query(model(spark, sf_dir).product_summary, dims=["product_name"], time_range=RANGE))
+
+
 @query("metrics_daily")
 def q_metrics_daily(spark, sf_dir):
     return edge(metrics.DAILY_METRICS.query(model(spark, sf_dir).daily_metrics, time_range=RANGE))
@@ -365,6 +394,13 @@ def q_dq_not_null(spark, sf_dir):
         dq.not_null_counts(m.mart_transactions, "mart_transactions",
                            ["date", "transaction_key", "transaction_type", "product_name", "quantity_kg",
                             "rate_lookup_status"]),
+        dq.not_null_counts(m.enriched, "transaction_items_enriched",
+                           ["transaction_key", "transaction_date", "transaction_type", "product_name", "quantity_kg",
+                            "rate_lookup_status"]),
+        dq.not_null_counts(m.daily_metrics, "mart_daily_metrics", ["date"]),
+        dq.not_null_counts(m.vendor_summary, "mart_vendor_summary", ["date", "vendor_name"]),
+        dq.not_null_counts(m.customer_summary, "mart_customer_summary", ["date", "customer_name"]),
+        dq.not_null_counts(m.product_summary, "mart_product_summary", ["date", "product_name"]),
     ])
 
 
@@ -397,7 +433,10 @@ def q_dq_unique(spark, sf_dir):
 
 @query("dq_unique_combo")
 def q_dq_unique_combo(spark, sf_dir):
-    return dq.duplicate_keys(model(spark, sf_dir).items, ["transaction_key", "product_name"])
+    m = model(spark, sf_dir)
+    keys = ["transaction_key", "product_name"]
+    return dq.union_all([dq.duplicate_keys(df, keys).select(F.lit(name).alias("model_name"), *keys, "n")
+                         for name, df in (("transaction_items", m.items), ("transaction_items_enriched", m.enriched))])
 
 
 @query("dq_amount_recalc")
