@@ -535,7 +535,7 @@ def q_classify_events(spark, sf_dir):
 
 @query("rate_status3")
 def q_rate_status3(spark, sf_dir):
-    return edge(warehouse(spark, sf_dir).rated_lines)
+    return edge(warehouse(spark, sf_dir).rated_lines.drop("rate_effective_from"))
 
 
 @query("dim_counterparty")
@@ -568,6 +568,31 @@ def q_dq_violations(spark, sf_dir):
     return rules.violations(warehouse(spark, sf_dir))
 
 
+@query("dq_transform")
+def q_dq_transform(spark, sf_dir):
+    return rules.transform_violations(warehouse(spark, sf_dir))
+
+
+@query("dq_referential")
+def q_dq_referential(spark, sf_dir):
+    return rules.referential_violations(warehouse(spark, sf_dir))
+
+
+@query("dq_reconciliation")
+def q_dq_reconciliation(spark, sf_dir):
+    wh = warehouse(spark, sf_dir)
+    prev, cur = _load_ids(spark, sf_dir, PREV_LOAD, CUR_LOAD)
+    return rules.reconciliation(wh, prev, cur)
+
+
+@query("dq_ingest")
+def q_dq_ingest(spark, sf_dir):
+    """Rows that left or came back between two extracts, and blank rows of the current one."""
+    first, second = _load_ids(spark, sf_dir, PREV_LOAD, CUR_LOAD)
+    third = _ids(spark, sf_dir, None)
+    return rules.ingest_violations(first, second, third)
+
+
 @query("quarantine")
 def q_quarantine(spark, sf_dir):
     return rules.quarantine(warehouse(spark, sf_dir))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from ledgerflow import config
 from ledgerflow.functions.expr import blank_to_null, naive_ts, parse_date, to_decimal
 from ledgerflow.operators.cdc import fingerprint
 from ledgerflow.operators.dedup import near_duplicates
-from ledgerflow.plans import staging
-from ledgerflow.plans.warehouse import LOG_TAB, Warehouse
+from ledgerflow.plans import analytics, staging
+from ledgerflow.plans.warehouse import CUSTOMER_SALE, INVENTORY_PURCHASE, LOG_TAB, PRODUCT_CODES, Warehouse
 
 Rule = tuple[str, str, Column]
 OLDEST_DATE = _dt.date(2020, 1, 1)
@@ -144,6 +145,104 @@ def violations(wh: Warehouse, run_ts: _dt.datetime | None = None) -> DataFrame:
     return out.select("sheet_tab", "source_row_id", "v.rule_id", "v.severity")
 
 
+# --- transformation, referential, reconciliation and ingest rules (ids are fixed values) ---------------------
+
+def transform_violations(wh: Warehouse) -> DataFrame:
+    """(rule_id, severity, source_row_id, product_name): classification and rate lookup, one pass over each input."""
+    c = wh.classified
+    moves, pays = F.col("inventory_movement_type").isNotNull(), F.col("payment_type").isNotNull()
+    known = F.col("transaction_type").isin(config.PURCHASE, config.SALE)
+    rows = c.select("source_row_id", F.lit(None).cast("string").alias("product_name"), F.explode(broken_rules([
+        ("xform_class_unknown", "error", known & ~F.col("is_noop") & ~moves & ~pays),
+        ("xform_class_multi_event", "info", moves & pays),
+        ("xform_class_inventory_no_qty", "error", moves & (F.col("total_qty_kg") == 0)),
+        ("xform_class_payment_no_amount", "error", pays & (F.col("payment_rs") == 0)),
+    ])).alias("v"))
+    status, found = F.col("rate_lookup_status"), F.col("rate_effective_from").isNotNull()
+    lines = wh.rated_lines.withColumn("side", F.col("transaction_type")).withColumn("counterparty", analytics.counterparty_of())
+    checked = lines.select("source_row_id", "product_name", F.explode(broken_rules([
+        ("xform_rate_missing_counterparty", "error", status == config.MISSING_COUNTERPARTY),
+        ("xform_rate_missing_product", "error", found & (F.coalesce("rate_rs", F.lit(0)) == 0)),
+        ("xform_rate_no_match", "error", (status != config.MISSING_COUNTERPARTY) & ~found),
+        ("xform_rate_zero", "warning", F.col("rate_rs") == 0),
+        ("xform_rate_counterparty_name_mismatch", "warning", F.col("name_mismatch")),
+    ])).alias("v"))
+    ties = wh.rates.groupBy("side", "counterparty", F.col("effective_from").alias("rate_effective_from")).count().where("count > 1")
+    tied = lines.join(ties, ["side", "counterparty", "rate_effective_from"], "left_semi").select(
+        "source_row_id", "product_name", F.struct(F.lit("xform_rate_multiple_match").alias("rule_id"), F.lit("error").alias("severity")).alias("v"))
+    return rows.unionByName(checked).unionByName(tied).select("v.rule_id", "v.severity", "source_row_id", "product_name")
+
+
+def referential_violations(wh: Warehouse) -> DataFrame:
+    """(rule_id, severity, source_row_id): fact rows whose keys are in no dimension or whose source row is not staged."""
+    dims = wh.dim_counterparty
+    facts = wh.fact_inventory.select("source_row_id", "vendor_key", "customer_key", "product_key").unionByName(
+        wh.fact_payment.select("source_row_id", "vendor_key", "customer_key", F.lit(None).cast("string").alias("product_key")))
+    parts = []
+    for rule, column, kind in (("xform_ref_vendor_key", "vendor_key", "vendor"), ("xform_ref_customer_key", "customer_key", "customer")):
+        keys = dims.where(F.col("counterparty_type") == kind).select(F.col("counterparty_key").alias(column))
+        parts.append((rule, facts.where(F.col(column).isNotNull()).join(keys, column, "left_anti")))
+    parts.append(("xform_ref_product_key", facts.where(F.col("product_key").isNotNull() & ~F.col("product_key").isin(*PRODUCT_CODES.values()))))
+    parts.append(("xform_ref_source_row", facts.join(wh.stg.select("source_row_id").distinct(), "source_row_id", "left_anti")))
+    out = [df.select(F.lit(rule).alias("rule_id"), F.lit("error").alias("severity"), "source_row_id") for rule, df in parts]
+    return reduce(DataFrame.unionByName, out)
+
+
+#: Tolerated change of the staging row count, and the balance below which a counterparty is flagged.
+ROW_COUNT_CHANGE, BALANCE_FLOOR = 0.10, -1000
+
+
+def reconciliation(wh: Warehouse, previous_ids: DataFrame, current_ids: DataFrame) -> DataFrame:
+    """(rule_id, severity, expected, actual, violations): target-layer totals against staging, one row per rule.
+
+    Sums are exact decimals; a violation count of 0 means the rule holds.
+    """
+    stg, pay, inv = wh.stg, wh.fact_payment, wh.fact_inventory
+    double = lambda c: F.coalesce(c, F.lit(0)).cast("double")
+
+    def compare(rule: str, expected: DataFrame, actual: DataFrame, bad) -> DataFrame:
+        both = expected.select(F.lit(rule).alias("rule_id"), F.col("v").alias("expected")).join(actual.select(F.lit(rule).alias("rule_id"), F.col("v").alias("actual")), "rule_id")
+        return both.select("rule_id", F.lit("warning").alias("severity"), "expected", "actual", bad(F.col("expected"), F.col("actual")).cast("long").alias("violations"))
+
+    def counted(rule: str, severity: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").alias("violations")).select(
+            F.lit(rule).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(0.0).alias("expected"), F.col("violations").cast("double").alias("actual"), "violations")
+
+    total = lambda df, c: df.agg(double(F.sum(c)).alias("v"))
+    size = lambda df: df.agg(F.count("*").cast("double").alias("v"))
+    differ = lambda a, b: a != b
+    event = F.col("inventory_movement_type").isNotNull() | F.col("payment_type").isNotNull()
+    valid = F.col("transaction_type").isin(config.PURCHASE, config.SALE) & ~F.col("is_noop")
+    facts = inv.select("source_row_id").unionByName(pay.select("source_row_id"))
+    gone = previous_ids.distinct().join(current_ids.distinct(), "source_row_id", "left_anti")
+    on_hand = inv.groupBy("product_key").agg(F.sum(F.when(F.col("movement_type") == INVENTORY_PURCHASE, F.col("quantity_kg"))
+                                                   .when(F.col("movement_type") == CUSTOMER_SALE, -F.col("quantity_kg"))).alias("kg"))
+    return reduce(DataFrame.unionByName, [
+        compare("tgt_row_count_staging", size(previous_ids), size(current_ids), lambda a, b: F.abs(b - a) > ROW_COUNT_CHANGE * a),
+        compare("tgt_payment_sum", total(stg.where("payment_rs <> 0"), "payment_rs"), total(pay, "amount_rs"), differ),
+        compare("tgt_qty_sum", total(stg, "total_qty_kg"), total(inv, "quantity_kg"), differ),
+        counted("tgt_event_coverage", "error", wh.classified.where(valid & ~event)),
+        counted("tgt_orphan_facts", "error", facts.join(stg.select("source_row_id").distinct(), "source_row_id", "left_anti")),
+        counted("tgt_deleted_row_in_marts", "error", facts.join(gone, "source_row_id", "left_semi")),
+        counted("tgt_ar_negative", "warning", wh.ar_balance().where(F.col("ar_balance") < BALANCE_FLOOR)),
+        counted("tgt_ap_negative", "warning", wh.ap_balance().where(F.col("ap_balance") < BALANCE_FLOOR)),
+        counted("tgt_inventory_negative", "warning", on_hand.where("kg < 0")),
+    ])
+
+
+def ingest_violations(first: DataFrame, second: DataFrame, third: DataFrame) -> DataFrame:
+    """(rule_id, severity, load_no, source_row_id): rows that left, or came back after they had left, in three extracts in turn."""
+    flags = reduce(lambda a, b: a.join(b, "source_row_id", "full"), [
+        ids.distinct().withColumn(f"in{i}", F.lit(True)) for i, ids in enumerate((first, second, third), 1)])
+    was = [F.coalesce(F.col(f"in{i}"), F.lit(False)) for i in (1, 2, 3)]
+    event = lambda rule, severity, load, pred: F.when(pred, F.struct(F.lit(rule).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(load).alias("load_no")))
+    events = F.array_compact(F.array(
+        event("ingest_source_row_deleted", "warning", 2, was[0] & ~was[1]),
+        event("ingest_source_row_deleted", "warning", 3, was[1] & ~was[2]),
+        event("ingest_source_row_reactivated", "info", 3, was[0] & ~was[1] & was[2])))
+    return flags.select(F.explode(events).alias("e"), "source_row_id").select("e.rule_id", "e.severity", "e.load_no", "source_row_id")
+
+
 def quarantine(wh: Warehouse, run_ts: _dt.datetime | None = None) -> DataFrame:
     """Log rows with at least one error: id, sorted rule ids and the raw row as JSON - one narrow pass."""
     run_ts = run_ts or _dt.datetime.combine(wh.run_date, _dt.time()) + _dt.timedelta(days=1)

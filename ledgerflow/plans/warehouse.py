@@ -145,7 +145,7 @@ class Warehouse:
             "customer_name", "product_name", "quantity_kg", "rate_rs", value.alias("line_value_rs"),
             status.alias("rate_lookup_status"),
             (F.col("__exact").isNull() & F.col("__loose").isNotNull()).alias("name_mismatch"),
-            "remarks")
+            "remarks", F.col("effective_from").alias("rate_effective_from"))
 
     # --- X11 dimensions --------------------------------------------------------------------
     @cached_property
