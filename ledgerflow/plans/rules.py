@@ -201,7 +201,9 @@ def reconciliation(wh: Warehouse, previous_ids: DataFrame, current_ids: DataFram
     double = lambda c: F.coalesce(c, F.lit(0)).cast("double")
 
     def compare(rule: str, expected: DataFrame, actual: DataFrame, bad) -> DataFrame:
-        both = expected.select(F.lit(rule).alias("rule_id"), F.col("v").alias("expected")).join(actual.select(F.lit(rule).alias("rule_id"), F.col("v").alias("actual")), "rule_id")
+        none = F.lit(None).cast("double")
+        both = expected.select(F.col("v").alias("expected"), none.alias("actual")).unionByName(actual.select(none.alias("expected"), F.col("v").alias("actual")))
+        both = both.groupBy(F.lit(rule).alias("rule_id")).agg(F.max("expected").alias("expected"), F.max("actual").alias("actual"))
         return both.select("rule_id", F.lit("warning").alias("severity"), "expected", "actual", bad(F.col("expected"), F.col("actual")).cast("long").alias("violations"))
 
     def counted(rule: str, severity: str, df: DataFrame) -> DataFrame:
