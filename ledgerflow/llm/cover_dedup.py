@@ -131,3 +131,23 @@ def _join_words(own: _Group, removed: np.ndarray) -> pa.Array:
 def op8_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(core.read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: DuckDB: every window of every document, no anchors.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), earliest AS (
+  SELECT k, min(doc_id) AS first_id FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN earliest USING (k) WHERE first_id < doc_id
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_ann, mixing
+from . import block_ann, cover_dedup, mixing, trie_join
 from .block_ann import op6_block_ann
 from .bloom_lm import op4_bloom_lm
 from .bpe import op5_bpe
@@ -34,4 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op6_block_ann": block_ann.SQL,
     "op7_mixing": mixing.SQL,
+    "op8_cover_dedup": cover_dedup.SQL,
+    "op10_trie_join": trie_join.SQL,
 }

@@ -35,7 +35,6 @@ component.  Extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -413,3 +412,24 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_id
 
 def op10_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(core.read(spark, sf_dir, "documents"))
+
+
+#: DuckDB: overlaps counted by a join on the n-grams, components by a recursive walk.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM grams a JOIN grams b USING (k) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * common >= 90 * (s.n + t.n - common)
+), reach(node, other) AS (
+  SELECT x, y FROM links UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.other
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce((SELECT min(other) FROM reach WHERE node = d.doc_id), d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id)
+"""
