@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_root
 
 #: Target size of a text group; a group is one unit of Python work.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 6 << 20
 #: Bytes hashed at a time inside a group (a single longer document is one chunk).
 CHUNK_BYTES = 1 << 20
 
@@ -137,7 +137,7 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = 2 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that a text column stays under ``limit`` bytes (a single row at least)."""
     for batch in batches:
         for i, j in chunks(text_buffers(batch.column(column))[1], limit):

@@ -10,8 +10,9 @@ presence of their n-grams, under three bytes each).  Linked sets of sizes up to
 ``top`` differ in at most ``2 * top * (100 - percent) / (100 + percent)``
 elements, so of more parts of the hash space than that at least one holds the
 same elements in both.  Each set has one key per part without unshared n-grams,
-for its own size band and for the next larger one; a few parts more than needed
-make it unnecessary to meet on empty parts.  All documents with a common key go
+for its own size band and for the next larger one; some parts more than needed
+make it unnecessary to meet on empty parts and let a set leave the clusters that
+only few of its keys lead to.  All documents with a common key go
 to the cluster of the smallest id that has it, one copy of the set per cluster
 however many keys agree.
 
@@ -48,7 +49,7 @@ N, PERCENT = 3, 90
 BLOCK = 2048
 #: N-grams on one edge of the prefix tree.
 EDGE = 16
-_SPARE = 2  # parts beyond those needed
+_SPARE = 2  # parts beyond those needed, for empty ones
 _U = np.uint64
 
 
@@ -99,11 +100,41 @@ def bands(percent: int) -> np.ndarray:
     return np.array(ends)
 
 
-def parts_of(band: np.ndarray, ends: np.ndarray, percent: int) -> np.ndarray:
-    """Parts of the hash space for sets of two sizes up to the band's largest; 0 if only equal sets can link."""
+def differing(band: np.ndarray, ends: np.ndarray, percent: int) -> np.ndarray:
+    """Elements in which linked sets of sizes up to the band's largest differ at most."""
     top = ends[band + 1] - 1
-    differ = (2 * top * (100 - percent)) // (100 + percent)
-    return np.where(differ > 0, differ + 1 + _SPARE, 0)
+    return (2 * top * (100 - percent)) // (100 + percent)
+
+
+def parts_of(band: np.ndarray, ends: np.ndarray, percent: int) -> np.ndarray:
+    """Parts of the hash space for sets of two sizes up to the band's largest; 0 if only equal sets can link.
+
+    Linked sets agree on one part at least, and beyond that on the spare ones
+    and on half as many as they may differ in (see ``clusters_of``).
+    """
+    differ = differing(band, ends, percent)
+    return np.where(differ > 0, differ + 1 + _SPARE + differ // 2, 0)
+
+
+def clusters_of(own: _Group, row: np.ndarray, lead: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cluster) from the shared keys' rows and leaders, without the clusters that a set can do without.
+
+    Linked sets agree on ``differ // 2`` more parts than needed.  If each of two
+    sets gives up keys of at most half that many, one common key is left; so each
+    set leaves the clusters that fewest of its keys lead to, within that budget.
+    """
+    if not len(row):
+        return row, lead
+    pairs, keys_of = np.unique(np.c_[row, lead], axis=0, return_counts=True)
+    ends = bands(percent)
+    budget = differing(np.searchsorted(ends, own.size[pairs[:, 0]], side="right") - 1, ends, percent) // 2 // 2
+    turn = np.lexsort((keys_of, pairs[:, 0]))
+    pairs, keys_of, budget = pairs[turn], keys_of[turn], budget[turn]
+    run = np.cumsum(keys_of)
+    head = np.searchsorted(pairs[:, 0], pairs[:, 0])
+    spent = run - (run[head] - keys_of[head])
+    stay = spent > budget
+    return pairs[stay, 0], pairs[stay, 1]
 
 
 def keys(own: _Group, rows: np.ndarray, percent: int, shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -337,8 +368,8 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_i
         hit = np.zeros(len(value), dtype=bool)
         inside = at < len(shared)
         hit[inside] = shared[at[inside]] == value[inside]
-        pairs = np.unique(np.c_[row[hit], lead[at[hit]]], axis=0) if hit.any() else np.empty((0, 2), np.int64)
-        return pa.table({"g": pa.array([key[0].as_py()] * len(pairs), pa.int32()), "cluster": pa.array(pairs[:, 1].astype(np.int64)), "row": pa.array(pairs[:, 0].astype(np.int64)), "id": pa.array(own.order[pairs[:, 0]])})
+        row, cluster = clusters_of(own, row[hit], lead[at[hit]].astype(np.int64) if hit.any() else np.empty(0, np.int64), percent)
+        return pa.table({"g": pa.array([key[0].as_py()] * len(row), pa.int32()), "cluster": pa.array(cluster), "row": pa.array(row.astype(np.int64)), "id": pa.array(own.order[row])})
 
     def documents(_key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
         own = _Group(table, n)
