@@ -146,15 +146,6 @@ def format_rs(x: ColumnOrName, decimals: int = 0) -> Column:
     return F.concat(F.lit("₹"), F.format_number(_c(x).cast("double"), decimals))
 
 
-def nonzero_sum(c: ColumnOrName) -> Column:
-    """``coalesce(sum(c), 0)`` (a global sum that is 0 over no rows)."""
-    return F.coalesce(F.sum(_c(c)), F.lit(0))
-
-
 def cond_sum(cond: Column, value: ColumnOrName) -> Column:
     """``sum(case when cond then value else 0 end)``."""
     return F.sum(F.when(cond, _c(value)).otherwise(F.lit(0)))
-
-
-def money(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
-    return _c(c).cast(DecimalType(precision, scale))

@@ -31,17 +31,6 @@ def accepted_values_counts(df: DataFrame, model: str, rules: Mapping[str, Sequen
     return _long(agg, model, "accepted_values", list(rules))
 
 
-def not_null_failures(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    cond: Column | None = None
-    for c in cols:
-        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
-    return df.where(cond)
-
-
-def accepted_values_failures(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
-    return df.where(F.col(col).isNotNull() & ~F.col(col).isin(list(values)))
-
-
 def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Key values occurring more than once, with their count ``n``."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

@@ -29,13 +29,6 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], columns: Mapping[str, str
     return renamed.unpivot(list(ids), list(columns.values()), name_col, value_col)
 
 
-def date_spine(df: DataFrame, date_col: str, out_col: str = "date") -> DataFrame:
-    """Continuous calendar from min to max of ``date_col``; empty input gives no rows."""
-    bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    return bounds.where(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(out_col))
-
-
 def densify_running(sparse: DataFrame, entity: Sequence[str], date_col: str, flows: Sequence[str],
                     balances: Mapping[str, Column], start: Column | None = None,
                     end: Column | None = None) -> DataFrame:
@@ -72,9 +65,3 @@ def densify_running(sparse: DataFrame, entity: Sequence[str], date_col: str, flo
     for name in balances:
         out.append(F.when(before, F.lit(0)).otherwise(F.col(name)).alias(name))
     return exploded.select(*out)
-
-
-def running_total(df: DataFrame, partition: Sequence[str], order: str, expr: Column, name: str) -> DataFrame:
-    """``sum(expr) over (partition by .. order by .. rows unbounded preceding)``."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.sum(expr).over(w))

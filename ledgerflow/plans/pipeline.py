@@ -28,26 +28,23 @@ class TradingModel:
         self.stage_key = stage_key
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str, run_date: _dt.date = config.RUN_DATE,
-                    order_filter=None) -> "TradingModel":
-        return cls(fixtures.raw_tabs(spark, sf_dir, order_filter), run_date)
+    def from_driver(cls, spark: SparkSession, sf_dir: str, run_date: _dt.date = config.RUN_DATE) -> "TradingModel":
+        return cls(fixtures.raw_tabs(spark, sf_dir), run_date)
 
     @classmethod
-    def staged(cls, spark: SparkSession, sf_dir: str, run_date: _dt.date = config.RUN_DATE,
-               order_filter=None, filter_key: str = "all") -> "TradingModel":
+    def staged(cls, spark: SparkSession, sf_dir: str, run_date: _dt.date = config.RUN_DATE) -> "TradingModel":
         """Model whose ingest (raw tabs) and mart base (allocated lines) are written once per session.
 
         The ingested log keeps the sheet row number (``source_row_number``) next to
         the contract columns; staging selects columns by name and ignores it.
         """
-        key = f"{sf_dir}|{filter_key}"
         names = ("transaction_log", "vendor_rates", "customer_rates")
         written = store.in_parallel(
-            [lambda name=name: store.stage(spark, f"raw|{key}|{name}",
-                                           lambda: fixtures.raw_tabs(spark, sf_dir, order_filter, True)[name])
+            [lambda name=name: store.stage(spark, f"raw|{sf_dir}|{name}",
+                                           lambda: fixtures.raw_tabs(spark, sf_dir, True)[name])
              for name in names])
         tabs = dict(zip(names, written))
-        return cls(tabs, run_date, spark, f"{key}|{run_date.isoformat()}")
+        return cls(tabs, run_date, spark, f"{sf_dir}|{run_date.isoformat()}")
 
     # staging
     @cached_property

@@ -40,8 +40,7 @@ def _lines_with_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(part, li.l_partkey == part.p_partkey, "left")
 
 
-def raw_transaction_log(spark: SparkSession, sf_dir: str, order_filter: Column | str | None = None,
-                        with_row_number: bool = False) -> DataFrame:
+def raw_transaction_log(spark: SparkSession, sf_dir: str, with_row_number: bool = False) -> DataFrame:
     """All-string log rows: a form per (order, supplier) for purchases, per order for sales (FIXTURES.md B, 'Log row').
 
     ``with_row_number`` adds ``source_row_number`` (header is row 1; rows follow
@@ -55,8 +54,6 @@ def raw_transaction_log(spark: SparkSession, sf_dir: str, order_filter: Column |
     )
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    if order_filter is not None:
-        orders = orders.where(order_filter)
     o = orders.join(per_form, orders.o_orderkey == per_form.l_orderkey, "left")
     k = F.col("o_orderkey")
     even = k % 2 == 0
@@ -109,10 +106,9 @@ def raw_customer_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rates(lo, "customer_name", F.concat(F.lit("C"), F.col("o_custkey").cast("string")))
 
 
-def raw_tabs(spark: SparkSession, sf_dir: str, order_filter: Column | None = None,
-             with_row_number: bool = False) -> dict[str, DataFrame]:
+def raw_tabs(spark: SparkSession, sf_dir: str, with_row_number: bool = False) -> dict[str, DataFrame]:
     return {
-        "transaction_log": raw_transaction_log(spark, sf_dir, order_filter, with_row_number),
+        "transaction_log": raw_transaction_log(spark, sf_dir, with_row_number),
         "vendor_rates": raw_vendor_rates(spark, sf_dir),
         "customer_rates": raw_customer_rates(spark, sf_dir),
     }

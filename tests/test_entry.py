@@ -9,3 +9,8 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_only_training_data_queries_lack_an_oracle():
+    missing = set(E.queries()) - set(E.oracle_sql())
+    assert all(name == "pipeline" or name.startswith("op") for name in missing)
