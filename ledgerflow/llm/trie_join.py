@@ -46,7 +46,7 @@ from . import core
 
 N, PERCENT = 3, 90
 #: Sets joined in one task at most; larger clusters are cut into blocks of this size.
-BLOCK = 2048
+BLOCK = 512
 #: N-grams on one edge of the prefix tree.
 EDGE = 16
 _SPARE = 2  # parts beyond those needed, for empty ones
@@ -209,8 +209,8 @@ class PrefixTree:
             self.largest.append(np.maximum.reduceat(self.size, heads))
             self.smallest.append(np.minimum.reduceat(self.size, heads))
 
-    def walk(self, query: int, percent: int) -> np.ndarray:
-        """Rows (in tree order) that link with row ``query``."""
+    def walk(self, query: int, percent: int, after: bool = False) -> np.ndarray:
+        """Rows (in tree order) that link with row ``query``; with ``after`` only those behind it."""
         n = int(self.size[query])
         own = self.matrix[query, :n]
         mark = np.zeros(self.elements + 1, dtype=bool)  # the last entry answers for the padding
@@ -235,11 +235,14 @@ class PrefixTree:
             ahead = n - np.searchsorted(own, last, side="right")
             need = -(-percent * (n + smallest) // (100 + percent))
             go = (overlap + np.minimum(largest - depth, ahead) >= need) & (largest > depth)
+            if after:
+                go &= stop > query + 1
             start, stop, overlap = start[go], stop[go], overlap[go]
             if not len(start):
                 break
         rows, common = np.concatenate(found), np.concatenate(counts)
-        return rows[(100 * common >= percent * (n + self.size[rows] - common)) & (rows != query)]
+        own = rows <= query if after else rows == query
+        return rows[(100 * common >= percent * (n + self.size[rows] - common)) & ~own]
 
 
 def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -259,7 +262,7 @@ def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple
         x = int(tree.rows[q])
         if both and side[x]:
             continue
-        for y in tree.rows[tree.walk(q, percent)].tolist():
+        for y in tree.rows[tree.walk(q, percent, after=not both)].tolist():
             if both and not side[y]:
                 continue
             a, b = root(x), root(y)
