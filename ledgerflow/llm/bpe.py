@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import core
 
 #: Bound on kept transitions and on kept pieces; past it the store starts anew (results do not change).
-KEEP = 150_000
+KEEP = 400_000
 #: Ids decoded at a time.
 DECODE_BLOCK = 1 << 14
 
