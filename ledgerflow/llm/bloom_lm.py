@@ -4,10 +4,9 @@ The model is a bigram model over lower-cased words (an end token closes each
 document).  Counts are quantised: level(c) = 1 + floor(log2 c), and an n-gram of
 level L enters the filter L times, as (n-gram, 1) .. (n-gram, L).  A reader
 probes (n-gram, 1), (n-gram, 2), ... until the first miss; the number of hits
-gives the expected count of that level.  Words of any count enter, bigrams from
-``MIN_BIGRAM`` on (a model parameter, the same at every size; the counting
-itself covers every training document).  A bigram is only probed where both its
-words are known, and its count is at most theirs.
+gives the expected count of that level.  Words and bigrams of any count enter
+(``MIN_BIGRAM`` is 1), from every training document.  A bigram is only probed
+where both its words are known, and its count is at most theirs.
 
 score = sum of log10( w * c(h, t) / c(h) + (1 - w) * (c(t) + 0.5) / (N + 0.5 (V + 1)) ).
 
@@ -41,7 +40,7 @@ from . import core
 _U = np.uint64
 #: Filter bits and hash probes per stored entry: about 1 % false hits.
 BITS_PER_ENTRY, PROBES = 10, 7
-MIN_BIGRAM = 2
+MIN_BIGRAM = 1
 BIGRAM_WEIGHT = 0.25
 MAX_FILTER_BYTES = 256 << 20
 #: Distinct n-grams counted in one task before they are sent on.

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -132,6 +133,23 @@ def test_lm_scores(spark, monkeypatch, limit):
     assert near >= (0.5 if limit else 1) * len(texts)  # about one probe in a hundred is a false hit, and a text has dozens
 
 
+def test_lm_knows_bigrams_seen_once(spark):
+    core.ship(spark)
+    held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1)
+    train = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 != 1][:4]
+    texts = ["sun moon", "moon", "sun", "star"]
+    got = {r.doc_id: r for r in bloom_lm.score(table(spark, [*texts, "sun moon"], [*train, held]), max_filter_bytes=0).collect()}
+    w = bloom_lm.BIGRAM_WEIGHT  # 9 training tokens: sun 2, moon 2, star 1, end 4; 4 distinct
+    share = lambda c: (1 - w) * (c + 0.5) / (9 + 0.5 * 5)
+    seen = math.log10(w * 2.5 / 5.5 + share(2.5)) + math.log10(w * 1 / 2.5 + share(2.5)) + math.log10(w * 2.5 / 2.5 + share(5.5))
+    assert got[held].n_tokens == 3 and got[held].score == pytest.approx(seen, abs=1e-9)
+    texts = [t for t in awkward_texts() if t]
+    own = bloom_lm._Tokens(pa.array(texts))
+    stored = bloom_lm.load_filter(bloom_lm.build_filter(table(spark, texts), 3), 3)
+    distinct, count = np.unique(own.pair, return_counts=True)
+    assert (count == 1).sum() > 500 and (stored.levels(distinct) >= bloom_lm.level(count)).all()
+
+
 def test_lm_without_training_rows(spark):
     core.ship(spark)
     ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
