@@ -10,13 +10,13 @@ where both its words are known, and its count is at most theirs.
 
 score = sum of log10( w * c(h, t) / c(h) + (1 - w) * (c(t) + 0.5) / (N + 0.5 (V + 1)) ).
 
-The filter is built in hash-range segments by Spark tasks and broadcast.  Its
-size is measured before it is fetched: above ``max_filter_bytes`` it is not
-broadcast, and the bigram counts come from the exchange that also serves the
-exact word counts of the base score (same quantised model without false hits).
-
-The base score uses exact counts: each text group asks hash-range buckets for
-its distinct words, so a frequent word costs one entry per group.
+The filter lies in hash-range segments, whose number depends on the bytes of the
+texts alone, and stays in them at every size.  Each text group asks every segment
+for its distinct words and bigrams and brings their training counts along; a
+segment is built from the sums, probed once for each n-gram, and replies with
+levels, exact word counts for the base score and its share of N and V.  So a
+frequent n-gram costs one entry per group, no task holds more than a segment, and
+scores do not depend on the size of the filter or of the cluster.
 
 Cases: null or empty text is the end token alone.  No training document: N = 0,
 every score follows the formula with zero counts.  A null id is training.
@@ -42,9 +42,8 @@ _U = np.uint64
 BITS_PER_ENTRY, PROBES = 10, 7
 MIN_BIGRAM = 1
 BIGRAM_WEIGHT = 0.25
+#: A bound for callers that want ``score``'s ``max_filter_bytes``; the query sets none.
 MAX_FILTER_BYTES = 256 << 20
-#: Distinct n-grams counted in one task before they are sent on.
-_FLUSH = 2_000_000
 _END = _U(0x51ED270B7F4A7C15)
 _START = _U(0x2545F4914F6CDD1D)
 
@@ -140,87 +139,71 @@ class Filter:
 _LOW = _U((1 << 40) - 1)
 
 
-def build_filter(training: DataFrame, buckets: int, text: str = "text") -> DataFrame:
-    """(b, bits, body, tokens, words): the filter's segments, written; counting covers every row of ``training``."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            rows: dict[int, list] = {}
-            for kind, parts in enumerate(kept):
-                if not parts:
-                    continue
-                key, times = _sum_by(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
-                cut = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1))
-                for b in np.flatnonzero(np.diff(cut)):
-                    part = slice(cut[b], cut[b + 1])
-                    low = key[part] & _LOW if kind else key[part]
-                    rows.setdefault(int(b), [None, None])[kind] = ((low & _U(0xFFFFFFFF)).astype(np.uint32), (low >> _U(32)).astype(np.uint8 if kind else np.uint32), core.squeeze(times[part]))
-                parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), pa.array([pickle.dumps(r, 5) for r in rows.values()], pa.binary())], names=["b", "payload"])
-
-        for batch in core.pieces(batches, 0):
-            own = _Tokens(batch.column(0))
-            for kind, key in enumerate((own.word, own.pair)):
-                distinct, times = np.unique(key, return_counts=True)
-                kept[kind].append((distinct, times))
-                size += len(distinct)
-            if size > _FLUSH:
-                yield flush()
-                size = 0
-        if size:
-            yield flush()
-
-    def fill(key: tuple, table: pa.Table) -> pa.Table:
-        totals = []
-        rows = [pickle.loads(p) for p in table.column("payload").to_pylist()]
-        for kind in (0, 1):
-            parts = [r[kind] for r in rows if r[kind] is not None]
-            low = np.concatenate([a.astype(np.uint64) | b.astype(np.uint64) << _U(32) for a, b, _ in parts]) if parts else np.empty(0, np.uint64)
-            totals.append(_sum_by(low, np.concatenate([c for _, _, c in parts]).astype(np.int64) if parts else np.empty(0, np.int64)))
-        (words, times), (pairs, pair_times) = totals
-        often = pair_times >= MIN_BIGRAM
-        bits, body = segment(np.concatenate([words & _LOW, pairs[often]]), level(np.concatenate([times, pair_times[often]])))
-        return pa.table({"b": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([bits], pa.int64()), "body": pa.array([body], pa.binary()), "tokens": pa.array([int(times.sum())], pa.int64()), "words": pa.array([len(words)], pa.int64())})
-
-    counted = training.select(text).mapInArrow(count, "b int, payload binary")
-    return core.write_stage(counted.groupBy("b").applyInArrow(fill, "b int, bits long, body binary, tokens long, words long"), "lm-filter")
-
-
-def _sum_by(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ascending distinct keys, sum of their times)."""
-    if not len(key):
-        return key, times
-    order = np.argsort(key, kind="stable")
-    key, times = key[order], times[order]
-    head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return key[head], np.add.reduceat(times, head)
-
-
-def load_filter(segments: DataFrame, buckets: int) -> Filter:
-    rows = segments.select("b", "bits", "body").collect()
-    have = {r.b: r for r in rows}
-    sizes = np.array([have[b].bits if b in have else 64 for b in range(buckets)])
-    return Filter(sizes, b"".join(bytes(have[b].body) if b in have else bytes(8) for b in range(buckets)))
+def build(words: np.ndarray, times: np.ndarray, pairs: np.ndarray, pair_times: np.ndarray) -> Filter:
+    """The filter of one segment: distinct words and bigrams (both by their low bits) with their training counts."""
+    often = pair_times >= MIN_BIGRAM
+    bits, body = segment(np.concatenate([words & _LOW, pairs[often]]), level(np.concatenate([times, pair_times[often]])))
+    return Filter(np.array([bits]), body)
 
 
 # -- scoring ---------------------------------------------------------------------------------------------------------
 
-def _total(_groups: np.ndarray, key: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Reply: count of the asked n-gram over all groups."""
-    distinct, inverse = np.unique(key, return_inverse=True)
-    return np.bincount(inverse, weights=times, minlength=len(distinct)).astype(np.int64)[inverse] if len(key) else times
-
-
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", weight: float = BIGRAM_WEIGHT, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): learned from all rows not held out."""
-    groups = core.group_count(docs, text)
-    segments = build_filter(docs.where(~held_out(key)), groups, text)
-    size, total, vocabulary = (x or 0 for x in segments.agg(F.sum("bits") / 8, F.sum("tokens"), F.sum("words")).first())
-    probe = docs.sparkSession.sparkContext.broadcast(load_filter(segments, groups)) if size <= max_filter_bytes else None
+def segment_count(total: int) -> int:
+    """Segments of the filter for ``total`` bytes of text."""
+    return max(1, -(-total // core.GROUP_BYTES))
+
+
+def ask_rows(g: int, words: np.ndarray, times: np.ndarray, pairs: np.ndarray, pair_times: np.ndarray, buckets: int) -> pa.Table:
+    """Asks of one group, one row for every segment, for ascending words and bigrams (40 bits of each) with their training counts."""
+    out = {"g": [g] * buckets, "b": list(range(buckets)), "payload": []}
+    word_cut, pair_cut = (np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)) for key in (words, pairs))
+    for b in range(buckets):
+        own, both = slice(word_cut[b], word_cut[b + 1]), slice(pair_cut[b], pair_cut[b + 1])
+        low = pairs[both] & _LOW
+        out["payload"].append(pickle.dumps((words[own], core.squeeze(times[own]), (low & _U(0xFFFFFFFF)).astype(np.uint32), (low >> _U(32)).astype(np.uint8), core.squeeze(pair_times[both])), 5))
+    return core.ask_table(out)
+
+
+def look_up(asks: pa.Table, counted: bool) -> pa.Table:
+    """Replies of one segment to each ask: (counts of the words, [(levels of the words, of the bigrams)], [bytes, tokens, words of the segment]).
+
+    With ``counted``, levels without false hits follow those of the filter.
+    """
+    asked = [pickle.loads(p) for p in asks.column("payload").to_pylist()]
+    cut, pair_cut = (np.cumsum([0, *(len(a[k]) for a in asked)]) for k in (0, 2))
+    words, place = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+    pairs, pair_place = np.unique(np.concatenate([a[2].astype(np.uint64) | a[3].astype(np.uint64) << _U(32) for a in asked]), return_inverse=True)
+    times = np.bincount(place, weights=np.concatenate([a[1] for a in asked]), minlength=len(words)).astype(np.int64)
+    pair_times = np.bincount(pair_place, weights=np.concatenate([a[4] for a in asked]), minlength=len(pairs)).astype(np.int64)
+    stored = build(words, times, pairs, pair_times)
+    levels = [(stored.levels(words), stored.levels(pairs))]
+    if counted:
+        levels.append((level(times), level(np.where(pair_times >= MIN_BIGRAM, pair_times, 0))))
+    levels = [(w[place].astype(np.int8), p[pair_place].astype(np.int8)) for w, p in levels]
+    about = np.array([len(stored.body), times.sum(), (times > 0).sum()])
+    times = times[place]
+    payload = [pickle.dumps((core.squeeze(times[a:b]), [(w[a:b], p[c:d]) for w, p in levels], about), 5) for a, b, c, d in zip(cut[:-1], cut[1:], pair_cut[:-1], pair_cut[1:])]
+    return pa.table({"g": asks.column("g").cast(pa.int32()), "b": asks.column("b").cast(pa.int32()), "payload": pa.array(payload, pa.binary())})
+
+
+def replies(said: pa.Table, max_filter_bytes: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """(counts of the words, their levels, levels of the bigrams) in the order in which a group asked, and N and V."""
+    rows = sorted(zip(said.column("b").to_pylist(), said.column("payload").to_pylist()))
+    counts, levels, about = zip(*(pickle.loads(p) for _, p in rows))
+    size, total, vocabulary = np.sum(about, axis=0).tolist()
+    kind = int(max_filter_bytes is not None and size > max_filter_bytes)
+    return np.concatenate(counts), np.concatenate([x[kind][0] for x in levels]), np.concatenate([x[kind][1] for x in levels]), total, vocabulary
+
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", weight: float = BIGRAM_WEIGHT, max_filter_bytes: int | None = None) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): learned from all rows not held out.
+
+    ``max_filter_bytes``, if a caller sets it: a larger filter is replaced by exact
+    counts, quantised the same (the model without false hits).  The query does not.
+    """
+    text_size = core.text_bytes(docs, text)
+    groups, buckets = core.group_count(docs, text, total=text_size), segment_count(text_size)
     texts = core.text_groups(docs, groups, key, text)
-    log_base = np.log10(total + 0.5 * (vocabulary + 1))
 
     def sorted_tokens(table: pa.Table) -> tuple[pa.Table, _Tokens, np.ndarray]:
         table = core.sorted_group(table)
@@ -228,41 +211,25 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", weight: floa
         ids = table.column("doc_id").to_pylist()
         return table, own, np.array([crc32_mod5(i) for i in ids], dtype=bool)
 
-    def asked(own: _Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """(ascending distinct n-grams to ask for, place of each word's and pair's entry in it)."""
-        return np.unique(own.word if probe is not None else np.concatenate([own.word, own.pair]), return_inverse=True)
-
     def ask_counts(key: tuple, table: pa.Table) -> pa.Table:
         _, own, held = sorted_tokens(table)
-        distinct, place = asked(own)
         learns = ~held[own.doc]
-        times = np.bincount(place, weights=np.tile(learns, len(place) // max(1, len(own.doc))), minlength=len(distinct)).astype(np.int64)
-        return core.ask_table(core.ask_rows(key[0].as_py(), distinct, groups, times))
-
-    def quantised(own: _Tokens, distinct: np.ndarray, place: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Model counts of every word and pair: expected count of its level in the filter."""
-        if probe is None:
-            both = expected(level(np.where(np.arange(len(place)) < len(own.word), counts[place], np.where(counts[place] >= MIN_BIGRAM, counts[place], 0))))
-            return both[:len(own.word)], both[len(own.word):]
-        table = probe.value
-        word = expected(table.levels(distinct))[place]
-        pair = np.zeros(len(own.pair))
-        left = np.where(own.left >= 0, word[own.left], 1.0)
-        ask = np.flatnonzero((word > 0) & (left > 0))
-        keys, inverse = np.unique(own.pair[ask], return_inverse=True)
-        pair[ask] = expected(table.levels(keys))[inverse]
-        return word, pair
+        count = lambda x: (x[0], np.bincount(x[1], weights=learns, minlength=len(x[0])).astype(np.int64))
+        return ask_rows(key[0].as_py(), *count(np.unique(own.word, return_inverse=True)), *count(np.unique(own.pair, return_inverse=True)), buckets)
+
+    def probe(_key: tuple, asks: pa.Table) -> pa.Table:
+        return look_up(asks, max_filter_bytes is not None)
 
     def rate(_key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
         table, own, held = sorted_tokens(table)
-        distinct, place = asked(own)
-        counts = core.replies(said)
-        exact = counts[place[:len(own.word)]].astype(np.float64)
-        word, pair = quantised(own, distinct, place, counts)
+        counts, word_level, pair_level, total, vocabulary = replies(said, max_filter_bytes)
+        log_base = np.log10(total + 0.5 * (vocabulary + 1))
+        place = np.unique(own.word, return_inverse=True)[1]
+        exact, word = counts[place], expected(word_level[place].astype(np.int64))
+        pair = expected(pair_level[np.unique(own.pair, return_inverse=True)[1]].astype(np.int64))
         plain = np.log10(exact + 0.5) - log_base
         share = (word + 0.5) / 10**log_base
-        ends = np.unique(own.word[np.cumsum(own.n) - 1])
-        closing = expected(probe.value.levels(ends))[0] if probe is not None else word[np.cumsum(own.n)[0] - 1]
+        closing = word[own.n[0] - 1]
         before = np.where(own.left >= 0, word[own.left], closing)
         pair = np.minimum(pair, np.minimum(word, before))
         bigram = np.divide(pair, before, out=np.zeros_like(pair), where=before > 0)
@@ -275,7 +242,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", weight: floa
             "base_score": pa.array(add(plain)), "score": pa.array(add(model)),
         })
 
-    answers = core.answer(texts.groupBy("g").applyInArrow(ask_counts, core.ASK), _total)
+    asks = texts.groupBy("g").applyInArrow(ask_counts, core.ASK)
+    answers = asks.groupBy("b").applyInArrow(probe, core.ASK)
     return texts.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(
         rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 

@@ -191,9 +191,14 @@ def cover(starts: np.ndarray, width: int, size: int) -> np.ndarray:
 
 # -- groups of whole documents ---------------------------------------------------------------------------------------
 
-def group_count(docs: DataFrame, text: str = "text", group_bytes: int = GROUP_BYTES) -> int:
-    """How many text groups the table needs; one aggregate over the lengths."""
-    total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts; one aggregate over the lengths."""
+    return docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+
+
+def group_count(docs: DataFrame, text: str = "text", group_bytes: int = GROUP_BYTES, total: int | None = None) -> int:
+    """How many text groups the table needs; ``total``: its ``text_bytes``, if known."""
+    total = text_bytes(docs, text) if total is None else total
     spare = docs.sparkSession.sparkContext.defaultParallelism
     return max(1, math.ceil(total / group_bytes), min(spare, math.ceil(total / CHUNK_BYTES)))
 

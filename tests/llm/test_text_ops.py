@@ -143,11 +143,40 @@ def test_lm_knows_bigrams_seen_once(spark):
     share = lambda c: (1 - w) * (c + 0.5) / (9 + 0.5 * 5)
     seen = math.log10(w * 2.5 / 5.5 + share(2.5)) + math.log10(w * 1 / 2.5 + share(2.5)) + math.log10(w * 2.5 / 2.5 + share(5.5))
     assert got[held].n_tokens == 3 and got[held].score == pytest.approx(seen, abs=1e-9)
-    texts = [t for t in awkward_texts() if t]
-    own = bloom_lm._Tokens(pa.array(texts))
-    stored = bloom_lm.load_filter(bloom_lm.build_filter(table(spark, texts), 3), 3)
-    distinct, count = np.unique(own.pair, return_counts=True)
-    assert (count == 1).sum() > 500 and (stored.levels(distinct) >= bloom_lm.level(count)).all()
+    own = bloom_lm._Tokens(pa.array([t for t in awkward_texts() if t]))
+    (words, times), (pairs, pair_times) = (np.unique(key, return_counts=True) for key in (own.word, own.pair & bloom_lm._LOW))
+    stored = bloom_lm.build(words, times, pairs, pair_times)
+    assert (pair_times == 1).sum() > 500 and (stored.levels(pairs) >= bloom_lm.level(pair_times)).all()
+
+
+def test_lm_scores_come_from_one_filter_at_every_size(spark, monkeypatch):
+    """However many groups ask, and for a filter of any size: the levels of the filter read whole."""
+    monkeypatch.setattr(core, "GROUP_BYTES", 4000)
+    core.ship(spark)
+    texts = awkward_texts()
+    docs = table(spark, texts)
+    runs = []
+    for groups, bound in ((1, bloom_lm.MAX_FILTER_BYTES), (5, bloom_lm.MAX_FILTER_BYTES), (5, 1)):
+        monkeypatch.setattr(core, "group_count", lambda *_args, n=groups, **_more: n)
+        monkeypatch.setattr(bloom_lm, "MAX_FILTER_BYTES", bound)
+        runs.append({r.doc_id: r for r in bloom_lm.score(docs).collect()})
+    buckets = bloom_lm.segment_count(core.text_bytes(docs))
+    assert buckets > 5
+    learned = bloom_lm._Tokens(pa.array([t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1], pa.string()))
+    total, size = len(learned.word), len(set(learned.word.tolist()))
+    parts = []
+    for b in range(buckets):
+        inside = [np.unique(key[bloom_lm.bucket_of(key, buckets) == b], return_counts=True) for key in (learned.word, learned.pair)]
+        parts.append(bloom_lm.build(*inside[0], inside[1][0] & bloom_lm._LOW, inside[1][1]))
+    stored = bloom_lm.Filter(np.concatenate([p.sizes for p in parts]).astype(np.int64), b"".join(p.body.tobytes() for p in parts))
+    for i, t in enumerate(texts):
+        own = bloom_lm._Tokens(pa.array([t], pa.string()))
+        word, pair = (bloom_lm.expected(stored.levels(key)) for key in (own.word, own.pair))
+        before = np.r_[word[-1], word[:-1]]
+        pair = np.minimum(pair, np.minimum(word, before))
+        bigram = np.divide(pair, before, out=np.zeros_like(pair), where=before > 0)
+        model = np.log10(bloom_lm.BIGRAM_WEIGHT * bigram + (1 - bloom_lm.BIGRAM_WEIGHT) * (word + 0.5) / (total + 0.5 * (size + 1))).sum()
+        assert [r[i].score for r in runs] == pytest.approx([model] * 3, rel=1e-9)
 
 
 def test_lm_without_training_rows(spark):
