@@ -10,10 +10,11 @@ body downwards: into the container that holds most of the varying text, never
 into one that is a menu, header, footer, sidebar, notice, advert, form or
 comment list by its tag, role or class, and never below an article element.
 
-A page's text is what its node aligned with the content slot holds (else its own
-article or main element, else the body), without such parts and, outside an
-article, without template nodes.  Inside an article nothing is dropped for being
-common: a line shared by many articles stays.
+A page's text is what its node aligned with the content slot holds: all articles
+and sections of it, without such parts and, outside an article, without template
+nodes.  Where alignment found no slot, it is the first article or main element,
+else the body.  Inside an article nothing is dropped for being common: a line
+shared by many articles stays.
 
 Statistics are counted per (host, reference node) with partial aggregation, so a
 host with a third of all pages costs each task one row per node.  Pages travel
@@ -54,6 +55,7 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre section select summary table tbody td
 tfoot th thead title tr ul""".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+ARTICLE = frozenset({"article", "main"})
 CONTAINER = frozenset("article body center div main section table tbody td tr".split())
 #: A start tag ends an open element of these kinds first (up to the named borders).
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
@@ -268,7 +270,7 @@ def content_slot(reference: Compact, varying: dict[int, int]) -> int:
 # -- extraction ------------------------------------------------------------------------------------------------------
 
 def blocks(node: Node, skip: set[int]) -> list[str]:
-    """Text blocks under a node in page order; ``skip``: numbers of template nodes."""
+    """Text blocks under a node in page order; ``skip``: numbers of template nodes, which stay inside an article or main element."""
     out: list[str] = []
     run: list[str] = []
 
@@ -278,8 +280,9 @@ def blocks(node: Node, skip: set[int]) -> list[str]:
         if text:
             out.append(text)
 
-    def walk(n: Node, headings_only: bool) -> None:
+    def walk(n: Node, headings_only: bool, article: bool) -> None:
         block = n.tag in BLOCK
+        article = article or n.tag in ARTICLE
         if block:
             flush()
         for c in n.children:
@@ -289,26 +292,22 @@ def blocks(node: Node, skip: set[int]) -> list[str]:
             elif c.tag == "br":
                 run.append(" ")
             elif c.tag == "header" or c.drop and c.tag not in DROP_TAGS and re.search(r"\bheader\b", c.attributes, re.I):
-                walk(c, True)  # an article's own header: its headings
-            elif not c.drop and (c.order < 0 or c.order not in skip):
-                walk(c, headings_only and c.tag not in HEADING)
+                walk(c, True, article)  # an article's own header: its headings
+            elif not c.drop and (article or c.order < 0 or c.order not in skip):
+                walk(c, headings_only and c.tag not in HEADING, article)
         if block:
             flush()
 
-    walk(node, False)
+    walk(node, False, False)
     flush()
     return out
 
 
-def _find(node: Node, test) -> Node | None:
+def _find(node: Node, test) -> list[Node]:
+    """The outermost nodes of the kind, in page order."""
     if test(node):
-        return node
-    for c in node.children:
-        if isinstance(c, Node) and not c.drop:
-            found = _find(c, test)
-            if found is not None:
-                return found
-    return None
+        return [node]
+    return [found for c in node.children if isinstance(c, Node) and not c.drop for found in _find(c, test)]
 
 
 def extract(source: str | None, wrapper: tuple[Compact, int, frozenset[int]] | None) -> str:
@@ -321,12 +320,12 @@ def extract(source: str | None, wrapper: tuple[Compact, int, frozenset[int]] | N
     if wrapper is not None:
         place = dict(align(tree, wrapper[0]))
     slot = next((n for n, r in place.items() if wrapper is not None and r == wrapper[1] and r), None)
-    node = _find(root, lambda n: n.order == slot and slot is not None and n.tag in CONTAINER)
-    if node is None or node.tag not in ("article", "main"):
-        inner = _find(node or root, lambda n: n.tag == "article") or _find(node or root, lambda n: n.tag == "main" or 'role="main"' in n.attributes)
-        node = inner or node or _find(root, lambda n: n.tag == "body") or root
-    skip = set() if node.tag in ("article", "main") else {n for n, r in place.items() if wrapper is not None and r in wrapper[2]}
-    return "\n".join(blocks(node, skip))
+    nodes = _find(root, lambda n: n.order == slot and n.tag in CONTAINER) if slot is not None else []  # several if a run was folded
+    if not nodes:
+        nodes = _find(root, lambda n: n.tag == "article") or _find(root, lambda n: n.tag == "main" or 'role="main"' in n.attributes) or _find(root, lambda n: n.tag == "body") or [root]
+        nodes = nodes[:1]
+    skip = {n for n, r in place.items() if r in wrapper[2]} if wrapper is not None else set()
+    return "\n".join(b for node in nodes for b in blocks(node, skip))
 
 
 # -- Spark -----------------------------------------------------------------------------------------------------------

@@ -111,6 +111,22 @@ def test_main_text(spark):
     assert wrapper_html.main_text(pages(spark, [])).count() == 0
 
 
+def test_the_content_slot_is_taken_whole(spark):
+    core.ship(spark)
+    story = lambda i, k: " ".join(f"w{i}x{j}" for j in range(k))
+    frame = "<html><body><div id=top>Logo</div><div class=box>{}</div><div>Imprint</div></body></html>"
+    several = lambda i: f"<article><h1>One {i}</h1><p>{story(i, 60)}</p><p>shared</p></article><section><p>between {i}</p></section><article><h2>Two {i}</h2><p>{story(i, 40)}</p></article>"
+    teaser = lambda i: f"<article><h3>Our magazine</h3><p>Read it every week</p></article><div><h1>Story {i}</h1><p>{story(i, 60)}</p></div><p>{story(i, 40)} end</p>"
+    run = lambda i: "".join(f"<article>{story(i * 10 + j, 20)}</article>" for j in range(3))
+    kinds = (several, teaser, run)
+    rows = [(100 * k + i, f"http://k{k}.example/{i}", frame.format(make(i)), "h", "b", "w") for k, make in enumerate(kinds) for i in range(6)]
+    got = {r.page_id: r.text for r in wrapper_html.main_text(pages(spark, rows)).collect()}
+    for i in range(6):
+        assert got[i] == f"One {i}\n{story(i, 60)}\nshared\nbetween {i}\nTwo {i}\n{story(i, 40)}"
+        assert got[100 + i] == f"Story {i}\n{story(i, 60)}\n{story(i, 40)} end"
+        assert got[200 + i] == "\n".join(story(i * 10 + j, 20) for j in range(3))
+
+
 def test_tree_matching_is_the_largest():
     leaf = lambda t: (t, False, False, 0, 0, ())
     a = ("ul", False, False, 0, 0, tuple(leaf(t) for t in "xyzx"))
