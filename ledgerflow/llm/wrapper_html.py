@@ -56,6 +56,8 @@ footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol opt
 tfoot th thead title tr ul""".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset({"article", "main"})
+#: Kinds whose id is the anchor of a text.
+ANCHORED = HEADING | {"p", "section"}
 CONTAINER = frozenset("article body center div main section table tbody td tr".split())
 #: A start tag ends an open element of these kinds first (up to the named borders).
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
@@ -67,6 +69,9 @@ DROP_WORDS = frozenset("""nav navbar navigation menu breadcrumb breadcrumbs head
 advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay
 newsletter subscribe subscription signup login share sharing social comment comments reply replies disqus respond related recommended
 widget toolbar pagination pager copyright disclaimer form search""".split())
+#: Words that only say how a part is laid out.
+FRAME_WORDS = frozenset("""area bar block body bottom box button buttons card cards container content icon icons inner item items left link
+links list outer panel posts right section slot top unit wrap wrapper""".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -75,22 +80,33 @@ _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "drop", "order")
+    __slots__ = ("tag", "attributes", "children", "drop", "junk", "order")
 
-    def __init__(self, tag: str, attributes: str = ""):
+    def __init__(self, tag: str, attributes: str = "", article: bool = False):
         self.tag, self.attributes = tag, attributes
         self.children: list[Node | str] = []
-        self.drop = tag in DROP_TAGS or bool(attributes.strip()) and _unwanted(attributes)
+        named = tag not in DROP_TAGS and bool(attributes.strip())
+        loose = tag in DROP_TAGS or named and _unwanted(attributes)
+        #: ``junk``: judged as part of the content; ``drop``: judged by its place, of which an article is always content.
+        self.junk = loose and (not named or _unwanted(attributes, tag))
+        self.drop = self.junk if article or tag in ARTICLE else loose
         self.order = -1
 
 
-def _unwanted(attributes: str) -> bool:
-    """Is an element with these attributes a menu, notice, advert and so on, or hidden?"""
+def _unwanted(attributes: str, within: str | None = None) -> bool:
+    """Is an element with these attributes a menu, notice, advert and so on, or hidden?
+
+    Outside content any word of a class or id tells.  Of an element of kind ``within``
+    inside content, a whole class or id must say it (class="ad", "related-posts", but not
+    id="related-work"), and headings, paragraphs and sections are not judged by their id.
+    """
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id"):
-            if any(w.lower() in DROP_WORDS for part in value.split() for w in _WORDS.findall(part)):
-                return True
+        if name == "class" or name == "id" and within not in ANCHORED:
+            for part in value.split():
+                said = {w.lower() for w in _WORDS.findall(part)}
+                if said & DROP_WORDS and (within is None or said <= DROP_WORDS | FRAME_WORDS):
+                    return True
         elif name == "role":
             if value.lower() in DROP_ROLES:
                 return True
@@ -116,7 +132,7 @@ def parse(source: str) -> Node:
                 _close(stack, {"p"}, {"td", "th", "article", "section", "div", "body", "table", "button"})
             if tag in ENDS:
                 _close(stack, *ENDS[tag])
-            node = Node(tag, m.group(3) or "")
+            node = Node(tag, m.group(3) or "", article=any(n.tag in ARTICLE for n in stack))
             stack[-1].children.append(node)
             if tag in RAW:
                 close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
@@ -271,6 +287,7 @@ def content_slot(reference: Compact, varying: dict[int, int]) -> int:
 
 def blocks(node: Node, skip: set[int]) -> list[str]:
     """Text blocks under a node in page order; ``skip``: numbers of template nodes, which stay inside an article or main element."""
+    content = node.tag not in ("body", "html")
     out: list[str] = []
     run: list[str] = []
 
@@ -291,9 +308,9 @@ def blocks(node: Node, skip: set[int]) -> list[str]:
                     run.append(c)
             elif c.tag == "br":
                 run.append(" ")
-            elif c.tag == "header" or c.drop and c.tag not in DROP_TAGS and re.search(r"\bheader\b", c.attributes, re.I):
+            elif c.tag == "header" or (drop := c.junk if content else c.drop) and c.tag not in DROP_TAGS and re.search(r"\bheader\b", c.attributes, re.I):
                 walk(c, True, article)  # an article's own header: its headings
-            elif not c.drop and (article or c.order < 0 or c.order not in skip):
+            elif not drop and (article or c.order < 0 or c.order not in skip):
                 walk(c, headings_only and c.tag not in HEADING, article)
         if block:
             flush()

@@ -127,6 +127,19 @@ def test_the_content_slot_is_taken_whole(spark):
         assert got[200 + i] == "\n".join(story(i * 10 + j, 20) for j in range(3))
 
 
+def test_anchors_inside_content_are_kept(spark):
+    core.ship(spark)
+    story = lambda i, k: " ".join(f"w{i}x{j}" for j in range(k))
+    inside = lambda i: (
+        f'<section id="related-work"><h2 id="search-methods">Methods {i}</h2><p id="notice">{story(i, 40)}</p></section><div id="form-factor"><p class="header-files">files {i}</p></div>'
+        f'<div class="ad">buy {i}</div><div id="comments"><p>nice {i}</p></div><div class="related-posts">more {i}</div><div role="search">find {i}</div><p hidden>gone {i}</p><p class="cookie-notice">cookies {i}</p>')
+    frames = ('<article id="notice-period">{}</article>', '<div class=box>{}</div>')
+    rows = [(100 * k + i, f"http://k{k}.example/{i}", f'<html><body><div id="site-header">Logo {i}</div>{frame.format(inside(i))}<div class="page-footer-2">Imprint {i}</div></body></html>', "h", "b", "w")
+            for k, frame in enumerate(frames) for i in range(6)]
+    got = {r.page_id: r.text for r in wrapper_html.main_text(pages(spark, rows)).collect()}
+    assert len(got) == 12 and all(t == f"Methods {k % 100}\n{story(k % 100, 40)}\nfiles {k % 100}" for k, t in got.items())
+
+
 def test_tree_matching_is_the_largest():
     leaf = lambda t: (t, False, False, 0, 0, ())
     a = ("ul", False, False, 0, 0, tuple(leaf(t) for t in "xyzx"))
