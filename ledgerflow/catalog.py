@@ -587,7 +587,7 @@ def q_dq_reconciliation(spark, sf_dir):
 
 @query("dq_ingest")
 def q_dq_ingest(spark, sf_dir):
-    """Rows that left or came back between two extracts, and blank rows of the current one."""
+    """Rows that left or came back between extracts; blank rows and an empty sheet are not reported (README, open items)."""
     first, second = _load_ids(spark, sf_dir, PREV_LOAD, CUR_LOAD)
     third = _ids(spark, sf_dir, None)
     return rules.ingest_violations(first, second, third)
