@@ -62,21 +62,32 @@ def _bisect(low: str, high: str, too_high: str) -> str:
         (s, i) -> transform(array((s.lo + s.hi) / 2), x -> if({too_high}, named_struct('lo', s.lo, 'hi', x), named_struct('lo', x, 'hi', s.hi)))[0])"""
 
 
-#: SQL: entropy of the weights p^x; ``p`` is the array of positive shares.
-_ENTROPY = "(aggregate(p, 0D, (a, v) -> a + pow(v, x), z -> ln(z)) - x * aggregate(p, 0D, (a, v) -> a + pow(v, x) * ln(v)) / aggregate(p, 0D, (a, v) -> a + pow(v, x)))"
+#: SQL: entropy of the weights p^x; ``p`` is the array of distinct positive shares, each (v, number n of sources that have it).
+_ENTROPY = "(aggregate(p, 0D, (a, s) -> a + s.n * pow(s.v, x), z -> ln(z)) - x * aggregate(p, 0D, (a, s) -> a + s.n * pow(s.v, x) * ln(s.v)) / aggregate(p, 0D, (a, s) -> a + s.n * pow(s.v, x)))"
+
+
+def totals(sources: DataFrame) -> DataFrame:
+    """One row: all tokens, and the array t of (v, n): n sources have v > 0 tokens each.
+
+    Sources of equal tokens are one entry, so for N tokens the array has at most
+    sqrt(2 N) entries (that many different totals sum to N) however many sources there are.
+    """
+    same = sources.where("tokens > 0").groupBy(F.col("tokens").alias("v")).agg(F.count("*").alias("n"))
+    return same.agg(F.sum(F.col("v") * F.col("n")).alias("total"), F.array_sort(F.collect_list(F.struct("v", "n"))).alias("t"))
 
 
 def exponent(sources: DataFrame, flatten: float, max_repeats: float) -> DataFrame:
     """One row: x, the sum of p^x, the largest share.  ``sources``: (source, tokens), one row per source."""
-    row = sources.where("tokens > 0").agg(F.sum("tokens").alias("total"), F.array_sort(F.collect_list("tokens")).alias("t"))
-    row = row.select("total", F.expr("transform(t, v -> v / total)").alias("p")).where("total > 0")
-    row = row.withColumn("target", F.expr(f"transform(array(1D), x -> {_ENTROPY})[0] * {1 - flatten} + ln(size(p)) * {flatten}"))
+    row = totals(sources)
+    row = row.select("total", F.expr("transform(t, s -> named_struct('v', s.v / total, 'n', s.n))").alias("p")).where("total > 0")
+    row = row.withColumn("spread", F.expr("array_max(p).v / array_min(p).v"))
+    row = row.withColumn("target", F.expr(f"transform(array(1D), x -> {_ENTROPY})[0] * {1 - flatten} + ln(aggregate(p, 0L, (a, s) -> a + s.n)) * {flatten}"))
     # entropy falls as x rises: above the wanted x it is too low
     row = row.withColumn("reach", F.expr(_bisect("0D", "1D", f"{_ENTROPY} < target") + ".lo"))
     # passes of the rarest source fall as x rises: below the wanted x they are too many
-    row = row.withColumn("least", F.expr(_bisect("0D", "1D", f"pow(array_max(p) / array_min(p), 1 - x) <= {max_repeats}") + ".hi"))
-    row = row.withColumn("x", F.expr(f"if(array_max(p) / array_min(p) <= {max_repeats}, reach, greatest(reach, least))"))
-    return row.select("x", "total", F.expr("aggregate(p, 0D, (a, v) -> a + pow(v, x))").alias("norm"), F.array_max("p").alias("top"))
+    row = row.withColumn("least", F.expr(_bisect("0D", "1D", f"pow(spread, 1 - x) <= {max_repeats}") + ".hi"))
+    row = row.withColumn("x", F.expr(f"if(spread <= {max_repeats}, reach, greatest(reach, least))"))
+    return row.select("x", "total", F.expr("aggregate(p, 0D, (a, s) -> a + s.n * pow(s.v, x))").alias("norm"), F.expr("array_max(p).v").alias("top"))
 
 
 def plan(rows: DataFrame, flatten: float = FLATTEN, max_repeats: float = MAX_REPEATS, budget: float | None = None) -> DataFrame:

@@ -79,6 +79,18 @@ def test_mixing_reaches_its_target(spark):
     assert mixing.mix(table(spark, [None, "", None])).count() == 3  # no tokens at all
 
 
+def test_many_sources_of_equal_size_are_one_entry(spark):
+    tokens = [5] * 400 + [7] * 300 + [1000] * 2 + [0] * 3
+    sources = spark.createDataFrame([(f"s{i}", t) for i, t in enumerate(tokens)], "source string, tokens long")
+    row = mixing.totals(sources).first()
+    assert row.total == sum(tokens) and [tuple(e) for e in row.t] == [(5, 400), (7, 300), (1000, 2)]
+    p = np.array([t for t in tokens if t]) / sum(tokens)
+    entropy = lambda x: -(p**x / (p**x).sum() * np.log(p**x / (p**x).sum())).sum()
+    found = mixing.exponent(sources, 0.5, 1000.0).first()
+    assert entropy(found.x) == pytest.approx((entropy(1) + math.log(len(p))) / 2, abs=1e-9)
+    assert found.norm == pytest.approx((p**found.x).sum()) and found.top == pytest.approx(p.max()) and found.total == sum(tokens)
+
+
 def test_mixing_stays_native(spark):
     plan = mixing.copies(mixing.keyed(table(spark, ["a b"]), "doc_id", "source", "text"), mixing.plan(mixing.keyed(table(spark, ["a b"]), "doc_id", "source", "text")))
     assert not any(x in plan._jdf.queryExecution().toString() for x in ("Python", "Arrow", "Pandas"))
