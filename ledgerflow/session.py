@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables: next to the checkpoint dir."""
     return ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, for the few scans that run Python in tasks; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix=f"{package.name}-sources-"), f"{package.name}-sources.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)

@@ -3,8 +3,8 @@
 A tab is read as an export file (CSV with a header row, JSON lines or
 parquet).  Every value stays a string; no schema inference.  The header row
 is mapped to snake_case names through a fixed column map; an unknown
-non-blank header aborts the load before any job runs, a missing header does
-not.  Cells are stripped of all Unicode whitespace, short rows are padded
+non-blank header (of a CSV file, or in any line of a JSON export) aborts the
+load before a row is written, a missing header does not.  Cells are stripped of all Unicode whitespace, short rows are padded
 with ``''`` and rows whose cells are all blank are dropped.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerflow.functions.expr import strip_all_whitespace
+from ledgerflow.sources import csv_blocks
 
 
 class UnknownHeaderError(ValueError):
@@ -35,30 +36,54 @@ def check_headers(headers: list[str], column_map: Mapping[str, str], tab_name: s
 def read_tab_export(spark: SparkSession, path: str, column_map: Mapping[str, str],
                     fmt: str = "csv", tab_name: str = "") -> DataFrame:
     """Scan a tab export as strings and apply the header contract (S1-S4)."""
-    reader = spark.read
     if fmt == "csv":
-        # Cells may hold line breaks and doubled quotes; every column is a string, ragged rows come back as NULL cells.
-        sheet = reader.option("mode", "PERMISSIVE").option("multiLine", True).option("escape", '"')
-        head = sheet.option("header", False).csv(path).first()
-        names = [(h or "").strip() for h in head] if head else []
-        check_headers(names, column_map, tab_name)
-        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
-        df = sheet.option("header", True).schema(schema).csv(path)
-        # a column without a header is not part of the tab
-        df = df.select([F.col(f"c{i}").alias(h) for i, h in enumerate(names) if h])
+        df = _read_csv(spark, path, column_map, tab_name)
     elif fmt == "json":
-        first = reader.text(path).select(F.json_object_keys("value")).first()
-        check_headers(list(first[0] or []) if first else [], column_map, tab_name)
-        df = reader.schema(StructType([StructField(h, StringType()) for h in column_map])).json(path)
+        df = _read_json(spark, path, column_map, tab_name)
     elif fmt == "parquet":
-        df = reader.parquet(path)
+        df = spark.read.parquet(path)
     else:
         raise ValueError(f"unsupported tab export format: {fmt}")
     mapping = check_headers(df.columns, column_map, tab_name)
-    return conform(df.select([F.col(f"`{h}`").cast("string").alias(t) for h, t in mapping.items()]),
+    by_target: dict[str, list] = {}
+    for h, t in mapping.items():  # a header may occur with and without blanks around it
+        by_target.setdefault(t, []).append(F.col(f"`{h}`").cast("string"))
+    return conform(df.select([F.coalesce(*cells).alias(t) for t, cells in by_target.items()]),
                    list(dict.fromkeys(column_map.values())))
 
 
+def _read_csv(spark: SparkSession, path: str, column_map: Mapping[str, str], tab_name: str) -> DataFrame:
+    """Cells may hold line breaks and doubled quotes; files are split all the same (``csv_blocks``).
+
+    Every column is a string, ragged rows come back as NULL cells.  The first
+    header is read on its own; a file whose header differs stops the load.
+    """
+    head = spark.read.option("header", False).option("multiLine", True).option("escape", '"').csv(path).first()
+    names = [(h or "").strip() for h in head] if head else []
+    check_headers(names, column_map, tab_name)
+    if not names:
+        return spark.createDataFrame([], StructType([]))
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    cells = csv_blocks.read_records(spark, path).withColumn("cells", F.from_csv("record", schema, {"escape": '"', "mode": "PERMISSIVE"}))
+    same = F.lit(True)
+    for i, h in enumerate(names):
+        same &= F.trim(F.coalesce(F.col(f"cells.c{i}"), F.lit(""))) == F.lit(h)
+    wrong = F.raise_error(F.concat(F.lit(f"the header of a file of '{tab_name}' differs from the first one: "), F.col("file")))
+    rows = cells.where(F.when(F.col("first"), F.when(same, F.lit(False)).otherwise(wrong.cast("boolean"))).otherwise(F.lit(True)))
+    # a column without a header is not part of the tab
+    return rows.select([F.col(f"cells.c{i}").alias(h) for i, h in enumerate(names) if h])
+
+
+def _read_json(spark: SparkSession, path: str, column_map: Mapping[str, str], tab_name: str) -> DataFrame:
+    """JSON lines; the keys of every line are gathered by one aggregate, an unknown one stops the load."""
+    key = F.explode(F.json_object_keys("value")).alias("key")
+    keys = spark.read.text(path).select(key).distinct().withColumn("known", F.trim("key").isin(list(column_map)))
+    wrong = [r.key for r in keys.where(~F.col("known") & (F.trim("key") != "")).orderBy("key").limit(20).collect()]
+    check_headers(wrong, column_map, tab_name)
+    found = [r.key for r in keys.where("known").orderBy("key").collect()]
+    return spark.read.schema(StructType([StructField(h, StringType()) for h in found])).json(path)
+
+
 def conform(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pad missing columns and NULL cells with '' and keep the contract order."""
     present = set(df.columns)
