@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
-from ledgerflow.operators import cdc, dq
+from ledgerflow.operators import cdc, dq, skew
 from ledgerflow.plans import analytics, events, marts, metrics, reports, rules, store
 from ledgerflow.plans.warehouse import Warehouse
 from ledgerflow.plans.pipeline import TradingModel
@@ -80,6 +80,29 @@ def q_row_count_delta(spark, sf_dir):
     return state.row_count_delta(state.row_counts(prev), state.row_counts(cur))
 
 
+def export_rows(log: DataFrame) -> DataFrame:
+    """The log as a sheet export: sheet headers, and remarks of every fourth order with quotes and a line break."""
+    remarks = F.when((F.col("source_row_number") - 2) % 4 == 0, F.concat(F.lit('first line\n"'), F.trim("remarks"), F.lit('", then'))).otherwise(F.col("remarks"))
+    return log.select([(remarks if c == "remarks" else F.col(c)).alias(h) for h, c in config.TRANSACTION_LOG_COLUMN_MAP.items()])
+
+
+def _export(spark, sf_dir, fmt: str) -> str:
+    """Folder of the written export; once per session."""
+    options = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"} if fmt == "csv" else {}
+    return store.written(spark, f"export|{fmt}|{sf_dir}", lambda path: export_rows(
+        model(spark, sf_dir).tabs["transaction_log"]).write.mode("overwrite").options(**options).format(fmt).save(path))
+
+
+def _tab_scan(fmt: str) -> Query:
+    """Export of the log read back through the header contract, cells stripped, blank rows dropped."""
+    return lambda spark, sf_dir: tabs.clean_cells(tabs.read_tab_export(
+        spark, _export(spark, sf_dir, fmt), config.TRANSACTION_LOG_COLUMN_MAP, fmt, "transaction_log"))
+
+
+for _fmt in ("csv", "json"):
+    QUERIES[f"tab_scan_{_fmt}"] = _tab_scan(_fmt)
+
+
 # --- staging / intermediate ----------------------------------------------------------------
 
 @query("stg_transaction_log")
@@ -182,6 +205,23 @@ def q_payment_allocation(spark, sf_dir):
         F.coalesce("payment_total", F.lit(0).cast(DecimalType(18, 2))).alias("payment_total"), "allocated_total"))
 
 
+@query("hot_key_allocation")
+def q_hot_key_allocation(spark, sf_dir):
+    """Allocation where a third of the forms cannot be read and share two keys: their lines are never shuffled."""
+    m = model(spark, sf_dir)
+    lost = (F.col("source_row_number") - 2) % 3 == 1
+    blank = {"timestamp": "n/a", "vendor_name": "", "customer_name": "", "payment_rs": "70", "payment_mode": ""}
+    log = m.tabs["transaction_log"].select([F.when(lost, F.lit(blank[c])).otherwise(F.col(c)).alias(c) if c in blank else F.col(c)
+                                            for c in m.tabs["transaction_log"].columns])
+    hot = TradingModel({**m.tabs, "transaction_log": log}, RUN_DATE, spark, f"{sf_dir}|{RUN_DATE.isoformat()}|hot")
+    hot.heavy_keys = skew.heavy_keys(analytics.with_transaction_key(hot.stg_log), "transaction_key", min_rows=1000)
+    weight = lambda c: F.sum(F.col(c) * F.col("copies"))
+    return edge(hot.allocated.groupBy("transaction_type", "product_name", "payment_mode").agg(
+        F.sum("copies").alias("mart_rows"), F.count_distinct("transaction_key").alias("transactions"),
+        weight("transaction_amount").cast(DecimalType(38, 2)).alias("amount"),
+        weight("allocated_payment").cast(DecimalType(38, 2)).alias("allocated")))
+
+
 @query("daily_flows")
 def q_daily_flows(spark, sf_dir):
     return edge(marts.daily_flows(model(spark, sf_dir).allocated))

@@ -6,11 +6,14 @@ Shuffle budget of ``transaction_items_enriched`` (the only wide step here):
   copies of one form collapses map-side to one row per map task;
 * as-of: lookups ⋈ rate intervals on (side, counterparty, month) - see
   ``operators.asof``;
-* lines ⋈ chosen rate on (key, product).
+* lines ⋈ the rates of their key, on the key; lines of keys that hold more than a
+  partition's share of all forms stay where they were read (``operators.skew``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -19,6 +22,7 @@ from ledgerflow import config
 from ledgerflow.functions.expr import pick_by_name, transaction_key
 from ledgerflow.operators.asof import asof_join, value_literal
 from ledgerflow.operators.reshape import unpivot_columns
+from ledgerflow.operators.skew import split_join
 
 RATE_BY_PRODUCT = dict(zip(config.PRODUCT_NAMES, config.RATE_COLUMNS))
 
@@ -116,10 +120,15 @@ def key_rates(chosen: DataFrame) -> DataFrame:
     return chosen.groupBy("transaction_key").agg(*newest)
 
 
-def value_lines(items: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Attach the chosen rate to every line and value it."""
+def value_lines(items: DataFrame, chosen: DataFrame, heavy: Sequence[str] = ()) -> DataFrame:
+    """Attach the chosen rate to every line and value it; lines of ``heavy`` keys are not shuffled."""
+    return value_joined(split_join(items, key_rates(chosen), "transaction_key", heavy))
+
+
+def value_joined(joined: DataFrame) -> DataFrame:
+    """Value lines that carry the rates of their key (``key_rates``)."""
     rate = pick_by_name("product_name", {n: F.col(f"__{c}.applicable_rate") for n, c in zip(config.PRODUCT_NAMES, config.RATE_COLUMNS)})
-    enriched = items.join(key_rates(chosen), "transaction_key", "left").withColumn("applicable_rate", rate)
+    enriched = joined.withColumn("applicable_rate", rate)
     amount = F.when(F.col("applicable_rate").isNotNull(),
                     F.round(F.col("quantity_kg") * F.col("applicable_rate"), 2).cast(DecimalType(18, 2)))
     status = F.when(F.col("applicable_rate").isNotNull(), F.lit(config.MATCHED)).otherwise(F.lit(config.MISSING_RATE))

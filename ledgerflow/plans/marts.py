@@ -12,22 +12,30 @@ lines join that compact side, and the daily marts weight their sums by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
 from ledgerflow.functions.expr import cond_sum, month_start, round_half_away, week_start
+from ledgerflow.operators import skew
 from ledgerflow.operators.reshape import densify_running
+from ledgerflow.plans import analytics
 
 MONEY = DecimalType(18, 2)
 QTY = DecimalType(18, 3)
 
 
-def payment_variants(payments: DataFrame) -> DataFrame:
-    """Payments collapsed per (key, amount, mode) with their multiplicity."""
-    return payments.groupBy("transaction_key", "payment_amount", "payment_mode").agg(
-        F.count(F.lit(1)).alias("copies"))
+def payment_variants(payments: DataFrame, by_key: bool = False) -> DataFrame:
+    """Payments collapsed per (key, amount, mode) with their multiplicity.
+
+    ``by_key`` deals them by the key alone, so that a join on the key needs no second shuffle.
+    """
+    rows = payments.select("transaction_key", "payment_amount", "payment_mode")
+    rows = rows.repartition("transaction_key") if by_key else rows
+    return rows.groupBy("transaction_key", "payment_amount", "payment_mode").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def item_totals(enriched: DataFrame) -> DataFrame:
@@ -36,17 +44,37 @@ def item_totals(enriched: DataFrame) -> DataFrame:
         F.sum(F.coalesce("transaction_amount", F.lit(0))).alias("total_tx_amount"))
 
 
-def allocated_lines(enriched: DataFrame, payments: DataFrame) -> DataFrame:
-    """Lines with their proportional share of the transaction's payment, weighted by ``copies``.
+def allocated_lines(items: DataFrame, chosen: DataFrame, payments: DataFrame, heavy: Sequence[str] = ()) -> DataFrame:
+    """Valued lines with their proportional share of the transaction's payment, weighted by ``copies``.
 
-    share = round(payment × amount / total, 2) when the key's total amount is
+    Lines of ordinary keys are shuffled once, by their key: the join to the rates leaves
+    them sorted by it, the totals of a key are a window over that order, and the payments
+    come to the same partitions.  Lines of ``heavy`` keys (few keys, any number of lines)
+    are not shuffled: rates and totals of those keys are broadcast, and their payment
+    variants too once a count has shown that they are few.
+    """
+    lines, hot_lines = skew.split(items, "transaction_key", heavy)
+    rates, hot_rates = skew.split(chosen, "transaction_key", heavy)
+    pays, hot_pays = skew.split(payments, "transaction_key", heavy)
+    valued = analytics.value_lines(lines, rates)
+    key = Window.partitionBy("transaction_key")
+    totals = valued.select("*", F.count(F.lit(1)).over(key).alias("item_count"),
+                           F.sum(F.coalesce("transaction_amount", F.lit(0))).over(key).alias("total_tx_amount"))
+    out = _shares(totals.join(payment_variants(pays, by_key=True), "transaction_key", "left"))
+    if hot_lines is not None:
+        # fewer keys than shuffle partitions, one row of rates and one of totals each
+        valued = analytics.value_joined(hot_lines.join(F.broadcast(analytics.key_rates(hot_rates)), "transaction_key", "left"))
+        totals = valued.join(F.broadcast(item_totals(valued)), "transaction_key", "left")
+        out = out.unionByName(_shares(totals.join(skew.small(payment_variants(hot_pays)), "transaction_key", "left")))
+    return out
+
+
+def _shares(j: DataFrame) -> DataFrame:
+    """share = round(payment × amount / total, 2) when the key's total amount is
     positive, else round(payment / line_count, 2) (equal split).  The
     arithmetic is DOUBLE with half-away-from-zero rounding, as in the source
     engine; the rounded share is then held as an exact decimal(18,2).
     """
-    totals = item_totals(enriched)
-    pays = payment_variants(payments)
-    j = enriched.join(totals, "transaction_key", "left").join(pays, "transaction_key", "left")
     pay = F.coalesce(F.col("payment_amount"), F.lit(0).cast(DecimalType(12, 2)))
     amount = F.coalesce(F.col("transaction_amount"), F.lit(0).cast(MONEY))
     share = F.when(
@@ -73,10 +101,19 @@ MART_TRANSACTIONS_COLUMNS = [
 ]
 
 
+#: Copies written out by one array; more of them are written in several.
+COPIES_AT_A_TIME = 4096
+
+
 def mart_transactions(allocated: DataFrame) -> DataFrame:
-    """Row grain of the reference: one row per line × matching payment row."""
-    return allocated.select(*MART_TRANSACTIONS_COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_n")) \
-        .drop("_n")
+    """Row grain of the reference: one row per line × matching payment row.
+
+    Copies are written out in two narrow steps, so that no array grows with them.
+    """
+    step = F.lit(COPIES_AT_A_TIME)
+    blocks = allocated.select(*MART_TRANSACTIONS_COLUMNS, "copies", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / step))).alias("_block"))
+    left = F.least(step, F.col("copies") - F.col("_block") * step).cast("int")
+    return blocks.select(*MART_TRANSACTIONS_COLUMNS, F.explode(F.array_repeat(F.lit(0), left)).alias("_n")).drop("_n")
 
 
 def _w(c: str) -> Column:

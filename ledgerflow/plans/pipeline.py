@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow import config
+from ledgerflow.operators import skew
 from ledgerflow.plans import analytics, marts, staging, store
 from ledgerflow.sources import fixtures
 
@@ -89,17 +90,22 @@ class TradingModel:
         return store.stage(self.spark, f"chosen|{self.stage_key}",
                            lambda: analytics.choose_rates(self.items, self.rates))
 
+    @cached_property
+    def heavy_keys(self) -> list[str]:
+        """Transaction keys shared by more forms than one task should hold (forms that cannot be read share one)."""
+        return skew.heavy_keys(analytics.with_transaction_key(self.stg_log), "transaction_key")
+
     @cached_property
     def enriched(self) -> DataFrame:
-        return analytics.value_lines(self.items, self.chosen_rates)
+        return analytics.value_lines(self.items, self.chosen_rates, self.heavy_keys)
 
     # marts
     @cached_property
     def allocated(self) -> DataFrame:
         if self.stage_key is None:
-            return marts.allocated_lines(self.enriched, self.payments)
+            return marts.allocated_lines(self.items, self.chosen_rates, self.payments, self.heavy_keys)
         return store.stage(self.spark, f"allocated|{self.stage_key}",
-                           lambda: marts.allocated_lines(self.enriched, self.payments))
+                           lambda: marts.allocated_lines(self.items, self.chosen_rates, self.payments, self.heavy_keys))
 
     @cached_property
     def mart_transactions(self) -> DataFrame:

@@ -30,6 +30,17 @@ def _sid(spark: SparkSession) -> str:
 
 
 def stage(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> DataFrame:
+    def write(path: str) -> None:
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+
+    return spark.read.parquet(written(spark, key, write))
+
+
+def written(spark: SparkSession, key: str, write) -> str:
+    """The folder that ``write(path)`` fills, once per session and key."""
     sid = _sid(spark)
     with _GUARD:
         lock = _LOCKS.setdefault((sid, key), threading.Lock())
@@ -38,12 +49,9 @@ def stage(spark: SparkSession, key: str, build, partition_by: list[str] | None =
         if hit is None:
             digest = hashlib.sha1(key.encode()).hexdigest()[:16]
             hit = f"{scratch_root(spark)}/run-{_RUN_ID}/{digest}"
-            w = build().write.mode("overwrite")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            w.parquet(hit)
+            write(hit)
             _WRITTEN[(sid, key)] = hit
-    return spark.read.parquet(hit)
+    return hit
 
 
 def forget(spark: SparkSession | None = None) -> None:
