@@ -16,6 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from ledgerflow import config
 from ledgerflow.operators import cdc, dq, skew
+from ledgerflow.operators.reshape import days_in
 from ledgerflow.plans import analytics, events, marts, metrics, reports, rules, store
 from ledgerflow.plans.warehouse import Warehouse
 from ledgerflow.plans.pipeline import TradingModel
@@ -338,7 +339,8 @@ def q_metrics_sparkline(spark, sf_dir):
 
 @query("customer_summary_as_of")
 def q_customer_summary_as_of(spark, sf_dir):
-    return edge(metrics.CUSTOMER_SUMMARY.query(model(spark, sf_dir).customer_summary, dims=["customer_name"], time_range=RANGE))
+    return edge(marts.balances_in(model(spark, sf_dir).customer_intervals, "customer_name", marts.CUSTOMER_FLOWS, "outstanding_receivable",
+                                  F.lit(RANGE[0]), F.lit(RANGE[1])))
 
 
 @query("product_summary_totals")
@@ -358,15 +360,14 @@ def q_metrics_daily_by_month(spark, sf_dir):
 
 @query("balance_as_of")
 def q_balance_as_of(spark, sf_dir):
-    return edge(metrics.VENDOR_SUMMARY.query(model(spark, sf_dir).vendor_summary, dims=["vendor_name"],
-                                             time_range=RANGE))
+    return edge(marts.balances_in(model(spark, sf_dir).vendor_intervals, "vendor_name", marts.VENDOR_FLOWS, "outstanding_payable",
+                                  F.lit(RANGE[0]), F.lit(RANGE[1])))
 
 
 @query("balance_as_of_total")
 def q_balance_as_of_total(spark, sf_dir):
-    return edge(metrics.semi_additive_total(
-        model(spark, sf_dir).customer_summary.where(F.col("date").between(F.lit(RANGE[0]), F.lit(RANGE[1]))),
-        "customer_name", "date", "outstanding_receivable"))
+    return edge(marts.balances_in(model(spark, sf_dir).customer_intervals, "customer_name", marts.CUSTOMER_FLOWS, "outstanding_receivable",
+                                  F.lit(RANGE[0]), F.lit(RANGE[1])).agg(F.sum("outstanding_receivable").alias("outstanding_receivable")))
 
 
 @query("metrics_product_summary")
@@ -409,7 +410,7 @@ def q_reconcile_kpis(spark, sf_dir):
 @query("reconcile_totals")
 def q_reconcile_totals(spark, sf_dir):
     m = model(spark, sf_dir)
-    return reports.reconcile_totals(m.vendor_summary, m.customer_summary)
+    return reports.reconcile_totals(m.vendor_intervals, m.customer_intervals)
 
 
 # --- data-quality tests -------------------------------------------------------------------
@@ -438,8 +439,10 @@ def q_dq_not_null(spark, sf_dir):
                            ["transaction_key", "transaction_date", "transaction_type", "product_name", "quantity_kg",
                             "rate_lookup_status"]),
         dq.not_null_counts(m.daily_metrics, "mart_daily_metrics", ["date"]),
-        dq.not_null_counts(m.vendor_summary, "mart_vendor_summary", ["date", "vendor_name"]),
-        dq.not_null_counts(m.customer_summary, "mart_customer_summary", ["date", "customer_name"]),
+        # the dense marts by their intervals: an interval stands for its days
+        *[dq.not_null_counts(i.withColumnRenamed("from_date", "date"), name, ["date", entity], days_in("date", "to_date"))
+          for i, name, entity in ((m.vendor_intervals, "mart_vendor_summary", "vendor_name"),
+                                  (m.customer_intervals, "mart_customer_summary", "customer_name"))],
         dq.not_null_counts(m.product_summary, "mart_product_summary", ["date", "product_name"]),
     ])
 

@@ -19,9 +19,13 @@ def _long(agg: DataFrame, model: str, test: str, cols: Sequence[str]) -> DataFra
     return agg.select(F.lit(model).alias("model_name"), F.lit(test).alias("test_name"), F.inline(rows))
 
 
-def not_null_counts(df: DataFrame, model: str, cols: Sequence[str]) -> DataFrame:
-    """(model_name, test_name, column_name, failures) with failures = NULL count per column."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+def not_null_counts(df: DataFrame, model: str, cols: Sequence[str], weight: Column | None = None) -> DataFrame:
+    """(model_name, test_name, column_name, failures) with failures = NULL count per column.
+
+    ``weight``: how many rows of the tested model a row of ``df`` stands for.
+    """
+    one = F.lit(1) if weight is None else weight
+    agg = df.agg(*[F.coalesce(F.sum(F.when(F.col(c).isNull(), one)), F.lit(0)).cast("long").alias(c) for c in cols])
     return _long(agg, model, "not_null", cols)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql.types import DecimalType
 from ledgerflow import config
 from ledgerflow.functions.expr import cond_sum, month_start, round_half_away, week_start
 from ledgerflow.operators import skew
-from ledgerflow.operators.reshape import densify_running
+from ledgerflow.operators.reshape import clip, densify, densify_running, running_intervals
 from ledgerflow.plans import analytics
 
 MONEY = DecimalType(18, 2)
@@ -138,6 +138,12 @@ def daily_flows(allocated: DataFrame) -> DataFrame:
 DAILY_FLOWS = ["purchase_qty", "purchase_amount", "sales_qty", "sales_amount", "payments_paid", "payments_received"]
 
 
+def _calendar(days: DataFrame) -> tuple[Column, Column]:
+    """First and last date as literals: a scan of the date column, so no aggregate runs twice for it."""
+    lo, hi = days.agg(F.min("date"), F.max("date")).first()
+    return F.lit(lo).cast("date"), F.lit(hi).cast("date")
+
+
 def daily_metrics(allocated: DataFrame) -> DataFrame:
     """Continuous company calendar with running payable and receivable balances.
 
@@ -148,41 +154,63 @@ def daily_metrics(allocated: DataFrame) -> DataFrame:
     return densify_running(flows, [], "date", DAILY_FLOWS, {
         "outstanding_payable": F.col("purchase_amount") - F.col("payments_paid"),
         "outstanding_receivable": F.col("sales_amount") - F.col("payments_received"),
-    }).select("date", *DAILY_FLOWS, "outstanding_payable", "outstanding_receivable")
+    }, *_calendar(allocated)).select("date", *DAILY_FLOWS, "outstanding_payable", "outstanding_receivable")
+
+
+VENDOR_FLOWS = ("purchase_qty", "purchase_amount", "payments_paid")
+CUSTOMER_FLOWS = ("sales_qty", "sales_amount", "payments_received")
+
+
+def _entity_lines(allocated: DataFrame, ttype: str, entity: str) -> DataFrame:
+    return allocated.where((F.col("transaction_type") == ttype) & F.col(entity).isNotNull())
 
 
 def _entity_daily(allocated: DataFrame, ttype: str, entity: str, names: tuple[str, str, str]) -> DataFrame:
     qty, amt, paid = names
-    return (allocated.where((F.col("transaction_type") == ttype) & F.col(entity).isNotNull())
-            .groupBy("date", entity).agg(
-                F.sum(_w("quantity_kg")).cast(QTY).alias(qty),
-                F.sum(_w("transaction_amount")).cast(MONEY).alias(amt),
-                F.sum(_w("allocated_payment")).cast(MONEY).alias(paid)))
+    return _entity_lines(allocated, ttype, entity).groupBy("date", entity).agg(
+        F.sum(_w("quantity_kg")).cast(QTY).alias(qty),
+        F.sum(_w("transaction_amount")).cast(MONEY).alias(amt),
+        F.sum(_w("allocated_payment")).cast(MONEY).alias(paid))
 
 
 def vendor_daily(allocated: DataFrame) -> DataFrame:
-    return _entity_daily(allocated, config.PURCHASE, "vendor_name", ("purchase_qty", "purchase_amount", "payments_paid"))
+    return _entity_daily(allocated, config.PURCHASE, "vendor_name", VENDOR_FLOWS)
 
 
 def customer_daily(allocated: DataFrame) -> DataFrame:
-    return _entity_daily(allocated, config.SALE, "customer_name",
-                         ("sales_qty", "sales_amount", "payments_received"))
+    return _entity_daily(allocated, config.SALE, "customer_name", CUSTOMER_FLOWS)
+
+
+def vendor_intervals(allocated: DataFrame) -> DataFrame:
+    """(vendor, from_date, to_date, flows, ``outstanding_payable``) on the vendors' shared calendar."""
+    return running_intervals(vendor_daily(allocated), ["vendor_name"], "date", VENDOR_FLOWS,
+                             {"outstanding_payable": F.col("purchase_amount") - F.col("payments_paid")},
+                             *_calendar(_entity_lines(allocated, config.PURCHASE, "vendor_name")))
+
+
+def customer_intervals(allocated: DataFrame) -> DataFrame:
+    """(customer, from_date, to_date, flows, ``outstanding_receivable``) on the customers' shared calendar."""
+    return running_intervals(customer_daily(allocated), ["customer_name"], "date", CUSTOMER_FLOWS,
+                             {"outstanding_receivable": F.col("sales_amount") - F.col("payments_received")},
+                             *_calendar(_entity_lines(allocated, config.SALE, "customer_name")))
+
+
+def vendor_summary(intervals: DataFrame) -> DataFrame:
+    """(date, vendor): every vendor on every day of the shared calendar with the running ``outstanding_payable``."""
+    return densify(intervals, ["vendor_name"], "date", VENDOR_FLOWS, ["outstanding_payable"]) \
+        .select("date", "vendor_name", *VENDOR_FLOWS, "outstanding_payable")
 
 
-def vendor_summary(allocated: DataFrame) -> DataFrame:
-    """(date, vendor) on the shared calendar with the running ``outstanding_payable``."""
-    d = vendor_daily(allocated)
-    return densify_running(d, ["vendor_name"], "date", ["purchase_qty", "purchase_amount", "payments_paid"],
-                           {"outstanding_payable": F.col("purchase_amount") - F.col("payments_paid")}) \
-        .select("date", "vendor_name", "purchase_qty", "purchase_amount", "payments_paid", "outstanding_payable")
+def customer_summary(intervals: DataFrame) -> DataFrame:
+    """(date, customer): every customer on every day of the shared calendar with the running ``outstanding_receivable``."""
+    return densify(intervals, ["customer_name"], "date", CUSTOMER_FLOWS, ["outstanding_receivable"]) \
+        .select("date", "customer_name", *CUSTOMER_FLOWS, "outstanding_receivable")
 
 
-def customer_summary(allocated: DataFrame) -> DataFrame:
-    """(date, customer) on the shared calendar with the running ``outstanding_receivable``."""
-    d = customer_daily(allocated)
-    return densify_running(d, ["customer_name"], "date", ["sales_qty", "sales_amount", "payments_received"],
-                           {"outstanding_receivable": F.col("sales_amount") - F.col("payments_received")}) \
-        .select("date", "customer_name", "sales_qty", "sales_amount", "payments_received", "outstanding_receivable")
+def balances_in(intervals: DataFrame, entity: str, flows: Sequence[str], balance: str, lo: Column, hi: Column) -> DataFrame:
+    """Per entity: flows summed over [lo, hi] and the balance of the last day in it; read off the intervals, no day rows."""
+    part = clip(intervals, flows, lo, hi)
+    return part.groupBy(entity).agg(*[F.sum(f).alias(f) for f in flows], F.max_by(balance, "from_date").alias(balance))
 
 
 def product_summary(allocated: DataFrame) -> DataFrame:

@@ -115,13 +115,27 @@ class TradingModel:
     def daily_metrics(self) -> DataFrame:
         return marts.daily_metrics(self.allocated)
 
+    def _intervals(self, name: str, build) -> DataFrame:
+        if self.stage_key is None:
+            return build(self.allocated)
+        return store.stage(self.spark, f"{name}|{self.stage_key}", lambda: build(self.allocated))
+
+    @cached_property
+    def vendor_intervals(self) -> DataFrame:
+        """Balances as intervals; written once per run when staged."""
+        return self._intervals("vendor-intervals", marts.vendor_intervals)
+
+    @cached_property
+    def customer_intervals(self) -> DataFrame:
+        return self._intervals("customer-intervals", marts.customer_intervals)
+
     @cached_property
     def vendor_summary(self) -> DataFrame:
-        return marts.vendor_summary(self.allocated)
+        return marts.vendor_summary(self.vendor_intervals)
 
     @cached_property
     def customer_summary(self) -> DataFrame:
-        return marts.customer_summary(self.allocated)
+        return marts.customer_summary(self.customer_intervals)
 
     @cached_property
     def product_summary(self) -> DataFrame:
@@ -139,11 +153,16 @@ def run(spark: SparkSession, model: TradingModel, out_root: str) -> dict[str, st
     model.allocated.write.mode("overwrite").partitionBy("month_start").parquet(alloc_path)
     allocated = spark.read.parquet(alloc_path)
     paths["allocated_lines"] = alloc_path
+    intervals = {}
+    for name, build in (("vendor_balance_intervals", marts.vendor_intervals), ("customer_balance_intervals", marts.customer_intervals)):
+        paths[name] = f"{out_root}/marts/{name}"
+        build(allocated).write.mode("overwrite").parquet(paths[name])
+        intervals[name] = spark.read.parquet(paths[name])
     outputs = {
         "mart_transactions": (marts.mart_transactions(allocated), "month_start"),
         "mart_daily_metrics": (marts.daily_metrics(allocated), None),
-        "mart_vendor_summary": (marts.vendor_summary(allocated), None),
-        "mart_customer_summary": (marts.customer_summary(allocated), None),
+        "mart_vendor_summary": (marts.vendor_summary(intervals["vendor_balance_intervals"]), None),
+        "mart_customer_summary": (marts.customer_summary(intervals["customer_balance_intervals"]), None),
         "mart_product_summary": (marts.product_summary(allocated), None),
     }
     def write(name, df, part):

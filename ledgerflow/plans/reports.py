@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.expr import fiscal_year_start, month_start
-from ledgerflow.plans.metrics import KPI_MEASURES, TRANSACTIONS, last_non_null, semi_additive_total
+from ledgerflow.operators.reshape import days_in
+from ledgerflow.plans.metrics import KPI_MEASURES, TRANSACTIONS, last_non_null
 
 DIGEST_DAY_COLUMNS = ("sales_amount", "sales_qty", "purchase_amount", "purchase_qty",
                       "payments_received", "payments_paid")
@@ -83,20 +84,22 @@ def reconcile_kpis(daily: DataFrame, lo: _dt.date, hi: _dt.date) -> DataFrame:
     return long.orderBy("metric")
 
 
-def reconcile_totals(vendor_summary: DataFrame, customer_summary: DataFrame) -> DataFrame:
+def reconcile_totals(vendor_intervals: DataFrame, customer_intervals: DataFrame) -> DataFrame:
     """Lifetime totals: the raw sum of running balances over all days (what the
-    reconciliation script prints) and the period-end total (last balance per entity, summed)."""
-    raw_p = vendor_summary.agg(F.round(F.sum("outstanding_payable"), 2).cast("double").alias("value")) \
-        .select(F.lit("raw_sum_outstanding_payable").alias("metric"), "value")
-    raw_r = customer_summary.agg(F.round(F.sum("outstanding_receivable"), 2).cast("double").alias("value")) \
-        .select(F.lit("raw_sum_outstanding_receivable").alias("metric"), "value")
-    end_p = semi_additive_total(vendor_summary, "vendor_name", "date", "outstanding_payable") \
-        .select(F.lit("period_end_outstanding_payable").alias("metric"),
-                F.round("outstanding_payable", 2).cast("double").alias("value"))
-    end_r = semi_additive_total(customer_summary, "customer_name", "date", "outstanding_receivable") \
-        .select(F.lit("period_end_outstanding_receivable").alias("metric"),
-                F.round("outstanding_receivable", 2).cast("double").alias("value"))
-    return raw_p.unionByName(raw_r).unionByName(end_p).unionByName(end_r)
+    reconciliation script prints) and the period-end total (last balance per entity, summed).
+
+    Both come from the intervals: a balance counts once per day that it lasts, and
+    an entity's last interval is the one that ends the calendar.
+    """
+    out = []
+    for side, intervals in (("payable", vendor_intervals), ("receivable", customer_intervals)):
+        balance = f"outstanding_{side}"
+        end = intervals.agg(F.max("to_date")).scalar()
+        both = intervals.agg(F.sum(F.col(balance) * days_in()).alias("raw"), F.sum(F.when(F.col("to_date") == end, F.col(balance))).alias("end"))
+        rows = F.array(*[F.struct(F.lit(f"{name}_{balance}").alias("metric"), F.round(c, 2).cast("double").alias("value"))
+                         for name, c in (("raw_sum", "raw"), ("period_end", "end"))])
+        out.append(both.select(F.inline(rows)))
+    return out[0].unionByName(out[1])
 
 
 def kpi_grid(mart: DataFrame, time_range) -> DataFrame:
