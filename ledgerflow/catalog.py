@@ -272,54 +272,54 @@ def q_product_summary(spark, sf_dir):
 
 @query("metrics_kpi_grid")
 def q_metrics_kpi_grid(spark, sf_dir):
-    return edge(reports.kpi_grid(model(spark, sf_dir).mart_transactions, RANGE))
+    return edge(reports.kpi_grid(model(spark, sf_dir).rollup("transaction_type"), RANGE))
 
 
 @query("metrics_by_time")
 def q_metrics_by_time(spark, sf_dir):
-    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).mart_transactions, list(reports.TIME_CHARTS),
+    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).rollup("transaction_type"), list(reports.TIME_CHARTS),
                                            grain="day", time_range=RANGE, order_by=[F.col("date")]))
 
 
 @query("metrics_by_dim")
 def q_metrics_by_dim(spark, sf_dir):
-    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).mart_transactions,
+    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).weighted_lines,
                                            dims=["transaction_type", "product_name", "rate_lookup_status"]))
 
 
 @query("metrics_filtered")
 def q_metrics_filtered(spark, sf_dir):
     where = {"product_name": ["Mushroom Bulk", "Lahsun"], "customer_name": [f"C{i}" for i in range(0, 150, 3)]}
-    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).mart_transactions,
+    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).rollup("transaction_type", *where),
                                            ["sales_amount", "payments_received", "outstanding_receivable"],
                                            grain="week", time_range=RANGE, where=where))
 
 
 @query("metrics_margin")
 def q_metrics_margin(spark, sf_dir):
-    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).mart_transactions,
+    return edge(metrics.TRANSACTIONS.query(model(spark, sf_dir).rollup("transaction_type"),
                                            ["sales_amount", "purchase_amount", "gross_margin", "gross_margin_pct"],
                                            grain="month"))
 
 
 @query("metrics_compare")
 def q_metrics_compare(spark, sf_dir):
-    return metrics.TRANSACTIONS.compare(model(spark, sf_dir).mart_transactions, list(metrics.KPI_MEASURES),
+    return metrics.TRANSACTIONS.compare(model(spark, sf_dir).rollup("transaction_type"), list(metrics.KPI_MEASURES),
                                         RANGE, PREV_RANGE)
 
 
 @query("metrics_top_products")
 def q_metrics_top_products(spark, sf_dir):
-    return edge(reports.rank_chart(model(spark, sf_dir).mart_transactions, "product_name", "purchase_amount", RANGE))
+    return edge(reports.rank_chart(model(spark, sf_dir).rollup("transaction_type", "product_name"), "product_name", "purchase_amount", RANGE))
 
 
 @query("metrics_top_vendors")
 def q_metrics_top_vendors(spark, sf_dir):
-    return edge(reports.rank_chart(model(spark, sf_dir).mart_transactions, "vendor_name", "outstanding_payable", RANGE))
+    return edge(reports.rank_chart(model(spark, sf_dir).rollup("transaction_type", "vendor_name"), "vendor_name", "outstanding_payable", RANGE))
 
 
 def _rank_query(dim: str, measure: str) -> Query:
-    return lambda spark, sf_dir: edge(reports.rank_chart(model(spark, sf_dir).mart_transactions, dim, measure, RANGE))
+    return lambda spark, sf_dir: edge(reports.rank_chart(model(spark, sf_dir).rollup("transaction_type", dim), dim, measure, RANGE))
 
 
 for _dim, _measure in reports.RANK_CHARTS:  # every bar chart of the dashboard, whole (no top-k cut)
@@ -334,7 +334,7 @@ def q_chart_balances(spark, sf_dir):
 
 @query("metrics_sparkline")
 def q_metrics_sparkline(spark, sf_dir):
-    return edge(reports.sparkline(model(spark, sf_dir).mart_transactions, RANGE))
+    return edge(reports.sparkline(model(spark, sf_dir).rollup("transaction_type"), RANGE))
 
 
 @query("customer_summary_as_of")
@@ -378,7 +378,7 @@ def q_metrics_product_summary(spark, sf_dir):
 
 @query("txn_count")
 def q_txn_count(spark, sf_dir):
-    return metrics.TRANSACTIONS.query(model(spark, sf_dir).mart_transactions, ["transaction_count"], grain="month")
+    return metrics.TRANSACTION_KEYS.query(model(spark, sf_dir).transaction_keys, ["transaction_count"], grain="month")
 
 
 @query("latest_balance")
@@ -399,7 +399,7 @@ def q_kpi_daily_row(spark, sf_dir):
 @query("daily_digest")
 def q_daily_digest(spark, sf_dir):
     m = model(spark, sf_dir)
-    return edge(reports.daily_digest(m.daily_metrics, m.mart_transactions, REPORT_DATE))
+    return edge(reports.daily_digest(m.daily_metrics, m.transaction_keys, REPORT_DATE))
 
 
 @query("reconcile_kpis")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +37,22 @@ class MetricsView:
     def filtered(self, df: DataFrame, time_range: tuple[_dt.date, _dt.date] | None = None,
                  where: Mapping[str, Sequence] | None = None) -> DataFrame:
         if time_range is not None:
-            lo, hi = time_range
-            df = df.where(F.col(self.time_col).between(F.lit(lo), F.lit(hi)))
+            df = self.within(df, time_range)
         for dim, values in (where or {}).items():
             if dim not in self.dimensions and dim != self.time_col:
                 raise KeyError(f"{dim} is not a dimension of {self.name}")
             df = df.where(F.col(dim).isin(list(values)))
         return df
 
+    def within(self, df: DataFrame, *ranges: tuple[_dt.date, _dt.date]) -> DataFrame:
+        """Rows in any of the date ranges; a table with a ``month_start`` partition column is read by months."""
+        t = F.col(self.time_col)
+        keep = reduce(Column.__or__, [t.between(F.lit(lo), F.lit(hi)) for lo, hi in ranges])
+        if "month_start" in df.columns:
+            months = reduce(Column.__or__, [F.col("month_start").between(F.lit(lo.replace(day=1)), F.lit(hi)) for lo, hi in ranges])
+            df = df.where(months)
+        return df.where(keep)
+
     def query(self, df: DataFrame, measures: Sequence[str] | None = None, dims: Sequence[str] = (),
               grain: str | None = None, time_range: tuple[_dt.date, _dt.date] | None = None,
               where: Mapping[str, Sequence] | None = None, order_by: Sequence[Column] | None = None,
@@ -76,7 +85,7 @@ class MetricsView:
         t = F.col(self.time_col)
         period = (F.when(t.between(F.lit(current[0]), F.lit(current[1])), F.lit("current"))
                   .when(t.between(F.lit(previous[0]), F.lit(previous[1])), F.lit("previous")))
-        data = self.filtered(df, None, where).withColumn("__period", period).where(F.col("__period").isNotNull())
+        data = self.filtered(self.within(df, current, previous), None, where).withColumn("__period", period).where(F.col("__period").isNotNull())
         per = data.groupBy("__period").agg(*[self.measure(m).cast("double") for m in measures])
         folded = per.agg(*[
             c for m in measures for c in (
@@ -181,6 +190,12 @@ CUSTOMER_SUMMARY = MetricsView(
     semi_additive={"outstanding_receivable": "customer_name"},
 )
 
+#: Distinct transactions from the key state (``plans.rollups``).
+TRANSACTION_KEYS = MetricsView(
+    name="transaction_keys", time_col="date", dimensions=(),
+    measures={"transaction_count": lambda: (F.coalesce(F.sum("single_day_keys"), F.lit(0)) + F.count_distinct("transaction_key"))},
+)
+
 PRODUCT_SUMMARY = MetricsView(
     name="product_summary", time_col="date", dimensions=("product_name",),
     measures={m: (lambda m=m: F.sum(m)) for m in ("purchase_qty", "sales_qty", "purchase_amount", "sales_amount")},

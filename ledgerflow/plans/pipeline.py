@@ -13,10 +13,11 @@ import datetime as _dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerflow import config
 from ledgerflow.operators import skew
-from ledgerflow.plans import analytics, marts, staging, store
+from ledgerflow.plans import analytics, marts, rollups, staging, store
 from ledgerflow.sources import fixtures
 
 
@@ -111,6 +112,27 @@ class TradingModel:
     def mart_transactions(self) -> DataFrame:
         return marts.mart_transactions(self.allocated)
 
+    def rollup(self, *dimensions: str) -> DataFrame:
+        """The smallest roll-up state with the dimensions."""
+        return self._rollup(rollups.level_for(dimensions))
+
+    def _rollup(self, level: str) -> DataFrame:
+        build = (lambda: rollups.full_state(self.allocated)) if level == "full" else (lambda: rollups.roll_up(self._rollup("full"), level))
+        if self.stage_key is None:
+            return build()
+        return store.stage(self.spark, f"rollup-{level}|{self.stage_key}", lambda: rollups.by_month(build()), ["month_start"])
+
+    @cached_property
+    def transaction_keys(self) -> DataFrame:
+        if self.stage_key is None:
+            return rollups.key_state(self.allocated)
+        return store.stage(self.spark, f"rollup-keys|{self.stage_key}", lambda: rollups.by_month(rollups.key_state(self.allocated)), ["month_start"])
+
+    @cached_property
+    def weighted_lines(self) -> DataFrame:
+        """Lines with their sums weighed by copies, for measures that no state answers."""
+        return self.allocated.select([(F.col(c) * F.col("copies")).alias(c) if c in rollups.SUMS else F.col(c) for c in marts.MART_TRANSACTIONS_COLUMNS])
+
     @cached_property
     def daily_metrics(self) -> DataFrame:
         return marts.daily_metrics(self.allocated)
@@ -150,7 +172,7 @@ def run(spark: SparkSession, model: TradingModel, out_root: str) -> dict[str, st
     """
     paths: dict[str, str] = {}
     alloc_path = f"{out_root}/marts/allocated_lines"
-    model.allocated.write.mode("overwrite").partitionBy("month_start").parquet(alloc_path)
+    rollups.by_month(model.allocated).write.mode("overwrite").partitionBy("month_start").parquet(alloc_path)
     allocated = spark.read.parquet(alloc_path)
     paths["allocated_lines"] = alloc_path
     intervals = {}
@@ -158,21 +180,28 @@ def run(spark: SparkSession, model: TradingModel, out_root: str) -> dict[str, st
         paths[name] = f"{out_root}/marts/{name}"
         build(allocated).write.mode("overwrite").parquet(paths[name])
         intervals[name] = spark.read.parquet(paths[name])
+    full_path = f"{out_root}/rollups/full"
+    rollups.by_month(rollups.full_state(allocated)).write.mode("overwrite").partitionBy("month_start").parquet(full_path)
+    paths["rollup_full"] = full_path
+    full = spark.read.parquet(full_path)
     outputs = {
         "mart_transactions": (marts.mart_transactions(allocated), "month_start"),
         "mart_daily_metrics": (marts.daily_metrics(allocated), None),
         "mart_vendor_summary": (marts.vendor_summary(intervals["vendor_balance_intervals"]), None),
         "mart_customer_summary": (marts.customer_summary(intervals["customer_balance_intervals"]), None),
         "mart_product_summary": (marts.product_summary(allocated), None),
+        "rollup_keys": (rollups.key_state(allocated), "month_start"),
+        **{f"rollup_{level}": (rollups.roll_up(full, level), "month_start") for level in rollups.LEVELS if level != "full"},
     }
+
     def write(name, df, part):
         w = df.write.mode("overwrite")
         if part:
-            w = w.partitionBy(part)
-        path = f"{out_root}/marts/{name}"
+            w = rollups.by_month(df).write.mode("overwrite").partitionBy(part)
+        path = f"{out_root}/{'rollups' if name.startswith('rollup_') else 'marts'}/{name.removeprefix('rollup_')}"
         w.parquet(path)
         return name, path
 
-    # The five marts only read the written allocated lines: independent jobs, run concurrently.
+    # The marts and states only read written tables: independent jobs, run concurrently.
     paths.update(store.in_parallel([lambda n=n, d=d, p=p: write(n, d, p) for n, (d, p) in outputs.items()]))
     return paths

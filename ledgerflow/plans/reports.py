@@ -15,22 +15,24 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.expr import fiscal_year_start, month_start
 from ledgerflow.operators.reshape import days_in
-from ledgerflow.plans.metrics import KPI_MEASURES, TRANSACTIONS, last_non_null
+from ledgerflow.plans.metrics import KPI_MEASURES, TRANSACTION_KEYS, TRANSACTIONS, last_non_null
 
 DIGEST_DAY_COLUMNS = ("sales_amount", "sales_qty", "purchase_amount", "purchase_qty",
                       "payments_received", "payments_paid")
 
 
-def daily_digest(daily: DataFrame, mart: DataFrame, report_date: _dt.date) -> DataFrame:
+def daily_digest(daily: DataFrame, lines: DataFrame, report_date: _dt.date) -> DataFrame:
     """One row of KPIs for ``report_date``; no row when the date is outside the calendar.
 
+    ``lines``: the key state of the roll-ups, or lines with their ``transaction_key``.
     Balances are those of the latest mart day (as the digest reports them).
     """
     d = F.lit(report_date)
     is_day = F.col("date") == d
     mtd = F.col("date").between(month_start(d), d)
     fytd = F.col("date").between(fiscal_year_start(d), d)
-    txn = mart.where(F.col("date") == d).agg(F.count_distinct("transaction_key")).scalar()
+    view = TRANSACTION_KEYS if "single_day_keys" in lines.columns else TRANSACTIONS
+    txn = view.query(lines, ["transaction_count"], time_range=(report_date, report_date)).scalar()
     agg = daily.agg(
         F.sum(is_day.cast("int")).alias("__hit"),
         *[F.max(F.when(is_day, F.col(c))).alias(c) for c in DIGEST_DAY_COLUMNS],
