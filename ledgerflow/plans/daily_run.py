@@ -2,14 +2,14 @@
 
 ``python -m ledgerflow --tabs DIR --out ROOT [--run-date YYYY-MM-DD] [--force]``
 reads the three tab exports (``transaction_log``, ``vendor_rates``,
-``customer_rates`` as CSV, JSON lines or parquet), compares their row counts
-with the stored state, reloads the raw tables only when a count changed (or
-on the first run, or when forced), checks load parity, rebuilds every mart,
-and records the counts and a run record last.  ``--driver-sf DIR`` uses the
+``customer_rates`` as CSV, JSON lines or parquet), compares the digests of their
+hash buckets with the stored state, reloads the changed buckets of the raw
+tables (all of them on the first run, or when forced), checks load parity,
+rebuilds every mart, and records the digests and a run record last.  ``--driver-sf DIR`` uses the
 driver tables through the fixture mapping instead of tab exports.
 
-The only values brought to the driver are the handful of per-table counts
-needed for the go / no-go decisions.
+The only values brought to the driver are the digests of at most 64 buckets
+per table, needed for the go / no-go decisions.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ def read_exports(spark: SparkSession, tabs_dir: str) -> dict[str, DataFrame]:
     for name, cmap in config.TAB_COLUMN_MAPS.items():
         for fmt in ("csv", "json", "parquet"):
             try:  # Spark looks: exports may lie in any store that it reads
-                out[name] = tabs.clean_cells(tabs.read_tab_export(spark, f"{tabs_dir}/{name}.{fmt}", cmap, fmt, name))
+                out[name] = tabs.read_tab_export(spark, f"{tabs_dir}/{name}.{fmt}", cmap, fmt, name)
                 break
             except AnalysisException as e:
                 if e.getCondition() != "PATH_NOT_FOUND":
@@ -43,34 +43,57 @@ def read_exports(spark: SparkSession, tabs_dir: str) -> dict[str, DataFrame]:
 
 def daily_run(spark: SparkSession, source: dict[str, DataFrame], out_root: str, run_date: _dt.date,
               force: bool = False) -> dict:
-    state_path, raw_root = f"{out_root}/state/ingest_state", f"{out_root}"
-    current = state.row_counts(source).cache()
+    """``source``: the tabs as read (blank rows and all).
+
+    The digests of the stored state name the buckets whose content changed, by counts
+    or by an edit in place; those buckets of the raw tables are written anew, the
+    others are not touched.
+    """
+    state_path, raw_root = f"{out_root}/state/ingest_digests", f"{out_root}/raw"
+    kept = {name: tabs.clean_cells(df) for name, df in source.items()}
+    current = state.table_digests(kept, tabs.ROW_KEYS).cache()  # a row per bucket
     try:
-        previous = state.load_state(spark, state_path)
+        previous = state.load_state(spark, state_path).select(*current.columns).cache()
+        first = False
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        # first run: no state yet
-        previous = spark.createDataFrame([], "table_name string, row_count long")
-    delta = {r.table_name: int(r.row_delta) for r in state.row_count_delta(previous, current).collect()}
-    skipped = not (force or delta)
+        previous, first = spark.createDataFrame([], current.schema), True  # no state yet
+    moved = state.content_delta(previous, current).collect()  # a few rows per table
+    stale: dict[str, list[int]] = {}
+    for r in moved:
+        stale.setdefault(r.table_name, []).append(r.bucket)
+    counts = {r.table_name: int(r.row_count) for r in current.groupBy("table_name").agg(F.sum("n").alias("row_count")).collect()}
+    counts = {name: counts.get(name, 0) for name in source}
+    before = {r.table_name: int(r.row_count) for r in previous.groupBy("table_name").agg(F.sum("n").alias("row_count")).collect()}
+    delta = {name: counts[name] - before.get(name, 0) for name in source if name in stale or first}
+    skipped = not (force or stale or first)
+    live: dict[str, list[int]] = {name: [] for name in source}
+    for r in current.select("table_name", "bucket").collect():
+        live[r.table_name].append(r.bucket)
+    columns = {name: list(dict.fromkeys(config.TAB_COLUMN_MAPS[name].values())) for name in config.TAB_COLUMN_MAPS}
+    metrics = {}
     if not skipped:
-        tabs.write_raw(source, raw_root)
-        loaded = {name: spark.read.parquet(f"{raw_root}/raw/{name}") for name in source}
-        bad = state.row_count_parity(source, loaded).where(~F.col("ok")).collect()
+        for name, df in source.items():
+            only = None if force or first else stale.get(name, [])
+            if only is None or only:
+                metrics[name] = tabs.load_tab(df, name, f"{raw_root}/{name}", only)
+        written = {name: tabs.loaded(spark, f"{raw_root}/{name}", columns[name], live=live[name]) for name in source}
+        bad = state.content_delta(current, state.table_digests(written, tabs.ROW_KEYS)).collect()
         if bad:
-            raise RuntimeError(f"row-count parity failed: {[r.asDict() for r in bad]}")
-    raw = {name: spark.read.parquet(f"{raw_root}/raw/{name}") for name in config.TAB_COLUMN_MAPS}
+            raise RuntimeError(f"load parity failed: {[r.asDict() for r in bad]}")
+    raw = {name: tabs.loaded(spark, f"{raw_root}/{name}", columns[name], live=live[name]) for name in config.TAB_COLUMN_MAPS}
     paths = pipeline.run(spark, pipeline.TradingModel(raw, run_date), out_root)
     if not skipped:
-        state.save_state(current, state_path)
+        rows = current.collect()
+        state.save_state(spark.createDataFrame(rows, current.schema), state_path)
     finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     record = spark.createDataFrame(
-        [(finished, skipped, {r.table_name: int(r.row_count) for r in current.collect()}, delta or None)],
-        "finished_at timestamp, skipped boolean, row_counts map<string,bigint>, row_delta map<string,bigint>")
+        [(finished, skipped, counts, delta or None, {n: len(b) for n, b in stale.items()} or None)],
+        "finished_at timestamp, skipped boolean, row_counts map<string,bigint>, row_delta map<string,bigint>, changed_buckets map<string,int>")
     record.write.mode("overwrite").json(f"{out_root}/state/last_ingest_run")
     current.unpersist()
-    return {"skipped": skipped, "row_delta": delta, "marts": paths}
+    return {"skipped": skipped, "row_delta": delta, "changed_buckets": stale, "load": metrics, "marts": paths}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -87,7 +110,6 @@ def main(argv: list[str] | None = None) -> None:
     if a.tabs:
         source = read_exports(spark, a.tabs)
     else:
-        t = fixtures.raw_tabs(spark, a.driver_sf)
-        source = {k: tabs.clean_cells(v) for k, v in t.items()}
+        source = fixtures.raw_tabs(spark, a.driver_sf)
     result = daily_run(spark, source, a.out, run_date, a.force)
     print({k: v for k, v in result.items() if k != "marts"})

@@ -173,7 +173,7 @@ def run(spark: SparkSession, model: TradingModel, out_root: str) -> dict[str, st
     paths: dict[str, str] = {}
     alloc_path = f"{out_root}/marts/allocated_lines"
     rollups.by_month(model.allocated).write.mode("overwrite").partitionBy("month_start").parquet(alloc_path)
-    allocated = spark.read.parquet(alloc_path)
+    allocated = spark.read.schema(model.allocated.schema).parquet(alloc_path)  # a partitioned table may be empty
     paths["allocated_lines"] = alloc_path
     intervals = {}
     for name, build in (("vendor_balance_intervals", marts.vendor_intervals), ("customer_balance_intervals", marts.customer_intervals)):
@@ -181,9 +181,10 @@ def run(spark: SparkSession, model: TradingModel, out_root: str) -> dict[str, st
         build(allocated).write.mode("overwrite").parquet(paths[name])
         intervals[name] = spark.read.parquet(paths[name])
     full_path = f"{out_root}/rollups/full"
-    rollups.by_month(rollups.full_state(allocated)).write.mode("overwrite").partitionBy("month_start").parquet(full_path)
+    state = rollups.full_state(allocated)
+    rollups.by_month(state).write.mode("overwrite").partitionBy("month_start").parquet(full_path)
     paths["rollup_full"] = full_path
-    full = spark.read.parquet(full_path)
+    full = spark.read.schema(state.schema).parquet(full_path)
     outputs = {
         "mart_transactions": (marts.mart_transactions(allocated), "month_start"),
         "mart_daily_metrics": (marts.daily_metrics(allocated), None),

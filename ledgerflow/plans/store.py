@@ -16,11 +16,13 @@ import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ledgerflow.session import scratch_root
 
 _WRITTEN: dict[tuple[str, str], str] = {}
 _LOCKS: dict[tuple[str, str], threading.Lock] = {}
+_SCHEMAS: dict[str, StructType] = {}
 _GUARD = threading.Lock()
 _RUN_ID = uuid.uuid4().hex[:12]
 
@@ -31,12 +33,15 @@ def _sid(spark: SparkSession) -> str:
 
 def stage(spark: SparkSession, key: str, build, partition_by: list[str] | None = None) -> DataFrame:
     def write(path: str) -> None:
-        w = build().write.mode("overwrite")
+        df = build()
+        _SCHEMAS[path] = df.schema
+        w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
 
-    return spark.read.parquet(written(spark, key, write))
+    path = written(spark, key, write)
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)  # a partitioned table may be empty
 
 
 def written(spark: SparkSession, key: str, write) -> str:

@@ -1,16 +1,19 @@
-"""Load bookkeeping: row-count parity, row-count change guard, run state.
+"""Load bookkeeping: row-count parity, change guards by count and by content, run state.
 
-All of it is a handful of one-row aggregates joined together; no counts are
+All of it is a handful of small aggregates joined together; no counts are
 pulled to the driver to be compared in Python.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.operators import buckets
+
 
 def row_counts(tabs: Mapping[str, DataFrame], column: str = "row_count") -> DataFrame:
     """One row per table: (table_name, count). Each count is a partial-aggregated global count."""
@@ -53,10 +56,26 @@ def should_run(previous: DataFrame, current: DataFrame, force: bool = False) ->
     return d.agg((F.lit(force) | (F.count(F.lit(1)) > 0)).alias("run"))
 
 
+def table_digests(tabs: Mapping[str, DataFrame], keys: Mapping[str, list[str]]) -> DataFrame:
+    """(table_name, bucket, n, hash_sum, hash_xor): order-free digests of every table's buckets."""
+    parts = [buckets.digests(df, keys[name]).select(F.lit(name).alias("table_name"), "*") for name, df in tabs.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def content_delta(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """(table_name, bucket, previous_rows, current_rows) of the buckets whose content changed, edits in place included (S9)."""
+    value = F.struct("n", "hash_sum", "hash_xor")
+    p = previous.select("table_name", "bucket", value.alias("p"))
+    c = current.select("table_name", "bucket", value.alias("c"))
+    zero = F.lit(0).cast("long")
+    return p.join(c, ["table_name", "bucket"], "full").where(~F.col("p").eqNullSafe(F.col("c"))).select(
+        "table_name", "bucket", F.coalesce("p.n", zero).alias("previous_rows"), F.coalesce("c.n", zero).alias("current_rows"))
+
+
 def save_state(counts: DataFrame, path: str) -> None:
     """Persist counts last, after a successful load (S11)."""
     counts.withColumn("run_ts", F.current_timestamp()).write.mode("overwrite").parquet(path)
 
 
 def load_state(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("table_name", "row_count")
+    return spark.read.parquet(path).drop("run_ts")
