@@ -636,6 +636,85 @@ def q_dq_ingest(spark, sf_dir):
     return rules.ingest_violations(first, second, third)
 
 
+# --- the warehouse across three loads ----------------------------------------------------------
+
+EDITED = "(source_row_number - 2) % 50 = 5"   # rows whose remarks read differently in the second extract
+HISTORY = [(name, ts) for name, ts in LOAD_TS.items()]
+HISTORY_BUCKETS = 16   # the driver's tables are small
+
+
+def _extracts(spark, sf_dir) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
+    """Three extracts of the tabs: rows missing in the first or second, edited in the second; vendor rates grow, customer rates shrink."""
+    m = model(spark, sf_dir)
+    vendor, customer = (tabs.clean_cells(m.tabs[t].select(*dict.fromkeys(config.TAB_COLUMN_MAPS[t].values()))) for t in ("vendor_rates", "customer_rates"))
+    edited = _numbered_log(spark, sf_dir, CUR_LOAD).withColumn("remarks", F.when(F.expr(EDITED), F.lit("corrected")).otherwise(F.col("remarks")))
+    return [(_numbered_log(spark, sf_dir, PREV_LOAD), vendor.where("effective_from < '2001-01-01'"), customer), (edited, vendor, customer),
+            (_numbered_log(spark, sf_dir), vendor, customer.where("effective_from >= '1996-01-01'"))]
+
+
+def history(spark, sf_dir):
+    """The state after the three loads; written once per session."""
+    from ledgerflow.plans.lifecycle import LoadHistory
+
+    def run(path: str) -> None:
+        h = LoadHistory(spark, path, RUN_DATE, HISTORY_BUCKETS)
+        for (load_id, ts), extract in zip(HISTORY, _extracts(spark, sf_dir)):
+            h.load(load_id, ts, *extract)
+            if load_id == "load-2":  # what a warehouse holds whose facts are one load behind
+                h.facts("fact_inventory").select("source_row_id", "is_deleted").unionByName(
+                    h.facts("fact_payment").select("source_row_id", "is_deleted")).write.parquet(f"{path}/facts-after-load-2")
+
+    path = store.written(spark, f"history|{sf_dir}|{RUN_DATE.isoformat()}", run)
+    return LoadHistory(spark, path, RUN_DATE, HISTORY_BUCKETS).open(HISTORY)
+
+
+@query("snapshot_table")
+def q_snapshot_table(spark, sf_dir):
+    return history(spark, sf_dir).snapshots()
+
+
+@query("staging_lifecycle")
+def q_staging_lifecycle(spark, sf_dir):
+    return history(spark, sf_dir).staging().select("source_row_id", "source_row_number", "ingested_at", "is_deleted", "deleted_at", "deletion_reason",
+                                                   "deleted_by_load_id", "last_seen_load_id", "last_seen_at")
+
+
+@query("fact_inventory_lifecycle")
+def q_fact_inventory_lifecycle(spark, sf_dir):
+    return edge(history(spark, sf_dir).facts("fact_inventory"))
+
+
+@query("fact_payment_lifecycle")
+def q_fact_payment_lifecycle(spark, sf_dir):
+    return edge(history(spark, sf_dir).facts("fact_payment"))
+
+
+@query("quarantine_state")
+def q_quarantine_state(spark, sf_dir):
+    return history(spark, sf_dir).quarantine()
+
+
+@query("dq_lifecycle")
+def q_dq_lifecycle(spark, sf_dir):
+    """Facts left as they were after the second load, against the staging rows of the third."""
+    from ledgerflow.plans.lifecycle import orphan_facts
+    h = history(spark, sf_dir)
+    stale = spark.read.parquet(f"{h.root}/facts-after-load-2")
+    return orphan_facts(stale, h.staging().select("source_row_id", "is_deleted")).unionByName(h.orphans())
+
+
+def _active(name: str) -> Query:
+    """A fact mart over active, unquarantined rows only."""
+    def run(spark, sf_dir):
+        h, (_, vendor, customer) = history(spark, sf_dir), _extracts(spark, sf_dir)[-1]
+        return edge(getattr(h.active_warehouse(vendor, customer), name)())
+    return run
+
+
+for _name in ("daily_sales", "daily_purchases", "cash_flow", "ar_balance", "ap_balance", "monthly_pnl"):
+    QUERIES[f"{_name}_active"] = _active(_name)
+
+
 @query("quarantine")
 def q_quarantine(spark, sf_dir):
     return rules.quarantine(warehouse(spark, sf_dir))

@@ -61,3 +61,53 @@ def read(spark: SparkSession, path: str, live: Sequence[int] | None = None) -> D
     """The table; ``live``: its non-empty buckets."""
     df = spark.read.parquet(path)
     return df if live is None else df.where(F.col(BUCKET).isin([int(b) for b in live]))
+
+
+class Versioned:
+    """A bucketed table of which every change writes new versions of some buckets; nothing is overwritten.
+
+    ``root/data/version=n/bucket=b`` holds a bucket as of version n; ``root/manifest/version=n``
+    names each bucket's newest version and is written last, so a job that fails half way
+    leaves the table as it was.  Reads are pruned to the newest version of each bucket.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, columns: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.columns, self.buckets = spark, root, columns, buckets
+        self.latest: list[int] = [0] * buckets
+        self.version = 0
+
+    def open(self) -> "Versioned":
+        """Go on from the manifest on disk."""
+        rows = self.spark.read.schema("bucket int, newest int, version int").parquet(f"{self.root}/manifest")
+        self.version = rows.agg(F.max("version")).first()[0]
+        for r in rows.where(F.col("version") == self.version).collect():
+            self.latest[r.bucket] = r.newest
+        return self
+
+    def read(self, only: Sequence[int] | None = None) -> DataFrame:
+        """The table, with its ``bucket`` column; ``only``: these buckets."""
+        if not any(self.latest):
+            return self.spark.createDataFrame([], f"{self.columns}, {BUCKET} int")
+        df = self.spark.read.schema(f"{self.columns}, version int, {BUCKET} int").parquet(f"{self.root}/data")
+        newest = F.element_at(F.array(*[F.lit(v) for v in self.latest]), F.col(BUCKET) + 1)
+        df = df.where(F.col("version") == newest)
+        if only is not None:
+            df = df.where(F.col(BUCKET).isin([int(b) for b in only]))
+        return df.drop("version")
+
+    def write(self, df: DataFrame, only: Sequence[int] | None = None) -> None:
+        """Replace the buckets ``only`` (all of them if not given) by the rows of ``df``, which has a ``bucket`` column."""
+        if only is not None and not len(only):
+            return
+        names = [c.split()[0] for c in self.columns.split(", ")]
+        self.version += 1
+        df.select(*names, F.col(BUCKET).cast("int").alias(BUCKET)).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/data/version={self.version}")
+        for b in range(self.buckets) if only is None else only:
+            self.latest[int(b)] = self.version
+        rows = [(b, v) for b, v in enumerate(self.latest)]
+        self.spark.createDataFrame(rows, "bucket int, newest int").coalesce(1).write.parquet(f"{self.root}/manifest/version={self.version}")
+
+
+def touched(df: DataFrame, key: Sequence[str], buckets: int = BUCKETS) -> list[int]:
+    """The buckets of the rows' keys: at most ``buckets`` numbers."""
+    return sorted(r.b for r in df.select(bucket_of(key, buckets).alias("b")).distinct().collect())
