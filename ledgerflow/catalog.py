@@ -715,6 +715,29 @@ for _name in ("daily_sales", "daily_purchases", "cash_flow", "ar_balance", "ap_b
     QUERIES[f"{_name}_active"] = _active(_name)
 
 
+@query("dq_ingest_load")
+def q_dq_ingest_load(spark, sf_dir):
+    """Findings of one load of three exports: a log with blank rows, vendor rates with a strange and a missing column, an empty customer tab."""
+    m = model(spark, sf_dir)
+    columns = {t: config.TAB_COLUMN_MAPS[t] for t in config.TAB_COLUMN_MAPS}
+    headed = {t: m.tabs[t].select([F.col(c).alias(h) for h, c in columns[t].items()] + (["source_row_number"] if t == "transaction_log" else [])) for t in columns}
+    blank = (F.col("source_row_number") - 2) % 97 == 0
+    log = headed["transaction_log"].select([F.when(blank, F.lit(" ")).otherwise(F.col(f"`{h}`")).alias(h) for h in columns["transaction_log"]])
+    vendor = headed["vendor_rates"].drop("Remarks").withColumn("Notes", F.lit("x"))
+    customer = headed["customer_rates"].where(F.col("Effective From Date") < "1900")
+    found = []
+    for tab, fmt, df in (("transaction_log", "csv", log), ("vendor_rates", "json", vendor), ("customer_rates", "parquet", customer)):
+        options = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"} if fmt == "csv" else {}
+        path = store.written(spark, f"ingest-export|{tab}|{sf_dir}", lambda p: df.write.options(**options).format(fmt).save(p))  # noqa: B023 - runs at once
+        read = tabs.read_tab_export(spark, path, columns[tab], fmt, tab, strict=False)
+        counts = {}
+        raw = store.written(spark, f"ingest-load|{tab}|{sf_dir}", lambda p: counts.update(tabs.load_tab(read, tab, p)))  # noqa: B023
+        rows = counts or {"rows": tabs.loaded(spark, raw, read.columns).count()}
+        found += [tabs.header_findings(spark, tabs.export_headers(spark, path, fmt), columns[tab], tab),
+                  tabs.ingest_findings(spark, tab, rows, tabs.loaded(spark, raw, read.columns, rejected=True))]
+    return dq.union_all(found)
+
+
 @query("quarantine")
 def q_quarantine(spark, sf_dir):
     return rules.quarantine(warehouse(spark, sf_dir))
