@@ -27,6 +27,7 @@ join on its own, after measuring it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import datetime as _dt
 
@@ -92,3 +93,67 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_date: s
         *[lb[c] for c in left.columns],
         *[rb[r_alias + c].alias(c) for c in keep_right if c not in left.columns],
     )
+
+
+#: Time ranges of ``asof_ranges`` at most; a row finds its range by a tree of comparisons.
+MAX_RANGES = 256
+
+
+def equi_depth_borders(*times: DataFrame, ranges: int) -> list:
+    """Ascending inner borders of about equally full time ranges, from one quantile sketch over single-column frames."""
+    both = reduce(DataFrame.unionAll, times).toDF("t").where("t IS NOT NULL")
+    kind = both.schema["t"].dataType.simpleString()
+    micros = F.unix_micros(F.col("t").cast("timestamp")) if kind != "timestamp_ntz" else F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("t"))
+    points = [i / ranges for i in range(1, ranges)]
+    found = both.agg(F.percentile_approx(micros, points, 20 * ranges)).first()[0] if points else None
+    return sorted(set(found or []))
+
+
+def _range_of(micros: Column, borders: list[int], low: int = 0) -> Column:
+    """How many borders are not above the value, by halving."""
+    if not borders:
+        return F.lit(low)
+    mid = len(borders) // 2
+    return F.when(micros < F.lit(borders[mid]), _range_of(micros, borders[:mid], low)).otherwise(_range_of(micros, borders[mid + 1:], low + mid + 1))
+
+
+def asof_ranges(left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str, tiebreak: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """Backward inclusive as-of left join on timestamps; returns left columns + right columns (minus keys).
+
+    Time is cut into equi-depth ranges, so rows of one key spread over as many
+    partitions as it has busy ranges, however narrow the time in which they lie.
+    Inside a (key, range) both sides are sorted together and every left row takes
+    the last right row before it.  Left rows before the range's first right row
+    take the one carried over the border: the last right row of each (key, range)
+    is found by one partial aggregation and handed on over the ranges of the key
+    (at most ``ranges`` rows).
+    """
+    spark = left.sparkSession
+    n = min(MAX_RANGES, ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    borders = equi_depth_borders(left.select(left_ts), right.select(right_ts), ranges=n)
+    micros = lambda c, df: (F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c))
+                            if df.schema[c].dataType.simpleString() == "timestamp_ntz" else F.unix_micros(F.col(c).cast("timestamp")))
+    taken = [c for c in right.columns if c not in on and c not in left.columns]
+    row = F.struct(*[F.col(c) for c in right.columns if c not in on])
+    own = F.struct(*[F.col(c) for c in left.columns])
+    keys = [F.col(c) for c in on]
+    order = F.struct(micros(right_ts, right).alias("t"), *[F.col(c).alias(f"b{i}") for i, c in enumerate(tiebreak)])
+    timed = right.where(F.col(right_ts).isNotNull()).withColumn("__t", micros(right_ts, right))
+    r = timed.select(*keys, _range_of(F.col("__t"), borders).alias("__range"), "__t", order.alias("__order"), row.alias("__row"))
+    lt = left.withColumn("__t", micros(left_ts, left))
+    l = lt.select(*keys, F.when(F.col("__t").isNull(), F.lit(-1)).otherwise(_range_of(F.col("__t"), borders)).alias("__range"), "__t", own.alias("__own"))
+    # the last right row of every (key, range) that has any row, handed on to the key's next ranges
+    last = r.groupBy(*on, "__range").agg(F.max_by("__row", "__order").alias("__row"))
+    asked = l.groupBy(*on, "__range").agg(F.count("*").alias("__asked"))
+    by_key = Window.partitionBy(*on).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    both = last.join(asked, [*on, "__range"], "full")
+    carried = both.withColumn("__carry", F.last("__row", ignorenulls=True).over(by_key)).where(F.col("__asked").isNotNull() & F.col("__carry").isNotNull())
+    none = lambda name, df: F.lit(None).cast(df.schema[name].dataType).alias(name)
+    kinds = [
+        carried.select(*on, "__range", F.lit(-1).alias("__kind"), F.lit(None).cast("long").alias("__t"), none("__order", r), F.col("__carry").alias("__row"), none("__own", l)),
+        r.select(*on, "__range", F.lit(0).alias("__kind"), "__t", "__order", "__row", none("__own", l)),
+        l.select(*on, "__range", F.lit(1).alias("__kind"), "__t", none("__order", r), none("__row", r), "__own")]
+    line = Window.partitionBy(*on, "__range").orderBy(F.col("__t").asc_nulls_first(), "__kind", "__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = reduce(DataFrame.unionByName, kinds).withColumn("__seen", F.last("__row", ignorenulls=True).over(line)).where("__kind = 1")
+    known = F.when(reduce(Column.__and__, [c.isNotNull() for c in (F.col("__t"), *keys)]), F.col("__seen"))  # NULL keys meet nothing
+    return seen.select(*[F.col(f"__own.{c}").alias(c) for c in left.columns], *[known[c].alias(c) for c in taken])

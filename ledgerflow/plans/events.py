@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.asof import asof_join
+from ledgerflow.operators.asof import asof_ranges
 from ledgerflow.operators.dedup import near_duplicates
 
 
@@ -20,7 +20,7 @@ def purchase_last_view(events: DataFrame) -> DataFrame:
     views = events.where(F.col("event_type") == "view").select(
         "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_event_id"),
         F.col("value").alias("view_value"))
-    out = asof_join(purchases, views, ["user_id"], "ts", "view_ts", how="left", tiebreak=["view_event_id"])
+    out = asof_ranges(purchases, views, ["user_id"], "ts", "view_ts", tiebreak=["view_event_id"])
     return out.select("event_id", "user_id", "ts", "value", "view_event_id", "view_ts", "view_value",
                       (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("view_ts").cast("timestamp")))
                       .alias("micros_since_view"))

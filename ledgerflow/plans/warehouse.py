@@ -26,6 +26,7 @@ from ledgerflow import config
 from ledgerflow.functions.expr import cond_sum, fiscal_year_start, month_start, week_start
 from ledgerflow.operators.asof import asof_join
 from ledgerflow.operators.cdc import with_source_row_id
+from ledgerflow.operators.prefix import running_sums
 from ledgerflow.operators.reshape import unpivot_columns
 from ledgerflow.plans import analytics, staging
 
@@ -263,6 +264,26 @@ class Warehouse:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return daily.withColumn("on_hand_kg", F.sum(F.col("purchased_kg") - F.col("sold_kg")).over(w).cast(QTY))
 
+    def inventory_valued(self) -> DataFrame:
+        """Stock per product and active day with its value at the purchase rate in force that day.
+
+        Running stock is summed in two levels by month; the rate is the newest vendor rate
+        row not after the day (on equal dates the larger rate), carried forward.
+        """
+        f = self.fact_inventory
+        daily = f.groupBy("product_key", "transaction_date").agg(
+            cond_sum(F.col("movement_type") == INVENTORY_PURCHASE, F.col("quantity_kg")).cast(QTY).alias("purchased_kg"),
+            cond_sum(F.col("movement_type") == CUSTOMER_SALE, F.col("quantity_kg")).cast(QTY).alias("sold_kg"))
+        stock = running_sums(daily.where("transaction_date IS NOT NULL"), ["product_key"], "transaction_date", month_start("transaction_date"),
+                             {"on_hand_kg": F.col("purchased_kg") - F.col("sold_kg")})
+        code = analytics.pick_by_name("product_name", {n: F.lit(c) for n, c in PRODUCT_CODES.items()})
+        dated = unpivot_columns(self.rates.where(F.col("side") == config.PURCHASE), ["effective_from"],
+                                dict(zip(config.RATE_COLUMNS, config.PRODUCT_NAMES)), "product_name", "rate_rs")
+        offered = dated.where(F.col("rate_rs").isNotNull()).groupBy(code.alias("product_key"), "effective_from").agg(F.max("rate_rs").alias("rate_rs"))
+        priced = asof_join(stock, offered, ["product_key"], "transaction_date", "effective_from", how="left")
+        return priced.select("product_key", "transaction_date", "purchased_kg", "sold_kg", F.col("on_hand_kg").cast(QTY).alias("on_hand_kg"), "rate_rs",
+                             F.round(F.col("on_hand_kg") * F.col("rate_rs"), 2).cast(MONEY).alias("on_hand_value_rs"))
+
     def monthly_pnl(self) -> DataFrame:
         f = self.fact_inventory.where(F.col("rate_lookup_status") == config.MATCHED)
         m = f.groupBy(month_start("transaction_date").alias("month")).agg(
