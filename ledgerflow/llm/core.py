@@ -171,6 +171,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.concatenate(parts), np.concatenate(counts)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The ascending distinct values, by one sort."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def within(counts: np.ndarray, n: int) -> np.ndarray:
     """Mask over all positions but the last ``n - 1``: the run of ``n`` items from here ends in the same document."""
     total = int(counts.sum())
@@ -273,9 +279,9 @@ def answer_presence(asks: DataFrame) -> DataFrame:
     """Reply to ``ask_presence``, one bit per asked hash: does another group ask for its place too?"""
     def bucket(_key: tuple, table: pa.Table) -> pa.Table:
         asked = [np.cumsum(np.frombuffer(p, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel(), dtype=np.uint32) for p in table.column("payload").to_pylist()]
-        every = np.concatenate([np.unique(a) for a in asked])
+        every = np.concatenate([distinct(a) for a in asked])
         every.sort()
-        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        twice = distinct(every[1:][every[1:] == every[:-1]])
         bits = []
         for a in asked:
             at = np.searchsorted(twice, a)

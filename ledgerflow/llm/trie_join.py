@@ -76,7 +76,7 @@ class _Group:
             turn = np.argsort(owner, kind="stable")
             grams, owner = grams[turn], owner[turn]
             cut = np.searchsorted(owner, np.arange(len(counts) + 1))
-        own = [np.unique(grams[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]  # one short sort per document
+        own = [core.distinct(grams[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]  # one short sort per document
         self.size = np.array([len(s) for s in own], dtype=np.int64)
         self.lo = np.r_[0, np.cumsum(self.size)]
         self.sets = np.concatenate([*own, np.empty(0, np.uint64)])
@@ -125,7 +125,10 @@ def clusters_of(own: _Group, row: np.ndarray, lead: np.ndarray, percent: int) ->
     """
     if not len(row):
         return row, lead
-    pairs, keys_of = np.unique(np.c_[row, lead], axis=0, return_counts=True)
+    turn = np.lexsort((lead, row))
+    pairs = np.stack([row[turn], lead[turn]], axis=1)
+    head = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)]))
+    pairs, keys_of = pairs[head], np.diff(np.concatenate([head, [len(pairs)]]))
     ends = bands(percent)
     budget = differing(np.searchsorted(ends, own.size[pairs[:, 0]], side="right") - 1, ends, percent) // 2 // 2
     turn = np.lexsort((keys_of, pairs[:, 0]))
@@ -339,7 +342,7 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_i
     def ask_elements(key: tuple, table: pa.Table, said: pa.Table) -> pa.Table:
         own = _Group(table, n)
         _, _, rows = representatives(own, core.replies(said))
-        return core.ask_table(core.ask_presence(key[0].as_py(), np.unique(own.sets[elements(own, rows)]), groups))
+        return core.ask_table(core.ask_presence(key[0].as_py(), core.distinct(own.sets[elements(own, rows)]), groups))
 
     def able(g: int, own: _Group, said: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         """(representatives that share enough elements to link at all, mask of shared elements)."""
