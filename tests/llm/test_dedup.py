@@ -88,3 +88,38 @@ def test_suffix_ranks_order_by_prefix():
 def test_hash_of_digest_columns(spark):
     out = cover_dedup.remove_repeats(table(spark, [None, "a  b"])).collect()
     assert {hashlib.sha256(r.kept_text.encode()).hexdigest() for r in out} == {hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"a b").hexdigest()}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=30), min_size=1, max_size=4), st.integers(1, 12))
+def test_previous_factors_are_the_lpf_array(texts, length):
+    """What the main path takes for 'occurs earlier' is the longest previous factor cut at the length, over all texts in turn."""
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0, *map(len, texts)])
+    ends = np.repeat(offsets[1:], np.diff(offsets))
+    whole = np.flatnonzero(np.arange(len(data)) + length <= ends) if len(data) else np.empty(0, np.int64)
+    rank = suffix_dedup.suffix_ranks(np.frombuffer(data, np.uint8), ends, length)
+    lead, group, later = suffix_dedup.previous_factors(rank[whole])
+    windows = [data[i:i + length] for i in whole]
+    assert later.tolist() == [w in windows[:k] for k, w in enumerate(windows)]
+    assert sorted(lead.tolist()) == [k for k, gone in enumerate(later) if not gone]
+    assert all(windows[lead[g]] == w for g, w in zip(group, windows))
+    if len(texts) == 1:
+        assert later.tolist() == (suffix_dedup.lpf(data, length)[whole] >= length).tolist()
+
+
+def test_ranks_of_long_repeats_and_zero_bytes():
+    rng = np.random.default_rng(1)
+    data = np.concatenate([rng.integers(0, 3, 500), np.zeros(300), np.tile(rng.integers(0, 256, 60), 9)]).astype(np.uint8)
+    for ends in (np.full(len(data), len(data)), np.repeat([400, 900, len(data)], [400, 500, len(data) - 900])):
+        for length in (1, 7, 8, 50, 100):
+            keys = [(bytes(data[i:min(i + length, e)])) for i, e in enumerate(ends.tolist())]
+            rank = suffix_dedup.suffix_ranks(data, ends, length)
+            assert [sorted(set(keys)).index(k) + 1 for k in keys] == rank.tolist()
+
+
+def test_rewrite_of_columns_that_cannot_be_null(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(3).select(F.col("id").alias("doc_id"), F.lit(" ".join(f"w{i}" for i in range(60))).alias("text"), F.lit(7).alias("n"), F.array(F.lit(1)).alias("list"), F.struct(F.lit(2).alias("a")).alias("inner"))
+    rows = sorted(suffix_dedup.rewrite(docs).collect())
+    assert [(r.doc_id, len(r.text), r.n, r.list, r.inner.a) for r in rows] == [(0, 229, 7, [1], 2), (1, 0, 7, [1], 2), (2, 0, 7, [1], 2)]
