@@ -14,7 +14,8 @@ Decoding is streamed: ids become bytes block by block and an incremental UTF-8
 state machine holds back an unfinished character until its rest arrives.
 
 Cases: null or empty text has no tokens and the hash of no bytes; white space
-only, repeated rows and repeated ids are encoded row by row; extra columns are
+only, repeated rows and repeated ids are encoded row by row; a very long text is
+split and encoded whole, a very long piece in one walk over its bytes; extra columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -23,7 +24,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import core
 
-#: Bound on kept transitions and on kept pieces; past it the store starts anew (results do not change).
-KEEP = 400_000
+#: Bound on kept transitions, mergeable pairs and pieces each; past it a store starts anew.  Results do not
+#: change; a worker's stores take about 0.8 kB an entry.
+KEEP = 500_000
+#: Longer pieces are encoded each time.
+KEEP_LENGTH = 100
 #: Ids decoded at a time.
 DECODE_BLOCK = 1 << 14
 
@@ -65,8 +68,8 @@ def last_merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, int] | None:
 class Transducer:
     """Lazily determinised encoder of single pieces."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], keep: int | None = None):
+        self.ranks, self.keep = ranks, keep or KEEP
         self.token = {i: t for t, i in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
         self.accept: list[int] = [-1]
@@ -83,11 +86,12 @@ class Transducer:
         self.parts = {rank: pair for piece, rank in ranks.items() if (pair := last_merge(piece, ranks))}
         self.join = {pair: rank for rank, pair in self.parts.items()}
         self.spines: tuple[dict, dict] = ({}, {})
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.steps: dict[int, int] = {}  # state and byte -> next state, as ~state if tokens are emitted
+        self.emits: dict[int, tuple[int, ...]] = {}
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
         self.ends: list[tuple[int, ...] | None] = []
@@ -105,11 +109,12 @@ class Transducer:
         """May ``right`` follow ``left``: does BPE of the joined bytes give back the two?"""
         if left < 0:
             return True
-        known = self.pairs.get((left, right))
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
-            if len(self.pairs) > KEEP:
+            if len(self.pairs) > self.keep:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._apart(left, right)
+            known = self.pairs[pair] = self._apart(left, right)
         return known
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -132,7 +137,7 @@ class Transducer:
                     return False
         return True
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _step(self, state: int, byte: int) -> int:
         after: list[tuple[tuple[int, ...], int]] = []
         children, accept = self.children, self.accept
         for done, node in self.states[state]:
@@ -154,43 +159,61 @@ class Transducer:
                 after = [((-1, *done[agreed + 1:]), node) for done, node in after]
             elif agreed:
                 after = [(done[agreed:], node) for done, node in after]
-            step = self._state(tuple(after)), first[1:agreed + 1]
+            step, emitted = self._state(tuple(after)), first[1:agreed + 1]
         else:
-            step = self._state(()), ()
-        self.steps[state << 8 | byte] = step
+            step, emitted = self._state(()), ()
+        key = state << 8 | byte
+        if emitted:
+            self.emits[key] = emitted
+            step = ~step
+        self.steps[key] = step
         return step
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
-        if len(self.steps) > KEEP:
-            self.clear()
-        state, out, steps = self.start, (), self.steps
+    def encode(self, piece: bytes) -> list[int]:
+        state, steps, emits = self.start, self.steps, self.emits
+        out: list[int] = []
         for byte in piece:
-            step = steps.get(state << 8 | byte) or self._step(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
+            key = state << 8 | byte
+            step = steps.get(key)
+            if step is None:
+                if len(steps) > self.keep:  # start anew, from the state at hand
+                    here = self.states[state]
+                    self.clear()
+                    state, steps, emits = self._state(here), self.steps, self.emits
+                    key = state << 8 | byte
+                step = self._step(state, byte)
+            if step < 0:
+                out += emits[key]
+                step = ~step
+            state = step
         rest = self.ends[state]
         if rest is None:
-            raise ValueError(f"the ranks cannot spell {piece!r}")
-        return out + rest
+            raise ValueError(f"the ranks cannot spell {piece[:80]!r}")
+        out += rest
+        return out
 
 
 class Encoder:
-    """Text to ids: split by the pattern, each piece through the transducer, frequent pieces kept."""
+    """Text to ids: split by the pattern, each piece through the transducer, the ids of short pieces kept as bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, keep: int | None = None):
+        self.transducer = Transducer(ranks, keep)
         self.split = regex.compile(pattern).findall
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, bytes] = {}
+
+    def _ids(self, piece: str) -> bytes:
+        return np.array(self.transducer.encode(piece.encode()), dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
         pieces = self.split(text)
         kept = self.kept
-        if len(kept) > KEEP:
+        if len(kept) > self.transducer.keep:
             kept.clear()
+        long: dict[str, bytes] = {}
         for piece in set(pieces).difference(kept):
-            kept[piece] = self.transducer.encode(piece.encode())
-        return np.fromiter(chain.from_iterable(map(kept.__getitem__, pieces)), dtype="<u4")
+            (kept if len(piece) <= KEEP_LENGTH else long)[piece] = self._ids(piece)
+        found = [kept.get(p) or long[p] for p in pieces] if long else map(kept.__getitem__, pieces)
+        return np.frombuffer(b"".join(found), dtype="<u4")
 
 
 class Utf8Stream:
@@ -248,19 +271,19 @@ def decode_stream(ids: Iterable[int] | np.ndarray, token: dict[int, bytes], bloc
     yield stream.finish()
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str, int | None], Encoder] = {}
 
 
-def encoder(raw: bytes, pattern: str) -> Encoder:
+def encoder(raw: bytes, pattern: str, keep: int | None = None) -> Encoder:
     """The worker's encoder of a rank file, compiled once per worker."""
-    key = hashlib.sha256(raw).hexdigest(), pattern
+    key = hashlib.sha256(raw).hexdigest(), pattern, keep
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(parse_ranks(raw), pattern)
+        _ENCODERS[key] = Encoder(parse_ranks(raw), pattern, keep)
     return _ENCODERS[key]
 
 
-def map_encoded(docs: DataFrame, rank_file: str, pattern: str, schema: str, row: Callable[[str, np.ndarray, dict[int, bytes]], tuple], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One output row per document: the ``keep`` columns and what ``row(text, ids, token bytes)`` returns.
+def map_encoded(docs: DataFrame, rank_file: str, pattern: str, schema: str, row: Callable[[str, np.ndarray, dict[int, bytes]], tuple], text: str = "text", keep: tuple[str, ...] = ("doc_id",), stores: int | None = None) -> DataFrame:
+    """One output row per document (``stores``: the bound ``KEEP``): the ``keep`` columns and what ``row(text, ids, token bytes)`` returns.
 
     A narrow map.  The rank file is read on the driver and broadcast; its size
     is that of the vocabulary, whatever the data.
@@ -270,7 +293,7 @@ def map_encoded(docs: DataFrame, rank_file: str, pattern: str, schema: str, row:
     names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(raw.value, pattern)
+        enc = encoder(raw.value, pattern, stores)
         for batch in batches:
             rows = [row(t := x.as_py() or "", enc(t), enc.transducer.token) for x in batch.column("__text")]
             own = [pa.array(c) for c in zip(*rows)] if rows else [pa.array([]) for _ in names]

@@ -45,6 +45,8 @@ from pyspark.sql import functions as F
 from . import core
 
 N, PERCENT = 3, 90
+#: Bytes of text in a group.
+GROUP_BYTES = 4 << 20
 #: Sets joined in one task at most; larger clusters are cut into blocks of this size.
 BLOCK = 512
 #: N-grams on one edge of the prefix tree.
@@ -305,7 +307,7 @@ def _unpacked(payload: bytes) -> tuple[int, np.ndarray]:
 
 def links(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(kind, a, b, size): ``doc`` rows (id, class representative, set size) and ``link`` rows (two ids), written."""
-    groups = core.group_count(docs, text)
+    groups = core.group_count(docs, text, GROUP_BYTES)
     texts = core.text_groups(docs, groups, key, text)
     schema = "kind string, a long, b long, size long"
 
