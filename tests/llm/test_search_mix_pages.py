@@ -152,12 +152,63 @@ def test_anchors_inside_content_are_kept(spark):
     assert len(got) == 12 and all(t == f"Methods {k % 100}\n{story(k % 100, 40)}\nfiles {k % 100}" for k, t in got.items())
 
 
+def tree_of(nested):
+    """Arrays of a tree given as (label, children)."""
+    tree = wrapper_html.Tree([], [], [], [], [], [])
+
+    def add(node):
+        at = len(tree.label)
+        for column, value in zip(tree, (node[0], False, False, 0, 0, 1)):
+            column.append(value)
+        for child in node[1]:
+            add(child)
+        tree.size[at] = len(tree.label) - at
+
+    add(nested)
+    return tree
+
+
+def largest_match(a, b):
+    """Nodes in the largest order-preserving match of two trees, tried one child after the other."""
+    if a[0] != b[0]:
+        return 0
+
+    def lists(x, y):
+        return max(lists(x[1:], y), lists(x, y[1:]), largest_match(x[0], y[0]) + lists(x[1:], y[1:])) if x and y else 0
+
+    return 1 + lists(a[1], b[1])
+
+
 def test_tree_matching_is_the_largest():
-    leaf = lambda t: (t, False, False, 0, 0, ())
-    a = ("ul", False, False, 0, 0, tuple(leaf(t) for t in "xyzx"))
-    b = ("ul", False, False, 0, 0, tuple(leaf(t) for t in "xzqx"))
-    assert len(wrapper_html.align(a, b)) == 1 + 3
-    assert wrapper_html.align(a, leaf("p")) == []
+    import random
+
+    draw = random.Random(5)
+
+    def grow(depth):
+        return (draw.choice("xyz"), tuple(grow(depth - 1) for _ in range(draw.randrange(4))) if depth else ())
+
+    for _ in range(300):
+        x, y = grow(2), grow(2)
+        a, b = tree_of(x), tree_of(y)
+        pairs = wrapper_html.align(a, b)
+        assert len(pairs) == largest_match(x, y)
+        assert len({n for n, _ in pairs}) == len({r for _, r in pairs}) == len(pairs)
+        assert all(a.label[n] == b.label[r] for n, r in pairs)
+        assert all((n < m) == (r < s) and (m < n + a.size[n]) == (s < r + b.size[r]) for n, r in pairs for m, s in pairs if n < m)
+    assert wrapper_html.align(tree_of(("ul", ())), tree_of(("p", ()))) == []
+
+
+def test_deep_and_long_pages(spark):
+    core.ship(spark)
+    frame = "<html><body><div id=top>Logo</div><div class=box>{}</div><div>Imprint</div></body></html>"
+    story = lambda i, k: " ".join(f"w{i}x{j}" for j in range(k))
+    deep = lambda i: "<div>" * 5000 + "<b>" * 3000 + story(i, 30) + "</b>" * 3000 + "</div>" * 5000
+    long = lambda i: "".join(f"<div><h2>{i} {j}</h2>{f'<ul><li>x{i}</ul>' * (i * j % 4)}<p>y{i} {j}</p></div>" for j in range(4000))
+    rows = [(100 * k + i, f"http://k{k}.example/{i}", frame.format(make(i)), "h", "b", "w") for k, make in enumerate((deep, long)) for i in range(5)]
+    got = {r.page_id: r.text for r in wrapper_html.main_text(pages(spark, rows)).collect()}
+    for i in range(5):
+        assert got[i] == story(i, 30)
+        assert got[100 + i] == "\n".join(b for j in range(4000) for b in [f"{i} {j}", *[f"x{i}"] * (i * j % 4), f"y{i} {j}"])
 
 
 def test_extraction_over_the_test_pages(spark):
