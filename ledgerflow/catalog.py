@@ -776,6 +776,19 @@ def q_kpi_alerts(spark, sf_dir):
     return rules.kpi_alerts(spark, warehouse(spark, sf_dir))
 
 
+@query("metrics_by_entity")
+def q_metrics_by_entity(spark, sf_dir):
+    from ledgerflow.plans import kpis
+    return edge(kpis.metrics_by_entity(warehouse(spark, sf_dir)))
+
+
+@query("kpi_status")
+def q_kpi_status(spark, sf_dir):
+    """KPIs of the log, its months, days and products, and of the three loads."""
+    from ledgerflow.plans import kpis
+    return kpis.kpi_status(spark, warehouse(spark, sf_dir), history(spark, sf_dir))
+
+
 @query("dq_duplicates")
 def q_dq_duplicates(spark, sf_dir):
     from ledgerflow.sources.fixtures import read_table

@@ -5,8 +5,8 @@ reads the three tab exports (``transaction_log``, ``vendor_rates``,
 ``customer_rates`` as CSV, JSON lines or parquet), compares the digests of their
 hash buckets with the stored state, reloads the changed buckets of the raw
 tables (all of them on the first run, or when forced), checks load parity,
-rebuilds every mart, and records the digests and a run record last.  ``--driver-sf DIR`` uses the
-driver tables through the fixture mapping instead of tab exports.
+rebuilds every mart, and records the digests and a run record last.  Every run, good or
+failed, adds its times to the run history, which ``run_kpis`` judges.  ``--driver-sf DIR`` uses the driver tables through the fixture mapping instead of tab exports.
 
 The only values brought to the driver are the digests of at most 64 buckets
 per table, needed for the go / no-go decisions.
@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import config
-from ledgerflow.plans import pipeline
+from ledgerflow.plans import kpis, pipeline
 from ledgerflow.sources import fixtures, state, tabs
 
+RUN_RECORD = "started_at timestamp_ntz, finished_at timestamp_ntz, ok boolean"
+
 
 def read_exports(spark: SparkSession, tabs_dir: str) -> dict[str, DataFrame]:
     out = {}
@@ -43,6 +45,26 @@ def read_exports(spark: SparkSession, tabs_dir: str) -> dict[str, DataFrame]:
 
 def daily_run(spark: SparkSession, source: dict[str, DataFrame], out_root: str, run_date: _dt.date,
               force: bool = False) -> dict:
+    """One nightly run (``_run``), with its times and outcome added to ``state/runs`` whether it ends well or not."""
+    started, ok = _utc_now(), False
+    try:
+        result = _run(spark, source, out_root, run_date, force)
+        ok = True
+        return result
+    finally:
+        spark.createDataFrame([(started, _utc_now(), ok)], RUN_RECORD).write.mode("append").parquet(f"{out_root}/state/runs")
+
+
+def run_kpis(spark: SparkSession, out_root: str) -> DataFrame:
+    """Run time, monthly success rate and failures in a row of the recorded runs against their bounds."""
+    return kpis.judge(spark, kpis.per_run(spark.read.schema(RUN_RECORD).parquet(f"{out_root}/state/runs")))
+
+
+def _utc_now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def _run(spark: SparkSession, source: dict[str, DataFrame], out_root: str, run_date: _dt.date, force: bool) -> dict:
     """``source``: the tabs as read (blank rows and all).
 
     The digests of the stored state name the buckets whose content changed, by counts
@@ -87,7 +109,7 @@ def daily_run(spark: SparkSession, source: dict[str, DataFrame], out_root: str,
     if not skipped:
         rows = current.collect()
         state.save_state(spark.createDataFrame(rows, current.schema), state_path)
-    finished = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    finished = _utc_now()
     record = spark.createDataFrame(
         [(finished, skipped, counts, delta or None, {n: len(b) for n, b in stale.items()} or None)],
         "finished_at timestamp, skipped boolean, row_counts map<string,bigint>, row_delta map<string,bigint>, changed_buckets map<string,int>")

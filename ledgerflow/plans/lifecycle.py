@@ -220,6 +220,13 @@ class LoadHistory:
                            self.load_ts(F.col("last_no")).alias("last_seen_at"))
         return self.tables["rows"].read().drop(buckets.BUCKET, "source_row_number").join(life, "source_row_id")
 
+    def departures(self) -> DataFrame:
+        """(load_id, sheet_tab, source_row_id): rows of the load before that the load no longer holds, whether they came back later or not."""
+        spans, key = self.tables["spans"].read(), ["sheet_tab", "source_row_id", "no"]
+        ended = spans.where(F.col("to_no") < len(self.loads)).select(*key[:2], (F.col("to_no") + 1).cast("int").alias("no"))
+        going_on = spans.select(*key[:2], F.col("from_no").alias("no"))  # a row that only moved
+        return ended.join(going_on, key, "left_anti").select(self.load_id(F.col("no")).alias("load_id"), *key[:2])
+
     def facts(self, name: str) -> DataFrame:
         return self.tables[name].read().drop(buckets.BUCKET)
 

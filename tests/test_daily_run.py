@@ -2,7 +2,9 @@ import datetime as dt
 import os
 import tempfile
 
-from ledgerflow.plans.daily_run import daily_run, read_exports
+import pytest
+
+from ledgerflow.plans.daily_run import daily_run, read_exports, run_kpis
 
 
 def _write(d, name, header, rows):
@@ -25,3 +27,8 @@ def test_daily_run_guard_and_marts(spark):
     assert daily.count() == 3
     second = daily_run(spark, read_exports(spark, d), out, dt.date(2026, 6, 30))
     assert second["skipped"] and second["row_delta"] == {}
+    with pytest.raises(KeyError):
+        daily_run(spark, {"unknown": spark.range(1)}, out, dt.date(2026, 6, 30))
+    found = {r.kpi: (r.value, r.status) for r in run_kpis(spark, out).where("kpi <> 'pipeline_runtime_minutes'").collect()}
+    assert found == {"pipeline_success_rate": (pytest.approx(200 / 3), "warning"), "pipeline_failures_in_a_row": (1.0, "warning")}
+    assert run_kpis(spark, out).where("kpi = 'pipeline_runtime_minutes' and value > 0").count() == 2
