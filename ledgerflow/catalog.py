@@ -771,6 +771,16 @@ def q_dq_summary(spark, sf_dir):
     return rules.validation_summary(warehouse(spark, sf_dir))
 
 
+@query("dq_details")
+def q_dq_details(spark, sf_dir):
+    return rules.validation_details(warehouse(spark, sf_dir))
+
+
+@query("dq_overall")
+def q_dq_overall(spark, sf_dir):
+    return rules.validation_overall(warehouse(spark, sf_dir))
+
+
 @query("kpi_alerts")
 def q_kpi_alerts(spark, sf_dir):
     return rules.kpi_alerts(spark, warehouse(spark, sf_dir))

@@ -262,21 +262,21 @@ CHECKS = ("quality_unknown_vendor", "quality_unknown_customer", "quality_missing
           "quality_negative_quantity", "quality_negative_payment", "quality_suspicious_business_event")
 
 
-def validation_flags(wh: Warehouse) -> DataFrame:
-    """One row per active log row with a boolean per check."""
+def _checked(wh: Warehouse) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """Active log rows with what the checks need; the condition of every check; for checks of several parts, an array of the parts that failed."""
     stg = wh.stg
     names = wh.rates.select(F.col("side").alias("transaction_type"), F.col("counterparty").alias("__cp")).distinct() \
         .withColumn("__known", F.lit(True))
     cp = F.when(F.col("transaction_type") == config.PURCHASE, F.col("vendor_name")) \
         .when(F.col("transaction_type") == config.SALE, F.col("customer_name"))
     unmatched = wh.rated_lines.where(F.col("rate_lookup_status") == config.MISSING_RATE) \
-        .select("source_row_id").distinct().withColumn("__missing", F.lit(True))
+        .groupBy("source_row_id").agg(F.array_sort(F.collect_set("product_name")).alias("__missing"))  # products of one row
     j = stg.withColumn("__cp", cp).join(names, ["transaction_type", "__cp"], "left") \
         .join(unmatched, "source_row_id", "left")
     t = F.col("transaction_type")
     vendor, customer = F.col("vendor_name").isNotNull(), F.col("customer_name").isNotNull()
-    suspicious = (vendor & customer) | ((t == config.SALE) & vendor) | ((t == config.PURCHASE) & customer) \
-        | ((F.col("total_qty_kg") == 0) & (F.col("payment_rs") == 0))
+    suspicious = {"vendor_and_customer": vendor & customer, "sale_with_vendor": (t == config.SALE) & vendor,
+                  "purchase_with_customer": (t == config.PURCHASE) & customer, "nothing_moved": (F.col("total_qty_kg") == 0) & (F.col("payment_rs") == 0)}
     flags = {
         "quality_unknown_vendor": (t == config.PURCHASE) & F.col("__known").isNull(),
         "quality_unknown_customer": (t == config.SALE) & F.col("__known").isNull(),
@@ -287,9 +287,36 @@ def validation_flags(wh: Warehouse) -> DataFrame:
         & ~F.coalesce(F.col("payment_mode").isin(*config.PAYMENT_MODES), F.lit(False)),
         "quality_negative_quantity": _least(config.QTY_COLUMNS) < 0,
         "quality_negative_payment": F.col("payment_rs") < 0,
-        "quality_suspicious_business_event": suspicious,
+        "quality_suspicious_business_event": reduce(Column.__or__, suspicious.values()),
     }
-    return j.select("source_row_id", *[F.coalesce(e, F.lit(False)).alias(n) for n, e in flags.items()])
+    parts = {"quality_missing_rate": F.col("__missing"),
+             "quality_negative_quantity": F.array_compact(F.array(*[F.when(F.col(c) < 0, F.lit(c)) for c in config.QTY_COLUMNS])),
+             "quality_suspicious_business_event": F.array_compact(F.array(*[F.when(e, F.lit(n)) for n, e in suspicious.items()]))}
+    return j, {n: F.coalesce(e, F.lit(False)) for n, e in flags.items()}, parts
+
+
+def validation_flags(wh: Warehouse) -> DataFrame:
+    """One row per active log row with a boolean per check."""
+    j, flags, _ = _checked(wh)
+    return j.select("source_row_id", *[e.alias(n) for n, e in flags.items()])
+
+
+def validation_details(wh: Warehouse) -> DataFrame:
+    """(source_row_id, check_id, sub_check, severity): a row per failed check, of checks of several parts (products, columns, kinds) per part."""
+    j, flags, parts = _checked(wh)
+    whole = F.array(F.lit(None).cast("string"))
+    found = F.array(*[F.when(e, F.struct(F.lit(n).alias("check_id"), parts.get(n, whole).alias("sub_checks"))) for n, e in flags.items()])
+    failed = j.select("source_row_id", F.inline(F.array_compact(found)))
+    return failed.select("source_row_id", "check_id", F.explode("sub_checks").alias("sub_check"), F.lit("warning").alias("severity"))
+
+
+def validation_overall(wh: Warehouse) -> DataFrame:
+    """One row: mean score of the checks, and the share of active rows without and with a warning."""
+    f = validation_flags(wh)
+    warned = F.greatest(*[F.col(c).cast("int") for c in CHECKS])
+    score = reduce(Column.__add__, [(1 - F.count_if(F.col(c)) / F.count(F.lit(1))) * 100 for c in CHECKS]) / len(CHECKS)
+    return f.agg(F.count(F.lit(1)).alias("active_rows"), score.alias("quality_score"), (F.avg((1 - warned).cast("double")) * 100).alias("row_pass_rate_pct"),
+                 (F.avg(warned.cast("double")) * 100).alias("warning_rate_pct"))
 
 
 def validation_summary(wh: Warehouse) -> DataFrame:

@@ -68,3 +68,20 @@ def test_bounds_that_are_reached_and_runs(spark):
     found = {(r.kpi, r.value): r.status for r in kpis.judge(spark, kpis.per_run(runs)).collect()}
     assert found == {("pipeline_runtime_minutes", 2.0): "ok", ("pipeline_runtime_minutes", 11.0): "critical", ("pipeline_success_rate", 50.0): "warning",
                      ("pipeline_failures_in_a_row", 2.0): "critical"}
+
+
+def test_details_name_the_parts_of_a_check(spark):
+    from ledgerflow.plans import rules
+
+    rows = [log_row("2026-01-10 09:00:00", "Sale", "Ravi", "Hotel", payment="-5", mode="Cheque", qty=("-1", "3", "2", "", "")),
+            log_row("2026-01-11 09:00:00", "Purchase", "Ravi", qty=("1", "", "", "", ""))]
+    wh = warehouse(spark, rows)
+    got = sorted((r.check_id, r.sub_check) for r in rules.validation_details(wh).collect())
+    assert len({r.source_row_id for r in rules.validation_details(wh).collect()}) == 1
+    assert [g for g in got if g[0] == "quality_suspicious_business_event"] == [("quality_suspicious_business_event", p) for p in ("sale_with_vendor", "vendor_and_customer")]
+    assert [g for g in got if g[0] == "quality_negative_quantity"] == [("quality_negative_quantity", "mushroom_bulk_qty_kg")]
+    assert len([g for g in got if g[0] == "quality_missing_rate"]) == 2
+    assert {g for g in got if g[1] is None} == {("quality_invalid_payment_mode", None), ("quality_negative_payment", None)}
+    whole = rules.validation_overall(wh).first()
+    assert (whole.active_rows, whole.row_pass_rate_pct, whole.warning_rate_pct) == (2, 50.0, 50.0)
+    assert whole.quality_score == pytest.approx((4 * 100 + 5 * 50) / 9)
