@@ -130,7 +130,25 @@ def copies(keys: DataFrame, planned: DataFrame) -> DataFrame:
     """``keys`` with the source's plan and the copies of each document; the join broadcasts the plan when its files are small."""
     joined = keys.alias("k").join(planned.alias("s"), F.expr("k.source <=> s.source"))
     taken = F.coalesce(F.struct(_block_key("blocks").alias("block_key"), F.col("doc_key")) <= F.col("cut"), F.lit(False))
-    return joined.select("k.*", "share", "weight", "repeats", (F.col("full") + taken.cast("int")).cast("int").alias("copies"))
+    return joined.select("k.*", "share", "weight", "repeats", _block_key("blocks").alias("block_key"), (F.col("full") + taken.cast("int")).cast("int").alias("copies"))
+
+
+def ordered(chosen: DataFrame) -> DataFrame:
+    """``copies`` output with ``position``: the documents before this one in a pass over its source.
+
+    A pass permutes the source: blocks by their hashed keys, documents inside a block by
+    theirs; copy 1, 2, ... of a document stands at this position of pass 1, 2, ....  Rows
+    of one id share a position and are counted before they are shuffled; counts are summed
+    within a block, and only blocks (one row each) in the order of a source.
+    """
+    places = chosen.groupBy("source", "block_key", "doc_key").agg(F.count("*").alias("docs"))
+    running = lambda by, order: F.sum("docs").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("docs")
+    blocks = places.groupBy("source", "block_key").agg(F.sum("docs").alias("docs"))
+    starts = blocks.select("source", "block_key", running(["source"], "block_key").alias("start"))
+    within = places.select("source", "block_key", "doc_key", running(["source", "block_key"], "doc_key").alias("place"))
+    placed = within.alias("w").join(starts.alias("b"), F.expr("w.source <=> b.source and w.block_key = b.block_key")).select(
+        "w.source", "w.doc_key", (F.col("start") + F.col("place")).alias("position"))
+    return chosen.alias("r").join(placed.alias("p"), F.expr("r.source <=> p.source and r.doc_key = p.doc_key")).select("r.*", "position")
 
 
 def mix(docs: DataFrame, flatten: float = FLATTEN, max_repeats: float = MAX_REPEATS, budget: float | None = None, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
@@ -144,10 +162,10 @@ def mix(docs: DataFrame, flatten: float = FLATTEN, max_repeats: float = MAX_REPE
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: its source's share and weight and its copies in the mixture."""
+    """One row per document: its source's share and weight, its copies in the mixture, its block and its position in each pass over the source."""
     rows = core.write_stage(keyed(core.read(spark, sf_dir, "documents"), "doc_id", "source", "text"), "mix-rows")
-    out = copies(rows, plan(rows))
-    return out.select(F.col("id").alias("doc_id"), "source", F.col("tokens").alias("n_tokens"), F.round("share", 9).alias("share"), F.round("weight", 9).alias("weight"), F.round("repeats", 6).alias("repeats"), "copies")
+    out = ordered(copies(rows, plan(rows)))
+    return out.select(F.col("id").alias("doc_id"), "source", F.col("tokens").alias("n_tokens"), F.round("share", 9).alias("share"), F.round("weight", 9).alias("weight"), F.round("repeats", 6).alias("repeats"), "copies", "block_key", "position")
 
 
 def _sql(documents: str = "documents", docs_only: bool = False) -> str:
@@ -187,7 +205,8 @@ WITH RECURSIVE d AS (
   FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source
 )
 SELECT doc_id, source, tokens AS n_tokens, round(share, 9) AS share, round(weight, 9) AS weight, round(repeats, 6) AS repeats,
-       CAST(floor(repeats) + CASE WHEN sum(tokens) OVER (PARTITION BY source ORDER BY block_key, doc_key) - tokens < rest THEN 1 ELSE 0 END AS INTEGER) AS copies
+       CAST(floor(repeats) + CASE WHEN sum(tokens) OVER (PARTITION BY source ORDER BY block_key, doc_key) - tokens < rest THEN 1 ELSE 0 END AS INTEGER) AS copies,
+       block_key, rank() OVER (PARTITION BY source ORDER BY block_key, doc_key) - 1 AS position
 FROM r
 """
 

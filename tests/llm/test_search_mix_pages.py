@@ -60,7 +60,7 @@ def test_mixing_equals_duckdb(spark, monkeypatch, tmp_path):
     duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert got == sorted(duck.sql(mixing._sql()).fetchall(), key=str)
     out = mixing.mix(docs)
-    assert out.schema == docs.schema and out.count() == sum(r[-1] for r in got) and all(r[-1] >= 1 for r in got)
+    assert out.schema == docs.schema and out.count() == sum(r[6] for r in got) and all(r[6] >= 1 for r in got)
 
 
 def test_mixing_reaches_its_target(spark):
@@ -79,6 +79,22 @@ def test_mixing_reaches_its_target(spark):
     assert mixing.mix(table(spark, [None, "", None])).count() == 3  # no tokens at all
 
 
+def test_a_pass_takes_each_document_once(spark):
+    docs = spark.createDataFrame([(i, "w " * (i % 7 + 1), ("a", "b", None)[i % 3]) for i in range(600)] + [(None, "w", "a")] * 50, "doc_id long, text string, source string")
+    rows = mixing.keyed(docs, "doc_id", "source", "text")
+    got = mixing.ordered(mixing.copies(rows, mixing.plan(rows))).collect()
+    assert len(got) == 650
+    for source in ("a", "b", None):
+        mine = [r for r in got if r.source == source]
+        by_place = {}
+        for r in mine:
+            by_place.setdefault(r.position, []).append(r)
+        assert sum(p + len(rs) in by_place or p + len(rs) == len(mine) for p, rs in by_place.items()) == len(by_place)  # no gap
+        order = [rs[0] for _, rs in sorted(by_place.items())]
+        assert [(r.block_key, r.doc_key) for r in order] == sorted((r.block_key, r.doc_key) for r in order)
+        assert [r.copies for r in order] == sorted((r.copies for r in order), reverse=True)  # the prefix gives one copy more
+
+
 def test_many_sources_of_equal_size_are_one_entry(spark):
     tokens = [5] * 400 + [7] * 300 + [1000] * 2 + [0] * 3
     sources = spark.createDataFrame([(f"s{i}", t) for i, t in enumerate(tokens)], "source string, tokens long")
@@ -92,7 +108,7 @@ def test_many_sources_of_equal_size_are_one_entry(spark):
 
 
 def test_mixing_stays_native(spark):
-    plan = mixing.copies(mixing.keyed(table(spark, ["a b"]), "doc_id", "source", "text"), mixing.plan(mixing.keyed(table(spark, ["a b"]), "doc_id", "source", "text")))
+    plan = mixing.ordered(mixing.copies(mixing.keyed(table(spark, ["a b"]), "doc_id", "source", "text"), mixing.plan(mixing.keyed(table(spark, ["a b"]), "doc_id", "source", "text"))))
     assert not any(x in plan._jdf.queryExecution().toString() for x in ("Python", "Arrow", "Pandas"))
 
 
