@@ -7,13 +7,15 @@ import os
 from conftest import LOG_COLUMNS, log_row, tabs_from
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.expr import strip_all_whitespace
+from ledgerflow import config
+from ledgerflow.functions.expr import blank_to_null, parse_date, parse_timestamp, strip_all_whitespace
 from ledgerflow.operators import cdc
 from ledgerflow.operators.asof import asof_join
 from ledgerflow.plans import rollups
 from ledgerflow.plans.lifecycle import LoadHistory
 from ledgerflow.plans.pipeline import TradingModel
-from ledgerflow.sources import fixtures
+from ledgerflow.plans.warehouse import Warehouse
+from ledgerflow.sources import fixtures, tabs
 
 RATES = [("2026-06-01", "Ravi", "100", "150", "80", "40", "60", "")]
 CUSTOMERS = [("2026-06-01", "Hotel", "200", "250", "120", "90", "100", "")]
@@ -79,3 +81,36 @@ def test_a_first_load_writes_its_rows_once(spark, tmp_path):
     facts = h.facts("fact_inventory")
     assert {r.rate_lookup_status for r in facts.collect()} == {"matched", "missing_counterparty"}
     assert facts.where(F.col("ingested_at") != F.lit("2026-06-29").cast("timestamp_ntz")).count() == 0 and facts.where("is_deleted").count() == 0
+
+
+def test_plain_times_are_cast_and_read_as_the_formats_read_them(spark):
+    texts = ["2001-02-30 10:00:00", "2001-13-01 10:00:00", "2001-12-31 24:00:00", "2001-12-31 23:59:60", "1582-10-10 01:02:03", "0000-01-01 00:00:00", "2000-02-29 00:00:00",
+             " 2001-01-01 00:00:00 ", "2001-01-01 00:00:00\n", "2001-1-1 1:1:1", "2001-01-01T00:00:00", "30/01/2001 03:04:05", "02/01/2001 03:04:05", "", None]
+    by_format = lambda s, f: F.coalesce(*[F.try_to_timestamp(s, F.lit(x)) for x in f])
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    times = df.select(parse_timestamp("c").cast("string").alias("new"), by_format(F.trim("c"), config.TIMESTAMP_FORMATS).cast("string").alias("old"))
+    days = df.select(F.split("c", "[ T]")[0].alias("c")).select(parse_date("c").cast("string").alias("new"), by_format(blank_to_null("c"), config.DATE_FORMATS).cast("date").cast("string").alias("old"))
+    assert [r.new for r in times.collect()] == [r.old for r in times.collect()] and [r.new for r in days.collect()] == [r.old for r in days.collect()]
+    assert times.where("new IS NOT NULL").count() == 7 and "rlike" in plan(times).lower() and "rlike" in plan(days).lower()
+
+
+def test_blank_rows_are_dropped_without_stripping_their_cells_twice(spark):
+    df = spark.range(1).select(F.lit(" 　").alias("a"), F.lit("\t").alias("b"), F.lit(2).cast("long").alias("source_row_number")).unionByName(
+        spark.range(1).select(F.lit(None).cast("string").alias("a"), F.lit(" x ").alias("b"), F.lit(3).cast("long").alias("source_row_number")))
+    assert [(r.a, r.b) for r in tabs.clean_cells(df).collect()] == [("", "x")]
+    cells = spark.createDataFrame([("a", "b")], "a string, b string")
+    steps = tabs.clean_cells(cells)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert [ln.count("trim(") for ln in steps if "Filter" in ln] == [1]
+
+
+def test_the_typed_log_is_written_once_and_a_calendar_does_not_ask_for_it(spark):
+    tabs_, stages = tabs_from(spark, ROWS, RATES, CUSTOMERS), []
+
+    def stage(name, build):
+        stages.append(name)
+        return build()
+
+    log = spark.createDataFrame([(*r, 2 + i) for i, r in enumerate(ROWS)], ", ".join(f"{c} string" for c in LOG_COLUMNS) + ", source_row_number long")
+    wh = Warehouse(log, tabs_["vendor_rates"], tabs_["customer_rates"], dt.date(2026, 6, 30), stage=stage)
+    assert wh.dim_date.count() > 365 and "typed_log" not in stages
+    assert wh.fact_payment.count() == 2 and wh.fact_inventory.count() == 5 and stages.count("typed_log") == 1
