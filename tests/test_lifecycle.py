@@ -121,3 +121,29 @@ def test_departures_count_rows_that_come_back_later(days):
     h = days[0]
     gone = {r.load_id: r["count"] for r in h.departures().where(F.col("sheet_tab") == LOG_TAB).groupBy("load_id").count().collect()}
     assert gone == {"load-2": 1, "load-3": 2}  # the edited row; its new form and the bad row, of which one returns
+
+
+def test_a_load_adds_what_is_new_and_keeps_no_hashed_keys(spark, tmp_path):
+    h = LoadHistory(spark, str(tmp_path / "s"), dt.date(2026, 6, 30), 4)
+    h.load("a", DAY(21), *extract(spark, ROWS))
+    edited = [tuple("late" if c == "remarks" and i == 3 else v for c, v in zip(LOG_COLUMNS, r)) for i, r in enumerate(ROWS)]
+    h.load("b", DAY(22), *extract(spark, edited))
+    for name, first in (("rows", 12), ("fact_inventory", 12), ("fact_payment", 11)):
+        kept = {p.parent.name if p.parent.name.startswith("version") else p.parent.parent.name for p in (tmp_path / "s" / name / "data").rglob("*.parquet")}
+        sizes = [spark.read.parquet(str(tmp_path / "s" / name / "data" / v)) for v in sorted(kept)]
+        assert [d.count() for d in sizes] == [first, 1]  # the second load wrote one row, not what its bucket held
+        assert not {"movement_id", "payment_id", "vendor_key", "customer_key"} & set(sizes[0].columns)
+    assert {len(r.movement_id) for r in h.facts("fact_inventory").collect()} == {64} and h.facts("fact_inventory").where("is_deleted").count() == 1
+    steps = h.snapshots()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in steps and "Window" not in steps
+
+
+def test_a_row_that_returns_is_active_again_at_the_rates_of_its_return(spark, tmp_path):
+    h = LoadHistory(spark, str(tmp_path / "s"), dt.date(2026, 6, 30), 4)
+    dear = [("2026-06-01", "Ravi", "300", "150", "80", "40", "60", "")]
+    state = []
+    for n, (rows, rates) in enumerate([(ROWS, RATES), ([r for i, r in enumerate(ROWS) if i != 3], dear), (ROWS, dear), ([r for i, r in enumerate(ROWS) if i != 3], RATES)], 1):
+        h.load(f"l{n}", DAY(20 + n), *[x if k else x.withColumn("source_row_number", F.dayofmonth(F.to_timestamp("timestamp")).cast("long")) for k, x in enumerate(extract(spark, rows, rates))])
+        state += [(r.line_value_rs, r.is_deleted, r.deleted_at, r.ingested_at) for r in h.facts("fact_inventory").where("quantity_kg = 4").collect()]
+    assert state == [(400, False, None, DAY(21)), (1200, True, DAY(22), DAY(21)), (1200, False, None, DAY(21)), (400, True, DAY(24), DAY(21))]
+    assert [r.n for r in h.departures().groupBy("sheet_tab").agg(F.count("*").alias("n")).where("sheet_tab = 'Transaction Log'").collect()] == [2]
