@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from conftest import LOG_COLUMNS, log_row, tabs_from
@@ -138,6 +139,11 @@ def test_a_load_adds_what_is_new_and_keeps_no_hashed_keys(spark, tmp_path):
     assert "Exchange" not in steps and "Window" not in steps
 
 
+def test_the_quarantined_row_holds_the_cells_of_the_log_only(days):
+    (raw,) = {r.raw_row_json for r in days[0].quarantine().collect()}
+    assert not {"content_fingerprint", "source_row_id", "__h"} & set(json.loads(raw)) and set(LOG_COLUMNS) <= set(json.loads(raw))
+
+
 def test_a_row_that_returns_is_active_again_at_the_rates_of_its_return(spark, tmp_path):
     h = LoadHistory(spark, str(tmp_path / "s"), dt.date(2026, 6, 30), 4)
     dear = [("2026-06-01", "Ravi", "300", "150", "80", "40", "60", "")]
