@@ -13,8 +13,9 @@ Shuffle budget of ``transaction_items_enriched`` (the only wide step here):
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -107,6 +108,50 @@ def choose_rates(items: DataFrame, rates: DataFrame) -> DataFrame:
                       "effective_from")
 
 
+def dated_forms(stg: DataFrame, rates: DataFrame, keep: Sequence[str], upper_bound: Column | None = None) -> DataFrame:
+    """Form rows with at least one line: the columns of ``keep``, quantities, and the rate row in force on the form's date.
+
+    A rate row prices every product, so a form asks once, whatever its lines.  A form without
+    counterparty or date meets no rate row; it asks under a name of its own, so that such forms do not gather.
+    """
+    asks = counterparty_of().isNotNull() & F.col("transaction_date").isNotNull()
+    alone = F.xxhash64(*[F.col(c) for c in (*keep, *config.QTY_COLUMNS)]).cast("string")
+    forms = stg.where(F.greatest(*config.QTY_COLUMNS) > 0).select(
+        *keep, *config.QTY_COLUMNS, F.when(asks, F.col("transaction_type")).otherwise(F.lit("")).alias("__side"),
+        F.when(asks, counterparty_of()).otherwise(alone).alias("__counterparty"))
+    priced = rates.withColumnsRenamed({"side": "__side", "counterparty": "__counterparty"})
+    hit = asof_join(forms, priced, ["__side", "__counterparty"], "transaction_date", "effective_from",
+                    how="left", tiebreak=list(config.RATE_COLUMNS), upper_bound=upper_bound)
+    return hit.drop("__side", "__counterparty")
+
+
+def form_lines(forms: DataFrame) -> DataFrame:
+    """Forms with the rate rows of their own dates (``dated_forms``, with ``transaction_key``) -> form rows with
+    ``lines`` (a valued line or NULL per product), and the number and the amount of all lines of their key.
+
+    Lines that share a key share the rate of the latest of their dates.  Later dates never have older rate rows, so
+    that is the newest row that any of them met; of two parties in one key the newer row counts, on equal dates the larger rate.
+    """
+    key = Window.partitionBy("transaction_key")
+    slots = list(zip(config.QTY_COLUMNS, config.PRODUCT_NAMES, config.RATE_COLUMNS))
+    newest = forms.select("*", *[
+        F.max(F.when((F.col(q) > 0) & F.col("effective_from").isNotNull(), F.struct("effective_from", F.col(r).alias("rate")))).over(key)["rate"].alias(f"__{r}")
+        for q, _, r in slots])
+    amount = {q: F.round(F.col(q) * F.col(f"__{r}"), 2).cast(DecimalType(18, 2)) for q, _, r in slots}
+    lines = F.array(*[
+        F.when(F.col(q) > 0, F.struct(F.lit(name).alias("product_name"), F.col(q).alias("quantity_kg"), F.col(f"__{r}").alias("applicable_rate"), amount[q].alias("transaction_amount")))
+        for q, name, r in slots])
+    count = reduce(Column.__add__, [F.when(F.col(q) > 0, F.lit(1)).otherwise(F.lit(0)) for q, _, _ in slots])
+    zero = F.lit(0).cast(DecimalType(18, 2))
+    total = reduce(Column.__add__, [F.when(F.col(q) > 0, F.coalesce(amount[q], zero)).otherwise(zero) for q, _, _ in slots])
+    return newest.select("transaction_key", "transaction_date", "transaction_type", "vendor_name", "customer_name", lines.alias("lines"),
+                         F.sum(count).over(key).alias("item_count"), F.sum(total).over(key).alias("total_tx_amount"))
+
+
+def line_status() -> Column:
+    return F.when(F.col("applicable_rate").isNotNull(), F.lit(config.MATCHED)).otherwise(F.lit(config.MISSING_RATE))
+
+
 def key_rates(chosen: DataFrame) -> DataFrame:
     """(transaction_key, one rate per product slot) - one row per key.
 
@@ -131,11 +176,10 @@ def value_joined(joined: DataFrame) -> DataFrame:
     enriched = joined.withColumn("applicable_rate", rate)
     amount = F.when(F.col("applicable_rate").isNotNull(),
                     F.round(F.col("quantity_kg") * F.col("applicable_rate"), 2).cast(DecimalType(18, 2)))
-    status = F.when(F.col("applicable_rate").isNotNull(), F.lit(config.MATCHED)).otherwise(F.lit(config.MISSING_RATE))
     return enriched.select(
         "transaction_key", "transaction_date", "transaction_type", "vendor_name", "customer_name",
         "product_name", "quantity_kg", "applicable_rate", amount.alias("transaction_amount"),
-        status.alias("rate_lookup_status"))
+        line_status().alias("rate_lookup_status"))
 
 
 def transaction_items_enriched(items: DataFrame, stg_vendor_rates: DataFrame,

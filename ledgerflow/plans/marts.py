@@ -21,6 +21,7 @@ from pyspark.sql.types import DecimalType
 from ledgerflow import config
 from ledgerflow.functions.expr import cond_sum, month_start, round_half_away, week_start
 from ledgerflow.operators import skew
+from ledgerflow.operators.asof import value_literal
 from ledgerflow.operators.reshape import clip, densify, densify_running, running_intervals
 from ledgerflow.plans import analytics
 
@@ -38,6 +39,12 @@ def payment_variants(payments: DataFrame, by_key: bool = False) -> DataFrame:
     return rows.groupBy("transaction_key", "payment_amount", "payment_mode").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def numbered_variants(payments: DataFrame, by_key: bool = False) -> DataFrame:
+    """Payment variants, of which one per key is its ``first``."""
+    first = F.row_number().over(Window.partitionBy("transaction_key").orderBy("payment_amount", "payment_mode")) == 1
+    return payment_variants(payments, by_key).withColumn("first", first)
+
+
 def item_totals(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("transaction_key").agg(
         F.count(F.lit(1)).alias("item_count"),
@@ -62,14 +69,47 @@ def allocated_lines(items: DataFrame, chosen: DataFrame, payments: DataFrame, he
                            F.sum(F.coalesce("transaction_amount", F.lit(0))).over(key).alias("total_tx_amount"))
     out = _shares(totals.join(payment_variants(pays, by_key=True), "transaction_key", "left"))
     if hot_lines is not None:
-        # fewer keys than shuffle partitions, one row of rates and one of totals each
-        valued = analytics.value_joined(hot_lines.join(F.broadcast(analytics.key_rates(hot_rates)), "transaction_key", "left"))
-        totals = valued.join(F.broadcast(item_totals(valued)), "transaction_key", "left")
-        out = out.unionByName(_shares(totals.join(skew.small(payment_variants(hot_pays)), "transaction_key", "left")))
+        out = out.unionByName(_shares(_hot_totals(hot_lines, hot_rates).join(skew.small(payment_variants(hot_pays)), "transaction_key", "left")))
+    return out
+
+
+def _hot_totals(hot_lines: DataFrame, hot_rates: DataFrame) -> DataFrame:
+    """Valued lines of heavy keys with the totals of their key: fewer keys than shuffle partitions, one row of rates and one of totals each."""
+    valued = analytics.value_joined(hot_lines.join(F.broadcast(analytics.key_rates(hot_rates)), "transaction_key", "left"))
+    return valued.join(F.broadcast(item_totals(valued)), "transaction_key", "left")
+
+
+def allocated_forms(stg: DataFrame, items: DataFrame, payments: DataFrame, rates: DataFrame, heavy: Sequence[str] = ()) -> DataFrame:
+    """``allocated_lines`` from the typed log, with ``first``: TRUE once per line, whatever payments its key has.
+
+    Forms of ordinary keys are shuffled twice, before their lines are written out: to the rates of their counterparty and
+    quarter, and to their key, where rates, totals and payments meet.  Heavy keys go the way of ``allocated_lines``.
+    """
+    keep = ["transaction_timestamp", "transaction_date", "transaction_type", "vendor_name", "customer_name", "payment_rs"]
+    pays, hot_pays = skew.split(payments, "transaction_key", heavy)
+    plain = stg if not heavy else skew.split(analytics.with_transaction_key(stg), "transaction_key", heavy)[0]
+    last_day = value_literal(items.agg(F.max("transaction_date")).first()[0])
+    # the key is a hash of what the form carries: it is taken after the first shuffle
+    dated = analytics.with_transaction_key(analytics.dated_forms(plain, rates, keep, last_day))
+    met = analytics.form_lines(dated).join(numbered_variants(pays, by_key=True), "transaction_key", "left")
+    lines = met.select(*[c for c in met.columns if c != "lines"], F.inline("lines")).where("quantity_kg IS NOT NULL").withColumn("rate_lookup_status", analytics.line_status())
+    first = F.coalesce("first", F.lit(True)).alias("first")
+    out = _shares(lines, first)
+    if heavy:
+        hot_lines = skew.split(items, "transaction_key", heavy)[1]
+        totals = _hot_totals(hot_lines, analytics.choose_rates(hot_lines, rates))
+        out = out.unionByName(_shares(totals.join(skew.small(numbered_variants(hot_pays)), "transaction_key", "left"), first))
     return out
 
 
-def _shares(j: DataFrame) -> DataFrame:
+def enriched_lines(allocated: DataFrame) -> DataFrame:
+    """The valued lines in ``allocated_forms``, without their payments."""
+    return allocated.where("first").select(
+        "transaction_key", F.col("date").alias("transaction_date"), "transaction_type", "vendor_name", "customer_name", "product_name",
+        "quantity_kg", "applicable_rate", F.when(F.col("applicable_rate").isNotNull(), F.col("transaction_amount")).alias("transaction_amount"), "rate_lookup_status")
+
+
+def _shares(j: DataFrame, *more: Column) -> DataFrame:
     """share = round(payment × amount / total, 2) when the key's total amount is
     positive, else round(payment / line_count, 2) (equal split).  The
     arithmetic is DOUBLE with half-away-from-zero rounding, as in the source
@@ -91,6 +131,7 @@ def _shares(j: DataFrame) -> DataFrame:
         "rate_lookup_status", "payment_mode",
         share.cast(MONEY).alias("allocated_payment"),
         F.coalesce(F.col("copies"), F.lit(1)).alias("copies"),
+        *more,
     )
 
 

@@ -98,15 +98,18 @@ class TradingModel:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return analytics.value_lines(self.items, self.chosen_rates, self.heavy_keys)
+        return marts.enriched_lines(self._allocated_forms)
 
     # marts
+    @cached_property
+    def _allocated_forms(self) -> DataFrame:
+        """Allocated lines, written once per run when staged; ``first`` marks one row of each line."""
+        build = lambda: marts.allocated_forms(self.stg_log, self.items, self.payments, self.rates, self.heavy_keys)
+        return build() if self.stage_key is None else store.stage(self.spark, f"allocated|{self.stage_key}", build)
+
     @cached_property
     def allocated(self) -> DataFrame:
-        if self.stage_key is None:
-            return marts.allocated_lines(self.items, self.chosen_rates, self.payments, self.heavy_keys)
-        return store.stage(self.spark, f"allocated|{self.stage_key}",
-                           lambda: marts.allocated_lines(self.items, self.chosen_rates, self.payments, self.heavy_keys))
+        return self._allocated_forms.drop("first")
 
     @cached_property
     def mart_transactions(self) -> DataFrame:

@@ -3,6 +3,7 @@ import contextlib
 import datetime as dt
 import io
 import os
+import re
 
 from conftest import LOG_COLUMNS, log_row, tabs_from
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from ledgerflow import config
 from ledgerflow.functions.expr import blank_to_null, parse_date, parse_timestamp, strip_all_whitespace
 from ledgerflow.operators import cdc
 from ledgerflow.operators.asof import asof_join
-from ledgerflow.plans import rollups
+from ledgerflow.plans import analytics, marts, rollups, rules
 from ledgerflow.plans.lifecycle import LoadHistory
 from ledgerflow.plans.pipeline import TradingModel
 from ledgerflow.plans.warehouse import Warehouse
@@ -114,3 +115,26 @@ def test_the_typed_log_is_written_once_and_a_calendar_does_not_ask_for_it(spark)
     wh = Warehouse(log, tabs_["vendor_rates"], tabs_["customer_rates"], dt.date(2026, 6, 30), stage=stage)
     assert wh.dim_date.count() > 365 and "typed_log" not in stages
     assert wh.fact_payment.count() == 2 and wh.fact_inventory.count() == 5 and stages.count("typed_log") == 1
+
+
+def test_a_form_is_shuffled_for_all_its_lines_and_rated_like_them(spark):
+    """Forms, not lines, go to the rates and to their key; rows and shares are those of ``allocated_lines``."""
+    rates = [("2026-05-01", "Ravi", "90", "", "80", "40", "60", ""), *RATES, ("2026-06-01", "Ravi", "101", "", "", "", "", "")]
+    rows = [*ROWS, *[log_row("2026-06-02 09:00:00", "Purchase", "Ravi", payment="10", mode=m, qty=q, date=d) for m, q, d in (
+                ("Online", ("5", "", "1", "", ""), "2026-05-20"), ("", ("", "", "2", "", "7"), "2026-05-01"), ("Cash", ("", "", "", "", ""), ""))],
+            log_row("2026-06-02 09:00:00", "Return", "Ravi", payment="4", qty=("1", "", "", "", "1")), log_row("n/a", "Sale", "", "Hotel", payment="5", qty=("2", "", "", "", "")),
+            log_row("2026-06-02 09:00:00", "", "", "", qty=("", "3", "", "", "")), log_row("2020-01-01 09:00:00", "Purchase", "Ravi", qty=("1", "", "", "", "")),
+            log_row("2026-06-04 09:00:00", "Purchase", "Ravi|C", payment="1", qty=("1", "", "", "", "")), log_row("2026-06-05 09:00:00", "Sale", "", "Hotel", payment="7")]
+    m = TradingModel(tabs_from(spark, rows, rates, CUSTOMERS), dt.date(2026, 6, 30))
+    lines = marts.allocated_lines(m.items, m.chosen_rates, m.payments)
+    found = lambda df: sorted(map(str, df.collect()))
+    assert m.allocated.columns == lines.columns and found(m.allocated) == found(lines)
+    assert found(m.enriched) == found(analytics.value_lines(m.items, m.chosen_rates))
+    assert {r.applicable_rate for r in m.allocated.where("product_name = 'Mushroom Bulk' AND date = '2026-05-20'").collect()} == {101}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_key, by_line = (re.findall(r"Exchange hashpartitioning\((\w+)", plan(df.select("*"))) for df in (m.allocated, lines))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert by_key.count("transaction_key") == 2 < by_line.count("transaction_key")
