@@ -157,10 +157,12 @@ class Warehouse:
     def _dated_lines(self) -> DataFrame:
         """Lines with the rate row in force on their date: its first day, and its price of the line's product."""
         last_day = value_literal(self.stg.agg(F.max("transaction_date")).first()[0])  # of all rows: no line is later
-        hit = asof_join(self.lines, self.rates, ["side", "counterparty"], "transaction_date", "effective_from",
-                        how="left", tiebreak=list(config.RATE_COLUMNS), upper_bound=last_day)
-        rate = analytics.pick_by_name("product_name", analytics.RATE_BY_PRODUCT)
-        return hit.withColumn("rate_rs", rate).drop(*config.RATE_COLUMNS)
+        ids = ["source_row_id", "transaction_timestamp", "transaction_date", "transaction_type", "vendor_name", "customer_name", "remarks", *self.carry]
+        forms = analytics.dated_forms(self.stg, self.rates, ids, last_day)  # a form is shuffled once for all its lines
+        lines = F.array(*[
+            F.when(F.col(q) > 0, F.struct(F.lit(name).alias("product_name"), F.col(q).alias("quantity_kg"), F.col(r).alias("rate_rs")))
+            for q, name, r in zip(config.QTY_COLUMNS, config.PRODUCT_NAMES, config.RATE_COLUMNS)])
+        return forms.select(*ids, F.col("transaction_type").alias("side"), analytics.counterparty_of().alias("counterparty"), "effective_from", F.inline(lines)).where("quantity_kg IS NOT NULL")
 
     # --- X11 dimensions --------------------------------------------------------------------
     @cached_property

@@ -138,3 +138,14 @@ def test_a_form_is_shuffled_for_all_its_lines_and_rated_like_them(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert by_key.count("transaction_key") == 2 < by_line.count("transaction_key")
+
+
+def test_rates_meet_forms_before_lines_are_written_out(spark):
+    t = tabs_from(spark, [*ROWS, log_row("n/a", "Sale", "", "Hotel", qty=("2", "", "", "", "1")), log_row("2026-06-02 09:00:00", "Return", "Ravi", qty=("1", "", "", "", ""))], RATES, CUSTOMERS)
+    wh = Warehouse(t["transaction_log"].withColumn("source_row_number", F.monotonically_increasing_id()), t["vendor_rates"], t["customer_rates"], dt.date(2026, 6, 30))
+    dated = wh._dated_lines()
+    asked = asof_join(wh.lines, wh.rates, ["side", "counterparty"], "transaction_date", "effective_from", tiebreak=list(config.RATE_COLUMNS))
+    want = asked.withColumn("rate_rs", analytics.pick_by_name("product_name", analytics.RATE_BY_PRODUCT)).select(dated.columns)
+    assert sorted(map(str, dated.collect())) == sorted(map(str, want.collect())) and dated.count() == 8
+    text = plan(dated)
+    assert 0 <= text.index("Generate inline") < text.index("Join")  # read from the top: lines are written out after the join
