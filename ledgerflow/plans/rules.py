@@ -232,10 +232,14 @@ def reconciliation(wh: Warehouse, previous_ids: DataFrame, current_ids: DataFram
     ])
 
 
-def ingest_violations(first: DataFrame, second: DataFrame, third: DataFrame) -> DataFrame:
-    """(rule_id, severity, load_no, source_row_id): rows that left, or came back after they had left, in three extracts in turn."""
+def ingest_violations(first: DataFrame, second: DataFrame, third: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(rule_id, severity, load_no, source_row_id): rows that left, or came back after they had left, in three extracts in turn.
+
+    ``known``: more ids, once each, whose extracts are known already (booleans ``in1``, ``in2``, ``in3``); they are not shuffled.
+    """
     flags = reduce(lambda a, b: a.join(b, "source_row_id", "full"), [
         ids.distinct().withColumn(f"in{i}", F.lit(True)) for i, ids in enumerate((first, second, third), 1)])
+    flags = flags if known is None else flags.unionByName(known)
     was = [F.coalesce(F.col(f"in{i}"), F.lit(False)) for i in (1, 2, 3)]
     event = lambda rule, severity, load, pred: F.when(pred, F.struct(F.lit(rule).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(load).alias("load_no")))
     events = F.array_compact(F.array(

@@ -149,3 +149,18 @@ def test_rates_meet_forms_before_lines_are_written_out(spark):
     assert sorted(map(str, dated.collect())) == sorted(map(str, want.collect())) and dated.count() == 8
     text = plan(dated)
     assert 0 <= text.index("Generate inline") < text.index("Join")  # read from the top: lines are written out after the join
+
+
+def test_only_rows_that_share_a_fingerprint_are_shuffled_for_ingest_findings(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 4), ("d", None), ("d", 5), ("e", None)], "c string, source_row_number long")
+    rows = cdc.with_source_row_id(df, "s", "T", ["c"])
+    lone, repeated = cdc.lone_and_repeated(rows, "s", "T")
+    assert sorted(r.c for r in lone.collect()) == ["a", "c", "e"] and sorted(r.c for r in repeated.collect()) == ["b", "b", "d", "d"]
+    loads = ["source_row_number <> 1 AND source_row_number <> 3", "source_row_number <> 4", "TRUE"]
+    ids = lambda of, load: cdc.assign_source_row_id(of.where(load), "s", "T").select("source_row_id")
+    present = [F.coalesce(F.expr(p), F.lit(False)).alias(f"in{i}") for i, p in enumerate(loads, 1)]
+    known = lone.select("source_row_id", *present)
+    found = lambda out: sorted(map(str, out.collect()))
+    whole = rules.ingest_violations(*[ids(rows, p) for p in loads])
+    split = rules.ingest_violations(*[ids(repeated, p) for p in loads], known)
+    assert found(split) == found(whole) and len(found(whole)) > 2
