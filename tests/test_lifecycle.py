@@ -1,12 +1,15 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from conftest import LOG_COLUMNS, log_row, tabs_from
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import buckets
-from ledgerflow.plans.lifecycle import LOG_TAB, LoadHistory, orphan_facts
+from ledgerflow.plans import rules
+from ledgerflow.plans.lifecycle import LOG_TAB, LoadHistory, orphan_facts, packed_id, unpacked_id
+from ledgerflow.plans.warehouse import Warehouse
 
 DAY = lambda n: dt.datetime(2026, 6, n, 6, 0)
 RATES = [("2026-06-01", "Ravi", "100", "150", "80", "40", "60", "")]
@@ -153,3 +156,28 @@ def test_a_row_that_returns_is_active_again_at_the_rates_of_its_return(spark, tm
         state += [(r.line_value_rs, r.is_deleted, r.deleted_at, r.ingested_at) for r in h.facts("fact_inventory").where("quantity_kg = 4").collect()]
     assert state == [(400, False, None, DAY(21)), (1200, True, DAY(22), DAY(21)), (1200, False, None, DAY(21)), (400, True, DAY(24), DAY(21))]
     assert [r.n for r in h.departures().groupBy("sheet_tab").agg(F.count("*").alias("n")).where("sheet_tab = 'Transaction Log'").collect()] == [2]
+
+
+def test_a_load_writes_spans_once_and_leaves_nothing_behind_for_itself(days):
+    h, _, _, root = days
+    left = {p.split("-")[0] for p in os.listdir(f"{root}/stages")}
+    assert left <= {"rates"} and len(os.listdir(f"{root}/stages")) == 1
+    assert h.tables["spans"].newest().count() == len(ROWS) + 2 + len(RATES) * 2 + len(CUSTOMERS)
+    assert "content_fingerprint" not in h.tables["rows"].read().columns and h.staging().where("source_row_id NOT LIKE concat('%:', substring(content_fingerprint, 1, 16), '%')").count() == 0
+
+
+def test_ids_of_any_form_are_packed_and_read_back(spark):
+    ids = ["sheet:T:00ff00ff00ff00ff", "sheet:T:00ff00ff00ff00ff:row12", "sheet:T:00FF00ff00ff00ff", "sheet:U:00ff00ff00ff00ff", "sheet:T:00ff", "x", None]
+    df = spark.createDataFrame([(i, "T") for i in ids], "source_row_id string, sheet_tab string")
+    packed = df.select("*", *packed_id())
+    assert [r.i for r in packed.select(unpacked_id().alias("i")).collect()] == ids
+    assert [len(r.h) for r in packed.collect()] == [8, 8, 0, 0, 0, 0, 0] and packed.select("h", "k").distinct().count() == len(ids)
+
+
+def test_rows_are_judged_and_typed_in_one_pass(spark):
+    log, vendor, customer = extract(spark, [*ROWS, BAD, log_row("2026-06-21 09:00:00", "Gift", remarks='say "no"\\')])
+    wh = Warehouse(log, vendor, customer, dt.date(2026, 6, 30))
+    found, cells = rules.judged(wh), [c for c in wh.typed.columns if c != "source_row_number"]
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(found.where("rule_ids IS NOT NULL").select("source_row_id", "rule_ids", "raw_json")) == rows(rules.quarantine(wh)) != []
+    assert rows(found.select(cells)) == rows(wh.typed.select(cells)) and found.where("rule_ids IS NULL AND raw_json IS NOT NULL").count() == 0
