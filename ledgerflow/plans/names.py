@@ -39,12 +39,16 @@ def rated_by_name(wh: Warehouse) -> DataFrame:
     names = stage("canonical_names", lambda: canonical_names(rates))
     cells = ["effective_from", *config.RATE_COLUMNS]
     exact = rates.select("side", "counterparty", *cells, F.col("counterparty").alias("rate_name"))
-    first = stage("rated_exactly", lambda: asof_join(wh.lines, exact, ["side", "counterparty"], "transaction_date", "effective_from", tiebreak=list(config.RATE_COLUMNS)))
+    with wh._passing("rated_exactly") as passing:
+        first = stage("rated_exactly", lambda: asof_join(wh.lines, exact, ["counterparty", "side"], "transaction_date", "effective_from", tiebreak=list(config.RATE_COLUMNS), stage=passing))
     matched, open_lines = first.where("effective_from IS NOT NULL"), first.where("effective_from IS NULL").select(*wh.lines.columns)
     grouped = rates.withColumn("normal_name", normal_form(F.col("counterparty"))).join(names, ["side", "normal_name"]).select(
         "side", "normal_name", *cells, F.col("counterparty").alias("rate_name"), (F.col("counterparty") == F.col("canonical_name")).alias("is_canonical"))
-    second = asof_join(open_lines.withColumn("normal_name", normal_form(F.col("counterparty"))), grouped, ["side", "normal_name"], "transaction_date", "effective_from",
-                       tiebreak=["is_canonical", "rate_name", *config.RATE_COLUMNS]).drop("normal_name", "is_canonical")
+    asked = open_lines.withColumn("normal_name", normal_form(F.col("counterparty")))
+    again = lambda passing: asof_join(asked, grouped, ["normal_name", "side"], "transaction_date", "effective_from",
+                                      tiebreak=["is_canonical", "rate_name", *config.RATE_COLUMNS], stage=passing).drop("normal_name", "is_canonical")
+    with wh._passing("rated_by_name") as passing:
+        second = again(None) if passing is None else stage("rated_by_name", lambda: again(passing))
     rated = matched.unionByName(second).withColumn("rate_rs", analytics.pick_by_name("product_name", analytics.RATE_BY_PRODUCT))
     known = names.select("side", "normal_name", "canonical_name")
     j = rated.withColumn("normal_name", normal_form(F.col("counterparty"))).join(known, ["side", "normal_name"], "left")

@@ -1,9 +1,11 @@
 """Steps that every trading query shares: what they write and shuffle."""
 import contextlib
 import datetime as dt
+import glob
 import io
 import os
 import re
+import time
 
 from conftest import LOG_COLUMNS, log_row, tabs_from
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from ledgerflow import config
 from ledgerflow.functions.expr import blank_to_null, parse_date, parse_timestamp, strip_all_whitespace
 from ledgerflow.operators import cdc
 from ledgerflow.operators.asof import asof_join
-from ledgerflow.plans import analytics, marts, rollups, rules
+from ledgerflow.plans import analytics, marts, rollups, rules, store
 from ledgerflow.plans.lifecycle import LoadHistory
 from ledgerflow.plans.pipeline import TradingModel
 from ledgerflow.plans.warehouse import Warehouse
@@ -140,6 +142,31 @@ def test_a_form_is_shuffled_for_all_its_lines_and_rated_like_them(spark):
     assert by_key.count("transaction_key") == 2 < by_line.count("transaction_key")
 
 
+def _shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in folders for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+
+def test_shuffle_files_of_a_written_stage_go_at_once(spark, monkeypatch):
+    monkeypatch.setattr(store, "FREE_AFTER_S", 0, raising=False)
+    before = _shuffle_files(spark)
+    store.stage(spark, "freed", lambda: spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.monotonic() + 10
+    while _shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+
+
+def test_what_lies_between_the_shuffles_of_a_stage_is_deleted_with_them(spark):
+    t = tabs_from(spark, [*ROWS, ROWS[0], log_row("n/a", "Sale", "", "Hotel", payment="5", qty=("2", "", "", "", ""))], RATES, CUSTOMERS)
+    m, staged = TradingModel(t, dt.date(2026, 6, 30)), TradingModel(t, dt.date(2026, 6, 30), spark, "passing-test")
+    written = []
+    marts.allocated_forms(m.stg_log, m.items, m.payments, m.rates, (), lambda name, build: written.append(name) or build()).count()
+    assert written == ["intervals", "dated"]
+    assert sorted(map(str, staged.allocated.collect())) == sorted(map(str, m.allocated.collect())) != []
+    assert not glob.glob(f"{store.scratch_root(spark)}/run-*/passing-*")
+
+
 def test_rates_meet_forms_before_lines_are_written_out(spark):
     t = tabs_from(spark, [*ROWS, log_row("n/a", "Sale", "", "Hotel", qty=("2", "", "", "", "1")), log_row("2026-06-02 09:00:00", "Return", "Ravi", qty=("1", "", "", "", ""))], RATES, CUSTOMERS)
     wh = Warehouse(t["transaction_log"].withColumn("source_row_number", F.monotonically_increasing_id()), t["vendor_rates"], t["customer_rates"], dt.date(2026, 6, 30))
