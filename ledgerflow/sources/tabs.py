@@ -72,14 +72,16 @@ def _read_csv(spark: SparkSession, path: str, column_map: Mapping[str, str], tab
     if not names:
         return spark.createDataFrame([], StructType([]))
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    cells = csv_blocks.read_records(spark, path).withColumn("cells", F.from_csv("record", schema, {"escape": '"', "mode": "PERMISSIVE"}))
+    # made by a generator: filters on cells would else be pushed below it, each cell with a parse of its own
+    parsed = F.from_csv("record", schema, {"escape": '"', "mode": "PERMISSIVE"})
+    cells = csv_blocks.read_records(spark, path).select("file", "first", F.inline(F.array(parsed)))
     same = F.lit(True)
     for i, h in enumerate(names):
-        same &= F.trim(F.coalesce(F.col(f"cells.c{i}"), F.lit(""))) == F.lit(h)
+        same &= F.trim(F.coalesce(F.col(f"c{i}"), F.lit(""))) == F.lit(h)
     wrong = F.raise_error(F.concat(F.lit(f"the header of a file of '{tab_name}' differs from the first one: "), F.col("file")))
     rows = cells.where(F.when(F.col("first"), F.when(same, F.lit(False)).otherwise(wrong.cast("boolean"))).otherwise(F.lit(True)))
     # a column without a header is not part of the tab
-    return rows.select([F.col(f"cells.c{i}").alias(h) for i, h in enumerate(names) if h])
+    return rows.select([F.col(f"c{i}").alias(h) for i, h in enumerate(names) if h])
 
 
 def _read_json(spark: SparkSession, path: str, column_map: Mapping[str, str], tab_name: str, strict: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from ledgerflow.config import TRANSACTION_LOG_COLUMN_MAP as MAP
-from ledgerflow.sources import csv_blocks
+from ledgerflow.sources import csv_blocks, tabs
 from ledgerflow.sources.tabs import UnknownHeaderError, read_tab_export
 
 HEADERS = list(MAP)[:4]
@@ -124,3 +124,10 @@ def test_unknown_json_key_far_down_stops_the_load(spark, tmp_path):
     (tmp_path / "late.json").write_text("\n".join([*good, '{" Remarks ": "kept"}', '{"Remarks": "too"}', '{"": 5}']))
     rows = read_tab_export(spark, str(tmp_path / "late.json"), MAP, "json").collect()
     assert len(rows) == 1003 and {r.remarks for r in rows} == {"", "kept", "too"}
+
+
+def test_a_record_is_parsed_once_however_many_cells_are_looked_at(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('Effective From Date,Vendor Name,Remarks\n2026-06-01,Ravi," x"\n,,\n2026-06-02,"a, b",\n')
+    df = tabs.clean_cells(tabs.read_tab_export(spark, str(tmp_path / "t.csv"), {"Effective From Date": "effective_from", "Vendor Name": "vendor_name", "Remarks": "remarks"}))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+    assert sorted(map(tuple, df.collect())) == [("2026-06-01", "Ravi", "x"), ("2026-06-02", "a, b", "")]
